@@ -1,4 +1,7 @@
-"""Time expressions and calendar months."""
+"""Time expressions as Spark SQL text, and calendar months.
+
+Expressions are templates: ``HOUR_OF_WEEK_SUNDAY.format("pickup_datetime")``.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,6 @@ import re
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from kerbside.errors import DataContractError
 
 MICROS = 1_000_000
@@ -49,60 +49,52 @@ class Month:
         return f"{self.year:04d}-{self.number:02d}"
 
 
-def naive(moment: datetime) -> Column:
-    """A wall-clock literal without a zone."""
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
-def micros(column: str | Column) -> Column:
-    """Microseconds since 1970 of a wall-clock or absolute timestamp (session zone UTC)."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.unix_micros(column.cast("timestamp"))
+# Microseconds since 1970 of a wall-clock or absolute timestamp (session zone UTC), and back.
+MICROS_OF = "unix_micros(CAST({0} AS TIMESTAMP))"
+FROM_MICROS = "CAST(timestamp_micros({0}) AS TIMESTAMP_NTZ)"
 
+# Whole seconds, truncated toward zero.
+SECONDS_BETWEEN = (
+    "CAST((unix_micros(CAST({1} AS TIMESTAMP)) - unix_micros(CAST({0} AS TIMESTAMP)))"
+    " div 1000000 AS INT)"
+)
 
-def from_micros(column: Column) -> Column:
-    """The inverse of :func:`micros`, without a zone."""
-    return F.timestamp_micros(column).cast("timestamp_ntz")
+# 0..167 from Sunday midnight: the convention of features and requests.
+HOUR_OF_WEEK_SUNDAY = "CAST((dayofweek({0}) - 1) * 24 + hour({0}) AS SMALLINT)"
 
+# 0..167 from Monday midnight: the convention of workload profiles.
+HOUR_OF_WEEK_MONDAY = "CAST(weekday({0}) * 24 + hour({0}) AS SMALLINT)"
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Whole seconds, truncated toward zero."""
-    return integer_div(micros(end) - micros(start), MICROS)
 
-
-def integer_div(left: Column, right: int) -> Column:
-    return F.call_function("div", left, F.lit(right).cast("bigint"))
-
-
-def hour_of_week_from_sunday(ts: str | Column) -> Column:
-    """0..167 counted from Sunday midnight: the convention of features and requests."""
-    return ((F.dayofweek(ts) - 1) * 24 + F.hour(ts)).cast("smallint")
+def naive(moment: datetime) -> str:
+    """A wall-clock literal without a zone."""
+    return f"TIMESTAMP_NTZ'{moment.isoformat(sep=' ')}'"
 
 
-def hour_of_week_from_monday(ts: str | Column) -> Column:
-    """0..167 counted from Monday midnight: the convention of workload profiles."""
-    return (F.weekday(ts) * 24 + F.hour(ts)).cast("smallint")
+def within(column: str, start: datetime, end: datetime) -> str:
+    """Half-open range test."""
+    return f"{column} >= {naive(start)} AND {column} < {naive(end)}"
 
 
-def to_local(ts: str | Column, zone: str = LOCAL_ZONE) -> Column:
-    """Wall clock in ``zone`` of a UTC wall-clock timestamp."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
+def to_local(utc: str, zone: str = LOCAL_ZONE) -> str:
+    """Wall clock in ``zone`` of a UTC wall clock."""
+    return f"convert_timezone('UTC', '{zone}', {utc})"
 
 
-def to_utc(ts: str | Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
+def to_utc(local: str, zone: str = LOCAL_ZONE) -> str:
+    return f"convert_timezone('{zone}', 'UTC', {local})"
 
 
-def is_nonexistent_local(ts: str | Column, zone: str = LOCAL_ZONE) -> Column:
+def is_nonexistent_local(local: str, zone: str = LOCAL_ZONE) -> str:
     """True inside the hour a spring change skips: the round trip lands elsewhere."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return to_local(to_utc(ts, zone), zone) != ts
+    return f"({to_local(to_utc(local, zone), zone)} <> {local})"
 
 
-def is_ambiguous_local(ts: str | Column, zone: str = LOCAL_ZONE) -> Column:
+def is_ambiguous_local(local: str, zone: str = LOCAL_ZONE) -> str:
     """True when two instants share the wall clock, whichever of them the engine picks."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    instant = to_utc(ts, zone)
-    hour = F.expr("INTERVAL 1 HOUR")
-    twin = (to_local(instant + hour, zone) == ts) | (to_local(instant - hour, zone) == ts)
-    return ~is_nonexistent_local(ts, zone) & twin
+    later = to_local(f"{to_utc(local, zone)} + INTERVAL 1 HOUR", zone)
+    earlier = to_local(f"{to_utc(local, zone)} - INTERVAL 1 HOUR", zone)
+    return (
+        f"(NOT {is_nonexistent_local(local, zone)}"
+        f" AND ({later} = {local} OR {earlier} = {local}))"
+    )

@@ -1,25 +1,24 @@
-"""Digests of rows and payloads."""
+"""Digests of rows and payloads as Spark SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 
-def canonical_json(*columns: Column | str) -> Column:
+def canonical_json(columns: Sequence[str]) -> str:
     """One JSON text per row with the fields in the given order and nulls kept."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return f"to_json(struct({', '.join(columns)}), map('ignoreNullFields', 'false'))"
 
 
-def payload_digest(text: Column | str) -> Column:
-    return F.sha2(text, 256)
+def payload_digest(text: str) -> str:
+    return f"sha2({text}, 256)"
 
 
-def short_digest(*columns: Column | str) -> Column:
+def short_digest(columns: Sequence[str]) -> str:
     """Sixteen hex digits naming the content of a row."""
-    return F.substring(payload_digest(canonical_json(*columns)), 1, 16)
+    return f"substring({payload_digest(canonical_json(columns))}, 1, 16)"
 
 
-def sampling_key(seed: int, identifier: Column | str) -> Column:
+def sampling_key(seed: int, identifier: str) -> str:
     """A reproducible pseudo-random order key that ignores how rows are laid out."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), identifier))
+    return f"md5(concat('{seed}:', {identifier}))"

@@ -1,60 +1,56 @@
-"""Numeric expressions."""
+"""Numeric expressions as Spark SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # 2**20 steps per unit: integer parts of validated miles and mph add up exactly.
 FRACTION_STEPS = 1 << 20
 
 
-def is_finite(value: Column) -> Column:
-    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+def is_finite(value: str) -> str:
+    return f"(NOT isnan({value}) AND abs({value}) < double('Infinity'))"
 
 
-def coarse_part(value: Column) -> Column:
+def coarse_part(value: str) -> str:
     """``value`` in whole steps of 1/2**20, as a bigint whose sums are exact."""
-    return F.floor(value * FRACTION_STEPS).cast("bigint")
+    return f"CAST(floor({value} * {FRACTION_STEPS}D) AS BIGINT)"
 
 
-def fine_part(value: Column) -> Column:
+def fine_part(value: str) -> str:
     """What :func:`coarse_part` left over, in [0, 1/2**20)."""
-    return value - coarse_part(value) / F.lit(float(FRACTION_STEPS))
+    return f"({value} - {coarse_part(value)} / {FRACTION_STEPS}D)"
 
 
-def join_parts(coarse: Column, fine: Column) -> Column:
-    return coarse / F.lit(float(FRACTION_STEPS)) + fine
+def join_parts(coarse: str, fine: str) -> str:
+    return f"({coarse} / {FRACTION_STEPS}D + {fine})"
 
 
-def speed_mph(miles: Column, seconds: Column) -> Column:
-    return miles / (seconds / F.lit(3600.0))
+def speed_mph(miles: str, seconds: str) -> str:
+    return f"({miles} / ({seconds} / 3600D))"
 
 
-def mae_improvement_pct(candidate: Column, reference: Column) -> Column:
+def mae_improvement_pct(candidate: str, reference: str) -> str:
     """Relative MAE gain in percent; a perfect reference can only be equalled."""
-    perfect = F.when(candidate == 0, F.lit(0.0)).otherwise(F.lit(-100.0))
-    return F.when(reference == 0, perfect).otherwise(
-        F.try_divide(reference - candidate, reference) * 100
+    return (
+        f"CASE WHEN {reference} = 0 THEN CASE WHEN {candidate} = 0 THEN 0D ELSE -100D END "
+        f"ELSE ({reference} - {candidate}) / {reference} * 100 END"
     )
 
 
-def relative_close(left: Column, right: Column, tolerance: float) -> Column:
-    return F.abs(left - right) <= F.lit(tolerance) * F.greatest(F.abs(left), F.abs(right))
+def relative_close(left: str, right: str, tolerance: float) -> str:
+    return f"(abs({left} - {right}) <= {tolerance!r}D * greatest(abs({left}), abs({right})))"
 
 
-def bucket_label(value: Column, edges: list[float]) -> Column:
+def bucket_label(value: str, edges: list[float]) -> str:
     """``[a,b)`` label of the half-open bucket that holds ``value``; NULL outside all."""
 
     def text(edge: float) -> str:
         return "inf" if edge == float("inf") else f"{edge:g}"
 
-    label = F.lit(None).cast("string")
-    for lower, upper in reversed(list(zip(edges, edges[1:]))):
-        inside = value >= F.lit(float(lower))
-        if upper != float("inf"):
-            inside = inside & (value < F.lit(float(upper)))
-        else:
-            inside = inside & (value < F.lit(float("inf")))
-        label = F.when(inside, F.lit(f"[{text(lower)},{text(upper)})")).otherwise(label)
-    return label
+    cases = []
+    for lower, upper in zip(edges, edges[1:]):
+        # An infinite upper edge also keeps NaN out, which compares above it.
+        limit = "double('Infinity')" if upper == float("inf") else f"{upper!r}D"
+        cases.append(
+            f"WHEN {value} >= {lower!r}D AND {value} < {limit} THEN '[{text(lower)},{text(upper)})'"
+        )
+    return f"CASE {' '.join(cases)} END"
