@@ -40,17 +40,17 @@ def relative_close(left: str, right: str, tolerance: float) -> str:
     return f"(abs({left} - {right}) <= {tolerance!r}D * greatest(abs({left}), abs({right})))"
 
 
-def bucket_label(value: str, edges: list[float]) -> str:
-    """``[a,b)`` label of the half-open bucket that holds ``value``; NULL outside all."""
+def bucket_name(lower: float, upper: float) -> str:
+    return "[" + ",".join(f"{edge:g}" for edge in (lower, upper)) + ")"
 
-    def text(edge: float) -> str:
-        return "inf" if edge == float("inf") else f"{edge:g}"
 
+def bucket_label(value: str, edges: list[float]) -> str:
+    """``[a,b)`` label of the half-open bucket that holds ``value``; NULL outside all."""
     cases = []
     for lower, upper in zip(edges, edges[1:]):
         # An infinite upper edge also keeps NaN out, which compares above it.
         limit = "double('Infinity')" if upper == float("inf") else f"{upper!r}D"
         cases.append(
-            f"WHEN {value} >= {lower!r}D AND {value} < {limit} THEN '[{text(lower)},{text(upper)})'"
+            f"WHEN {value} >= {lower!r}D AND {value} < {limit} THEN '{bucket_name(lower, upper)}'"
         )
     return f"CASE {' '.join(cases)} END"
