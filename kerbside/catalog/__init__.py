@@ -6,7 +6,7 @@ from importlib import import_module
 
 from kerbside.session import configure
 
-MODULES = ("trips", "ingest", "models", "operations")
+MODULES = ("trips", "ingest", "models", "operations", "messages", "live")
 
 
 def _modules():

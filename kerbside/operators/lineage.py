@@ -29,9 +29,10 @@ def lineage_state(log: DataFrame) -> DataFrame:
             F.expr(f"min(CASE WHEN {ended} THEN seq END) AS _end_seq"),
             F.expr("min(CASE WHEN status = 'running' THEN seq END) AS _start_seq"),
         )
+        .selectExpr("*", "coalesce(_end, _start) AS _state")
         .selectExpr(
             "run_id",
-            "coalesce(_end, _start).*",
+            "_state.*",
             "terminal_records",
             "NOT (start_records = 1 AND terminal_records <= 1"
             " AND coalesce(_end_seq > _start_seq, true)) AS illegal_transition",
