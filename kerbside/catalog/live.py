@@ -86,8 +86,7 @@ def _prediction_messages(spark, folder):
 
 
 def _windows(completions):
-    both = [windows.zone_windows(completions, kind, slide_seconds=SLIDE) for kind in windows.WINDOW_SECONDS]
-    return both[0].unionByName(both[1])
+    return windows.zone_windows(completions, slide_seconds=SLIDE)
 
 
 def _streamed_windows(spark, folder):

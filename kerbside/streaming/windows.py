@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside import schemas
+from kerbside.errors import DataContractError
 from kerbside.functions import numbers
+from kerbside.operators.pointintime import trailing_features
+from kerbside.operators.ranking import percentiles
 
 # --- fixed values ---
 LATENESS_SECONDS = 300
@@ -30,17 +33,19 @@ def zone_completions(trips: DataFrame) -> DataFrame:
 
 def zone_windows(
     completions: DataFrame,
-    window_kind: str,
     *,
     slide_seconds: int = SLIDE_SECONDS,
     lateness_seconds: int = LATENESS_SECONDS,
 ) -> DataFrame:
-    """Count and means per end-exclusive sliding window, role and zone.
+    """Count and means per end-exclusive sliding window of both lengths, role and zone.
 
     Events are first reduced to panes as long as the slide, so an event is
-    touched once however many windows it falls into; windows then add panes.
-    On a stream both steps close by the same watermark (append mode).
+    touched once however many windows it falls into. Long windows then add
+    panes, and the short window with the same end adds those of its part. On a
+    stream both steps close by the same watermark (append mode).
     """
+    if schemas.SHORT_WINDOW_SECONDS % slide_seconds:
+        raise DataContractError("the slide must divide the short window")
     slide = f"{slide_seconds} seconds"
     panes = (
         # Watermarks need an absolute time; with a UTC session wall clocks keep their digits.
@@ -55,29 +60,42 @@ def zone_windows(
             F.expr("max(event_time) AS newest"),
         )
     )
-    length = f"{WINDOW_SECONDS[window_kind]} seconds"
+    placed = panes.withColumn(
+        "span", F.window(F.window_time("pane"), f"{schemas.LONG_WINDOW_SECONDS} seconds", slide)
+    )
+    totals = []
+    for kind, seconds in WINDOW_SECONDS.items():
+        inside = f"pane.start >= span.end - INTERVAL {seconds} SECONDS"
+        for name in ("n", "duration", "speed", "distance"):
+            totals.append(F.expr(f"sum(CASE WHEN {inside} THEN {name} END) AS {name}_{kind}"))
+        totals.append(F.expr(f"max(CASE WHEN {inside} THEN newest END) AS newest_{kind}"))
+    rows = ", ".join(
+        f"'{kind}', span.end - INTERVAL {seconds} SECONDS, n_{kind}, duration_{kind}, speed_{kind},"
+        f" distance_{kind}, newest_{kind}"
+        for kind, seconds in WINDOW_SECONDS.items()
+    )
     return (
-        panes.groupBy(
-            F.window(F.window_time("pane"), length, slide).alias("span"), "zone_role", "zone_id"
-        )
-        .agg(
-            F.expr("sum(n) AS trip_count"),
-            F.expr("sum(duration) / sum(n) AS mean_duration_seconds"),
-            F.expr("sum(speed) / sum(n) AS mean_speed_mph"),
-            F.expr("sum(distance) / sum(n) AS mean_distance_miles"),
-            F.expr("max(newest) AS source_max_event_time"),
+        placed.groupBy("span", "zone_role", "zone_id")
+        .agg(*totals)
+        .selectExpr(
+            "zone_role",
+            "zone_id",
+            "span.end AS window_end",
+            f"stack({len(WINDOW_SECONDS)}, {rows}) AS (window_kind, window_start, trip_count,"
+            " duration, speed, distance, newest)",
         )
+        .where("trip_count > 0")
         .selectExpr(
             "zone_role",
             "zone_id",
-            f"'{window_kind}' AS window_kind",
-            "CAST(span.start AS TIMESTAMP_NTZ) AS window_start",
-            "CAST(span.end AS TIMESTAMP_NTZ) AS window_end",
+            "window_kind",
+            "CAST(window_start AS TIMESTAMP_NTZ) AS window_start",
+            "CAST(window_end AS TIMESTAMP_NTZ) AS window_end",
             "trip_count",
-            "mean_duration_seconds",
-            "mean_speed_mph",
-            "mean_distance_miles",
-            "CAST(source_max_event_time AS TIMESTAMP_NTZ) AS source_max_event_time",
+            "duration / trip_count AS mean_duration_seconds",
+            "speed / trip_count AS mean_speed_mph",
+            "distance / trip_count AS mean_distance_miles",
+            "CAST(newest AS TIMESTAMP_NTZ) AS source_max_event_time",
         )
     )
 
@@ -140,8 +158,6 @@ def late_events(arrivals: DataFrame, lateness_seconds: int = LATENESS_SECONDS) -
 
 def freshness(snapshots: DataFrame, written_at: str = "written_at") -> DataFrame:
     """p95 seconds from the newest event of a snapshot to its write."""
-    from kerbside.operators.ranking import percentiles
-
     return percentiles(
         snapshots.where("source_max_event_time IS NOT NULL").selectExpr(
             f"(unix_micros(CAST({written_at} AS TIMESTAMP))"
@@ -160,8 +176,6 @@ def feature_parity(
     The batch side looks back from each window end with the point-in-time
     operator, so both sides see ``[end - W, end)``.
     """
-    from kerbside.operators.pointintime import trailing_features
-
     facts = zone_completions(trips).selectExpr(
         "struct(zone_role, zone_id) AS zone", "event_time AS window_end", "duration", "speed", "distance"
     )
