@@ -59,11 +59,15 @@ def percentiles(
     around = placed.groupBy(*keys).agg(
         F.expr("max(_rows) AS _rows"),
         *[F.expr(f"count_if(_v < _edges[{2 * i}]) AS _below_{i}") for i in range(last + 1)],
+        # Interpolation may need the neighbours just outside a bracket.
+        *[F.expr(f"max(CASE WHEN _v < _edges[{2 * i}] THEN _v END) AS _prev_{i}") for i in range(last + 1)],
         *[F.expr(f"min(CASE WHEN _v > _edges[{2 * i + 1}] THEN _v END) AS _next_{i}") for i in range(last + 1)],
     )
-    stacked = ", ".join(f"{i}, {percents[i]}, _below_{i}, _next_{i}" for i in range(last + 1))
+    stacked = ", ".join(
+        f"{i}, {percents[i]}, _below_{i}, _prev_{i}, _next_{i}" for i in range(last + 1)
+    )
     around = around.selectExpr(
-        *keys, "_rows", f"stack({last + 1}, {stacked}) AS (_i, _percent, _below, _next)"
+        *keys, "_rows", f"stack({last + 1}, {stacked}) AS (_i, _percent, _below, _prev, _next)"
     ).selectExpr(
         "*",
         (
@@ -85,7 +89,10 @@ def percentiles(
         .selectExpr("*", f"{running} AS _upto")
         .groupBy(*keys, "_percent")
         .agg(
-            F.expr("min(CASE WHEN _upto >= _rank THEN _v END) AS _at"),
+            F.expr(
+                "CASE WHEN max(_rank) <= max(_below) THEN max(_prev)"
+                " ELSE min(CASE WHEN _upto >= _rank THEN _v END) END AS _at"
+            ),
             F.expr(
                 "coalesce(min(CASE WHEN _upto >= _rank + 1 THEN _v END), max(_next)) AS _after"
             ),
