@@ -67,7 +67,13 @@ def rule_expressions(
     ]
     micros = f"({clock.MICROS_OF.format(dropoff)} - {clock.MICROS_OF.format(pickup)})"
     shortest, longest = (seconds * clock.MICROS for seconds in DURATION_SECONDS)
-    zone_list = ", ".join(str(int(zone)) for zone in zones)
+    known = sorted({int(zone) for zone in zones})
+
+    def in_zones(column: str) -> str:
+        if known and known[-1] - known[0] == len(known) - 1:
+            return f"{column} BETWEEN {known[0]} AND {known[-1]}"
+        return f"{column} IN ({', '.join(map(str, known)) or 'NULL'})"
+
     # NaN compares above every number, so upper bounds reject it; the fare has none.
     return {
         "required_fields": "(" + " AND ".join(f"{name} IS NOT NULL" for name in needed) + ")",
@@ -81,8 +87,8 @@ def rule_expressions(
             f" AND CAST({passengers} AS DOUBLE) % 1 = 0",
             passengers,
         ),
-        "known_pickup_zone": _unless_null(f"PULocationID IN ({zone_list})", "PULocationID"),
-        "known_dropoff_zone": _unless_null(f"DOLocationID IN ({zone_list})", "DOLocationID"),
+        "known_pickup_zone": _unless_null(in_zones("PULocationID"), "PULocationID"),
+        "known_dropoff_zone": _unless_null(in_zones("DOLocationID"), "DOLocationID"),
         "non_negative_fare": _unless_null(
             f"NOT isnan(CAST({fare} AS DOUBLE)) AND CAST({fare} AS DOUBLE) >= 0", fare
         ),

@@ -13,6 +13,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods above 8,000 bytes; without the limit a wide
+    # projection would run interpreted instead of being split into smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
