@@ -199,6 +199,41 @@ def quality_checks(
     )
 
 
+def partition_report(
+    counts: DataFrame,
+    month: Month,
+    source: str,
+    policy: str = "required",
+    threshold: float = DEFAULT_THRESHOLD,
+) -> DataFrame:
+    """The whole report of a partition as one row, its checks nested."""
+    limit = f"{_check_threshold(threshold)!r}D"
+
+    def rate(count: str) -> str:
+        return f"CASE WHEN total_rows > 0 THEN {count} / total_rows ELSE 0D END"
+
+    checks = ", ".join(
+        f"struct('{name}' AS rule, {name} AS violations, {limit} AS threshold,"
+        f" {rate(name)} <= {limit} AS passed)"
+        for name in (ANY_RULE, *RULES)
+    )
+    return counts.selectExpr(
+        f"'{month}' AS month",
+        f"'{contract_for(policy)}' AS contract_version",
+        f"CASE WHEN total_rows > 0 AND {rate(ANY_RULE)} <= {limit} THEN 'accepted'"
+        " ELSE 'quarantined' END AS status",
+        "total_rows",
+        "valid_rows",
+        f"{ANY_RULE} AS invalid_rows",
+        f"{rate(ANY_RULE)} AS violation_rate",
+        f"{limit} AS max_violation_rate",
+        "missing_passenger_rows",
+        "valid_missing_passenger_rows",
+        f"array({checks}) AS checks",
+        "current_timestamp() AS evaluated_at",
+    ).withColumn("source_path", F.lit(source))
+
+
 def report_consistency(reports: DataFrame) -> DataFrame:
     """Boolean columns telling which internal rules each partition report keeps."""
     rate = "CASE WHEN total_rows > 0 THEN invalid_rows / total_rows ELSE 0D END"
@@ -305,14 +340,15 @@ def version_gate(
         F.expr(f"min({column}) AS lowest"),
         F.expr(f"max({column}) AS highest"),
     )
-    all_inputs = per_input.agg(F.expr("min(lowest) = max(highest) AS versions_agree"))
     return per_input.selectExpr(
         by,
         "versions",
         "null_versions",
         "unsupported_rows",
         "versions = 1 AND null_versions = 0 AND unsupported_rows = 0 AS single_supported",
-    ).join(F.broadcast(all_inputs), F.lit(True))
+        # One row per input: there are as many as months.
+        "min(lowest) OVER () = max(highest) OVER () AS versions_agree",
+    )
 
 
 def known_zone_rows(trips: DataFrame, zones: DataFrame, column: str) -> DataFrame:

@@ -23,10 +23,10 @@ def percentiles(
     """``p<percent>`` columns over the non-NULL values, per group, exactly.
 
     The nearest rank ``ceil(percent * rows / 100)`` is used, or linear
-    interpolation between neighbours. A sketch brackets every rank, rows below
-    each bracket are counted, and only distinct values inside a bracket are
-    ordered: about 4 * rows / SKETCH_ACCURACY of them. Every step combines
-    before its shuffle. Without ``by`` there is one row, NULL when empty.
+    interpolation between neighbours. A sketch brackets every rank. Values
+    inside a bracket are counted one by one (about 4 * rows / SKETCH_ACCURACY
+    of them), all others only per stretch between brackets, and just these
+    counts are ordered. Without ``by`` there is one row, NULL when empty.
     """
     keys = list(by) or ["_all"]
     present = frame.selectExpr(
@@ -43,72 +43,49 @@ def percentiles(
     )
     if not by:
         brackets = F.broadcast(brackets)  # one row
-    placed = present.join(brackets, keys)
 
-    last = len(percents) - 1
-    inside = (
-        placed.selectExpr(
+    inside = " OR ".join(
+        f"_v BETWEEN _edges[{2 * i}] AND _edges[{2 * i + 1}]" for i in range(len(percents))
+    )
+    counted = (
+        present.join(brackets, keys)
+        .selectExpr(
             *keys,
+            "_rows",
             "_v",
-            f"explode(filter(sequence(0, {last}),"
-            " i -> _v >= _edges[2 * i] AND _v <= _edges[2 * i + 1])) AS _i",
+            f"CASE WHEN {inside} THEN _v END AS _exact",
+            "size(filter(_edges, e -> e < _v)) AS _stretch",
         )
-        .groupBy(*keys, "_i", "_v")
-        .agg(F.expr("count(1) AS _n"))
-    )
-    around = placed.groupBy(*keys).agg(
-        F.expr("max(_rows) AS _rows"),
-        *[F.expr(f"count_if(_v < _edges[{2 * i}]) AS _below_{i}") for i in range(last + 1)],
-        # Interpolation may need the neighbours just outside a bracket.
-        *[F.expr(f"max(CASE WHEN _v < _edges[{2 * i}] THEN _v END) AS _prev_{i}") for i in range(last + 1)],
-        *[F.expr(f"min(CASE WHEN _v > _edges[{2 * i + 1}] THEN _v END) AS _next_{i}") for i in range(last + 1)],
-    )
-    stacked = ", ".join(
-        f"{i}, {percents[i]}, _below_{i}, _prev_{i}, _next_{i}" for i in range(last + 1)
-    )
-    around = around.selectExpr(
-        *keys, "_rows", f"stack({last + 1}, {stacked}) AS (_i, _percent, _below, _prev, _next)"
-    ).selectExpr(
-        "*",
-        (
-            "floor((_rows - 1) * _percent / 100) + 1"
-            if interpolate
-            else "ceil(_rows * _percent / 100)"
+        .groupBy(*keys, "_exact", "_stretch")
+        .agg(
+            F.expr("max(_rows) AS _rows"),
+            F.expr("count(1) AS _n"),
+            F.expr("min(_v) AS _low"),
+            F.expr("max(_v) AS _high"),
         )
-        + " AS _rank",
-        ("((_rows - 1) * _percent / 100) % 1" if interpolate else "0D") + " AS _weight",
     )
-    if not by:
-        around = F.broadcast(around)  # one row per percent
-    running = (
-        f"_below + sum(_n) OVER (PARTITION BY {', '.join(keys)}, _i ORDER BY _v"
+    upto = (
+        f"sum(_n) OVER (PARTITION BY {', '.join(keys)} ORDER BY _low, _high"
         " ROWS UNBOUNDED PRECEDING)"
     )
-    picked = (
-        inside.join(around, [*keys, "_i"])
-        .selectExpr("*", f"{running} AS _upto")
-        .groupBy(*keys, "_percent")
-        .agg(
-            F.expr(
-                "CASE WHEN max(_rank) <= max(_below) THEN max(_prev)"
-                " ELSE min(CASE WHEN _upto >= _rank THEN _v END) END AS _at"
-            ),
-            F.expr(
-                "coalesce(min(CASE WHEN _upto >= _rank + 1 THEN _v END), max(_next)) AS _after"
-            ),
-            F.expr("max(_weight) AS _weight"),
-        )
-        .selectExpr(
-            *keys,
-            "_percent",
-            "CASE WHEN _weight > 0 THEN _at + (_after - _at) * _weight ELSE _at END AS _at",
-        )
-    )
-    columns = [
-        F.expr(f"max(CASE WHEN _percent = {percent} THEN _at END) AS p{percent}")
-        for percent in percents
-    ]
-    return picked.groupBy(*by).agg(*columns) if by else picked.agg(*columns)
+
+    def at(rank: str) -> str:
+        # The rank falls on a single value, or on the last or first of a stretch.
+        return f"min(CASE WHEN _upto = {rank} THEN _high WHEN _upto > {rank} THEN _low END)"
+
+    columns = []
+    for percent in percents:
+        if interpolate:
+            place = f"(max(_rows) - 1) * {percent} / 100"
+            lower = f"floor((_rows - 1) * {percent} / 100) + 1"
+            weight = f"({place} - floor({place}))"
+            first, second = at(f"({lower})"), at(f"({lower} + 1)")
+            text = f"CASE WHEN {weight} > 0 THEN {first} + ({second} - {first}) * {weight} ELSE {first} END"
+        else:
+            text = at(f"ceil(_rows * {percent} / 100)")
+        columns.append(F.expr(f"{text} AS p{percent}"))
+    running = counted.selectExpr("*", f"{upto} AS _upto")
+    return running.groupBy(*by).agg(*columns) if by else running.agg(*columns)
 
 
 def with_positions(frame: DataFrame, order_by: Sequence[str]) -> DataFrame:

@@ -64,20 +64,17 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
 
     published = spark.read.parquet(layers.gold())
     inputs = silver.groupBy("input").agg(F.expr("count(1) AS rows"))
-    manifest = (
-        inputs.agg(
-            F.expr("sum(rows) AS input_rows"),
-            F.expr("sort_array(collect_list(struct(input, rows))) AS inputs"),
-        )
-        .join(published.agg(F.expr("count(1) AS row_count")), F.lit(True))
-        .withColumns(
-            {
-                "month": F.lit(month),
-                "contract_version": F.lit(version),
-                "feature_model_version": F.lit(schemas.FEATURES_BY_CONTRACT[version]),
-                "built_at": F.current_timestamp(),
-            }
-        )
+    manifest = inputs.agg(
+        F.expr("sum(rows) AS input_rows"),
+        F.expr("sort_array(collect_list(struct(input, rows))) AS inputs"),
+    ).withColumns(
+        {
+            "row_count": F.lit(published.count()),
+            "month": F.lit(month),
+            "contract_version": F.lit(version),
+            "feature_model_version": F.lit(schemas.FEATURES_BY_CONTRACT[version]),
+            "built_at": F.current_timestamp(),
+        }
     )
     storage.write_report(manifest, layers.gold_manifest())
     return published

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Row, SparkSession
-from pyspark.sql import functions as F
 
 from kerbside import schemas
 from kerbside.errors import PublishRefused
@@ -67,19 +66,6 @@ def ingest_month(
     else:
         storage.remove(spark, layers.invalid_rows())
 
-    checks = quality.quality_checks(counts, when, policy, threshold)
-    report = gate.join(
-        counts.select("missing_passenger_rows", "valid_missing_passenger_rows"), F.lit(True)
-    ).withColumns(
-        {
-            "month": F.lit(month),
-            "contract_version": F.lit(quality.contract_for(policy)),
-            "source_path": F.lit(source),
-            "evaluated_at": F.current_timestamp(),
-        }
-    )
-    nested = checks.agg(
-        F.expr("collect_list(struct(rule, violations, threshold, passed)) AS checks")
-    )
-    storage.write_report(report.join(nested, F.lit(True)), layers.quality_report())
+    report = quality.partition_report(counts, when, source, policy, threshold)
+    storage.write_report(report, layers.quality_report())
     return IngestResult(accepted, counted, layers)

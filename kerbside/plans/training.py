@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside import schemas
 from kerbside.errors import DataContractError
@@ -79,18 +80,21 @@ def evaluate_models(
 
     metrics = evaluation.model_metrics(scored, MODELS)
     buckets = evaluation.bucket_metrics(scored, MODELS)
-    calibration = evaluation.max_calibration(buckets)
-    measured = metrics.join(calibration, "model")
+    measured = metrics.join(evaluation.max_calibration(buckets), "model")
     production = "NULL" if production_mae_seconds is None else f"{float(production_mae_seconds)!r}D"
-    candidate = measured.where(f"model = '{role}'").selectExpr(
-        "model AS candidate_version",
-        "mae_seconds",
-        "max_calibration_error_pct",
-        f"{float(inference_p95_ms)!r}D AS inference_p95_ms",
-        f"CAST({production} AS DOUBLE) AS production_mae_seconds",
+
+    def of(model: str, column: str) -> str:
+        return f"max(CASE WHEN model = '{model}' THEN {column} END) AS "
+
+    candidate = measured.agg(
+        F.expr(f"'{role}' AS candidate_version"),
+        F.expr(of(role, "mae_seconds") + "mae_seconds"),
+        F.expr(of("baseline", "mae_seconds") + "baseline_mae_seconds"),
+        F.expr(of(role, "max_calibration_error_pct") + "max_calibration_error_pct"),
+        F.expr(f"{float(inference_p95_ms)!r}D AS inference_p95_ms"),
+        F.expr(f"CAST({production} AS DOUBLE) AS production_mae_seconds"),
     )
-    baseline = metrics.where("model = 'baseline'").selectExpr("mae_seconds AS baseline_mae_seconds")
-    gates = evaluation.promotion_gates(candidate.join(baseline), thresholds)
+    gates = evaluation.promotion_gates(candidate, thresholds)
     return Evaluation(
         scored,
         metrics,

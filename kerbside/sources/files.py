@@ -25,9 +25,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def with_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows with their 0-based number inside their file; the reader counts, nothing shuffles."""
-    return spark.read.parquet(*paths).selectExpr(
-        "*", "_metadata.file_name AS source_file", "_metadata.row_index AS source_row_number"
+    """Rows with a 0-based ``source_row_number``, unique over all files.
+
+    The reader numbers the rows of each file without a shuffle. With several
+    files, in path order, each starts where the one before ended; counting
+    them reads no data column, and the list has one row per file.
+    """
+    read = spark.read.parquet(*paths)
+    if len(read.inputFiles()) <= 1:
+        return read.selectExpr("*", "_metadata.row_index AS source_row_number")
+    files = (
+        read.selectExpr("_metadata.file_path AS _file")
+        .groupBy("_file")
+        .agg(F.expr("count(1) AS _rows"))
+        .selectExpr("_file", "sum(_rows) OVER (ORDER BY _file) - _rows AS _first")
+    )
+    placed = read.selectExpr("*", "_metadata.file_path AS _file", "_metadata.row_index AS _row")
+    return placed.join(F.broadcast(files), "_file").selectExpr(
+        *read.columns, "_first + _row AS source_row_number"
     )
 
 

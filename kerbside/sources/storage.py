@@ -13,34 +13,44 @@ from kerbside.functions.clock import Month
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the tables of one month live below a root that all executors can reach."""
+    """Where the tables of one month live below a root that all executors can reach.
+
+    Every table is a directory of ``month=`` partitions, so a table can also be
+    read as a whole and pruned by month.
+    """
 
     root: str
     month: Month
 
-    def _folder(self, layer: str, month: Month | None = None) -> str:
-        return f"{self.root}/{layer}/{schemas.FLEET}/month={month or self.month}"
-
-    def bronze(self) -> str:
-        return self._folder("bronze")
+    def _partition(self, table: str, month: Month | None = None) -> str:
+        return f"{table_path(self.root, table)}/month={month or self.month}"
 
     def silver(self, month: Month | None = None) -> str:
-        return self._folder("silver", month) + "/trips"
+        return self._partition("silver", month)
 
     def invalid_rows(self) -> str:
-        return self._folder("quarantine") + "/invalid_rows"
+        return self._partition("quarantine/invalid_rows")
 
     def rejected_source(self) -> str:
-        return self._folder("quarantine") + "/source"
+        return self._partition("quarantine/source")
 
     def quality_report(self, month: Month | None = None) -> str:
-        return self._folder("quality", month) + "/report"
+        return self._partition("quality", month)
 
     def gold(self, month: Month | None = None) -> str:
-        return self._folder("gold", month) + "/training_features"
+        return self._partition("gold", month)
 
     def gold_manifest(self) -> str:
-        return self._folder("gold") + "/manifest"
+        return self._partition("gold_manifests")
+
+
+def table_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}/{schemas.FLEET}"
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All months of a table with their ``month`` column; filters on it prune directories."""
+    return spark.read.parquet(table_path(root, table))
 
 
 def _file_system(spark: SparkSession, path: str):
