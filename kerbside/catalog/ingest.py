@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from kerbside.catalog import messages
 from kerbside.catalog.inputs import MONTH, ctes, frame, rounded, snapped
 from kerbside.functions import digests
 from kerbside.operators import contracts, lineage, quality
@@ -25,8 +28,6 @@ def _rule_masks(spark, folder):
 
 
 def _valid_split(spark, folder):
-    from pyspark.sql import functions as F
-
     both = [
         _masked(spark, folder, policy)
         .groupBy("row_valid")
@@ -54,8 +55,6 @@ def _reports(spark, folder):
 
 
 def _report_columns():
-    from pyspark.sql import functions as F
-
     invalid = "count_if(event_id % 7 = 0)"
     return [
         F.expr("count(1) AS total_rows"),
@@ -158,6 +157,28 @@ def _digest_check(spark, folder):
     )
 
 
+def _lineage_chain(spark, folder):
+    """A run per event on the gold month of its user, with mix-ups of month, gold and silver."""
+    events = frame(spark, folder, "events")
+    users = events.select("user_id").distinct()
+    training = events.selectExpr(
+        "event_id AS run_id",
+        "'month-' || user_id AS holdout_month",
+        "CASE WHEN event_id % 13 = 0 THEN 'other' ELSE 'gold-' || user_id END AS holdout_sha256",
+    )
+    gold = users.selectExpr("'month-' || user_id AS month", "'gold-' || user_id AS output_sha256")
+    gold_inputs = users.selectExpr(
+        "'month-' || user_id AS month",
+        "explode(array('month-' || user_id, 'before-' || user_id)) AS input_month",
+    ).selectExpr("month", "input_month", "'silver-' || input_month AS sha256")
+    workloads = events.where("event_id % 17 <> 0").selectExpr(
+        "event_id AS run_id",
+        "CASE WHEN event_id % 11 = 0 THEN 'month-x' ELSE 'month-' || user_id END AS month",
+        "CASE WHEN event_id % 7 = 0 THEN 'silver-before-' || user_id ELSE 'silver-month-' || user_id END AS silver_sha256",
+    )
+    return lineage.lineage_chain(training, gold, gold_inputs, workloads)
+
+
 def _source_row_ids(spark, folder):
     return files.with_source_rows(spark, [f"{folder}/events.parquet"]).selectExpr(
         "event_id", "source_row_number", f"concat_ws(':', 'yellow', '{MONTH}', source_row_number) AS trip_id"
@@ -167,22 +188,31 @@ def _source_row_ids(spark, folder):
 def _to_jsonl(spark, folder):
     columns = ["trip_id", "pickup_datetime", "pickup_zone_id", "dropoff_zone_id", "trip_distance_miles", "passenger_count"]
     text = digests.canonical_json(columns)
-    return frame(spark, folder, "trips").selectExpr(
-        "trip_id", f"{text} AS line", f"{digests.payload_digest(text)} AS line_sha256"
+    return (
+        frame(spark, folder, "trips")
+        .selectExpr("trip_id", f"{text} AS line", f"{digests.payload_digest(text)} AS line_sha256")
+        .selectExpr(
+            "trip_id",
+            "length(line_sha256) AS digest_length",
+            "from_json(line, 'trip_id string, pickup_datetime string, pickup_zone_id smallint,"
+            " dropoff_zone_id smallint, trip_distance_miles double, passenger_count smallint') AS back",
+        )
+        .selectExpr(
+            "trip_id", "digest_length", "back.pickup_datetime", "back.pickup_zone_id", "back.dropoff_zone_id",
+            "back.trip_distance_miles", "back.passenger_count",
+        )
     )
 
 
 def _jsonl_requests(spark, folder):
     """Requests written as lines, with blank ones in between, and read back."""
-    from kerbside.catalog import messages
-
     lines = messages.request_messages(spark, folder).selectExpr(
         "explode(array(payload, '')) AS value"
     )
     path = files.scratch_path(spark, "requests")
     lines.write.text(path)
-    return files.read_requests(spark, path).selectExpr(
-        "trip_id", "pickup_zone_id", "pickup_time", "is_valid"
+    return files.read_requests(spark, path).where("is_valid").select(
+        "trip_id", "pickup_zone_id", "passenger_count"
     )
 
 
@@ -201,6 +231,7 @@ QUERIES = {
     "source_row_ids": _source_row_ids,
     "file_manifest": _file_manifest,
     "lineage_digest_check": _digest_check,
+    "lineage_chain": _lineage_chain,
     "to_jsonl": _to_jsonl,
     "jsonl_requests": _jsonl_requests,
 }
@@ -238,6 +269,13 @@ def _renamed(policy: str, name: str) -> str:
 
 
 ORACLES = {
+    "source_row_ids": """SELECT event_id, row_number() OVER () - 1 AS source_row_number, 'yellow:2024-01:' || (row_number() OVER () - 1) AS trip_id FROM events""",
+    "to_jsonl": ctes("trips") + """ SELECT trip_id, CAST(64 AS INTEGER) AS digest_length, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f') AS pickup_datetime,
+  pickup_zone_id, dropoff_zone_id, trip_distance_miles, passenger_count FROM trips""",
+    "jsonl_requests": f"""WITH valid AS ({messages.ORACLES['contract_request']})
+SELECT 'e:' || e.event_id AS trip_id, CAST(user_id % 20 + 1 AS INTEGER) AS pickup_zone_id,
+  CAST(CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE e.event_id % 10 END AS INTEGER) AS passenger_count
+FROM valid v JOIN events e ON v.event_id = e.event_id WHERE v.is_valid""",
     "rule_masks": f"{_M} SELECT source_row_number, {', '.join('passes_' + r for r in _RULES)}, row_valid FROM masked",
     "valid_split": f"""{_RAW}, {_renamed('required', 'strict')}, {_renamed(ALLOW, 'lenient')}
 SELECT 'required' AS policy, row_valid, count(*) AS rows, CAST(sum(source_row_number) AS BIGINT) AS row_number_sum FROM strict GROUP BY row_valid
@@ -280,6 +318,9 @@ FROM events WHERE event_id % 29 <> 0 OR event_id % 4 <> 3 OR event_id % 37 = 0""
     "run_checks": """SELECT 'r:' || (event_id - event_id % 5) AS run_id, '2024-01' AS "partition", 'rule_' || (event_id % 5) AS rule,
   event_id % 13 AS violations, CAST(100 AS BIGINT) AS total_rows, 0.1e0 AS threshold, event_id % 13 <= 10 AS passed, '1.1' AS contract_version
 FROM events WHERE (event_id - event_id % 5) % 10 = 0""",
+    "lineage_chain": """WITH r AS (SELECT event_id AS run_id, event_id % 11 <> 0 AND event_id % 17 <> 0 AS m, event_id % 13 <> 0 AS g,
+  event_id % 7 <> 0 AND event_id % 17 <> 0 AS s FROM events)
+SELECT run_id, m AS workload_month_matches, g AS gold_digest_matches, s AS silver_is_gold_input, m AND g AND s AS verified FROM r""",
     "contract_lineage": """WITH r AS (SELECT event_id,
   CASE event_id % 6 WHEN 0 THEN 'running' WHEN 1 THEN 'accepted' WHEN 2 THEN 'quarantined' WHEN 3 THEN 'failed' WHEN 4 THEN 'accepted'
     ELSE CASE WHEN event_id % 41 = 0 THEN 'lost' ELSE 'failed' END END AS status,

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbside.catalog.inputs import ctes, frame, rounded, snapped
+from kerbside.functions import digests
 from kerbside.operators import delivery, loadtest
 from kerbside.operators.ranking import percentiles
+from kerbside.sources import kafka
 
 MODEL = "m-static"
 # --- fixed values: histogram edges of the request duration panel, in seconds ---
 DURATION_EDGES = (0.001, 0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 1, 5)
 # --- end of fixed values ---
 WAIT_SECONDS = 5400
+UUID_OF = (
+    "regexp_replace(md5(CAST({0} AS STRING)), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '$1-$2-$3-$4-$5')"
+)
 
 
 def _samples(spark, folder):
@@ -60,13 +65,16 @@ def _phased(spark, folder):
         f"CASE WHEN phase = 'healthy' THEN '{MODEL}' WHEN phase = 'recovered' THEN model_version END AS model_version",
         "CASE WHEN phase = 'outage' THEN 'unconfirmed' WHEN phase = 'healthy' THEN 'acknowledged' ELSE publication END AS publication",
         "CASE WHEN phase = 'healthy' THEN true WHEN phase = 'recovered' THEN feature_fallback END AS feature_fallback",
+        "sequence % 50 >= 40 AS is_warmup",
     )
 
 
 def _phase_checks(spark, folder):
     rows = _phased(spark, folder)
-    phases = rows.groupBy("phase").agg(F.expr("count(1) AS scheduled")).selectExpr(
-        "phase", "phase = 'outage' AS outage", "scheduled", "phase = 'healthy' AS objectives_met"
+    phases = rows.groupBy("phase").agg(
+        F.expr("count_if(NOT is_warmup) AS scheduled"), F.expr("count_if(is_warmup) AS warmups")
+    ).selectExpr(
+        "phase", "phase = 'outage' AS outage", "scheduled", "warmups", "phase = 'healthy' AS objectives_met"
     )
     return loadtest.phase_checks(rows, phases, MODEL)
 
@@ -121,12 +129,42 @@ def _envelope(spark, folder):
         rows, ["prediction_id", "trip_id", "estimated_duration_seconds", "served_at", "schema_version"]
     ).selectExpr(
         "CAST(key AS STRING) AS key",
-        "CAST(value AS STRING) AS value",
+        "from_json(CAST(value AS STRING), 'prediction_id string, trip_id string,"
+        " estimated_duration_seconds double, served_at string, schema_version string') AS message",
         "array_join(transform(headers, h -> h.key || '=' || CAST(h.value AS STRING)), ';') AS headers",
+    ).selectExpr("key", "headers", "message.*")
+
+
+def _readback(spark, folder):
+    """Envelopes as a topic would hold them, read back up to captured end offsets and reconciled."""
+    rows = frame(spark, folder, "answered").where("outcome = 'success'").selectExpr(
+        "sequence",
+        f"{UUID_OF.format('sequence')} AS prediction_id",
+        "trip_id",
+        "model_version",
+        "map('trip_distance_miles', 1D) AS features_used",
+        "map_from_arrays(CAST(array() AS ARRAY<STRING>), CAST(array() AS ARRAY<STRING>)) AS feature_timestamps",
+        "feature_fallback",
+        "600D + sequence AS estimated_duration_seconds",
+        "'2024-01-15T00:00:00Z' AS served_at",
+        "'1.1' AS schema_version",
+    )
+    fields = [name for name in rows.columns if name != "sequence"]
+    # The last tenth of every partition lies past the captured end.
+    records = delivery.kafka_envelope(rows, fields, keep=["sequence"]).selectExpr(
+        "key", "value", "headers", "CAST(sequence % 3 AS INT) AS partition", "sequence div 3 AS offset"
+    )
+    ends = {row.partition: row.end_offset * 9 // 10 for row in kafka.end_offsets(records).collect()}
+    published = kafka.published_predictions(kafka.up_to(records, ends))
+    samples = rows.selectExpr(
+        "trip_id", "prediction_id", "model_version", "feature_fallback", "'success' AS outcome",
+        f"{digests.payload_digest(digests.canonical_json(fields))} AS prediction_sha256",
     )
+    return delivery.delivery_reconcile(published, samples).groupBy("verdict").agg(F.expr("count(1) AS predictions"))
 
 
 QUERIES = {
+    "topic_readback": _readback,
     "sample_outcome": lambda s, d: loadtest.sample_outcomes(_responses(s, d), "acknowledged", "static").select("event_id", "outcome"),
     "outcome_counts": lambda s, d: loadtest.outcome_counts(_samples(s, d)),
     "load_percentiles": lambda s, d: rounded(loadtest.load_percentiles(_samples(s, d))),
@@ -159,7 +197,8 @@ _PCT = "SELECT '{0}' AS metric, snap(quantile_disc({1}, 0.5)) AS p50, snap(quant
 _PHASED = _S + f""", phased AS (SELECT CASE WHEN sequence % 10 < 4 THEN 'healthy' WHEN sequence % 10 < 7 THEN 'outage' ELSE 'recovered' END AS phase, * FROM answered),
  c AS (SELECT count(*) AS n, count(*) FILTER (WHERE outcome = 'success') AS ok, count(*) FILTER (WHERE outcome = 'load_generator_overflow') AS dropped,
    count(*) FILTER (WHERE model_version = '{MODEL}') AS approved, count(model_version) AS modelled,
-   count(*) FILTER (WHERE publication = 'acknowledged') AS acked, count(*) FILTER (WHERE outcome = 'success' AND feature_fallback) AS static FROM phased WHERE phase = 'recovered') """
+   count(*) FILTER (WHERE publication = 'acknowledged') AS acked, count(*) FILTER (WHERE outcome = 'success' AND feature_fallback) AS static FROM phased WHERE phase = 'recovered' AND sequence % 50 < 40),
+ u AS (SELECT count(*) AS n, count(*) FILTER (WHERE outcome = 'success') AS ok FROM phased WHERE phase = 'recovered' AND sequence % 50 >= 40) """
 _DELIVERY = ctes("answered", "published") + """, records AS (SELECT prediction_id, trip_id, model_version, feature_fallback, payload_sha256, envelope_ok, count(*) AS records
    FROM published GROUP BY ALL),
  seen AS (SELECT prediction_id, count(*) > 1 AS duplicate FROM published GROUP BY 1),
@@ -179,6 +218,9 @@ _TRUTHS = ctes("trips") + f""", p AS (SELECT 'p:' || source_row_number AS predic
    CASE WHEN joined THEN CAST(actual AS DOUBLE) END AS join_latency_seconds, joined FROM p) """
 
 ORACLES = {
+    "topic_readback": f"""{_S}, s AS (SELECT sequence % 3 AS p, sequence // 3 AS o FROM answered WHERE outcome = 'success'),
+ e AS (SELECT p, (max(o) + 1) * 9 // 10 AS stop FROM s GROUP BY 1)
+SELECT CASE WHEN o < stop THEN 'matched' ELSE 'missing' END AS verdict, count(*) AS predictions FROM s JOIN e USING (p) GROUP BY 1""",
     "sample_outcome": """SELECT event_id, CASE WHEN event_id % 101 = 0 THEN 'load_generator_overflow' WHEN event_id % 59 = 0 THEN 'timeout'
   WHEN event_id % 53 = 0 THEN 'transport_error' WHEN event_type = 'error' THEN 'http_error' WHEN event_id % 43 = 0 THEN 'invalid_prediction'
   WHEN event_id % 41 = 0 AND event_id <> 0 THEN 'trip_id_mismatch' WHEN event_id % 37 = 0 OR event_id % 31 = 0 THEN 'publication_mismatch'
@@ -207,12 +249,13 @@ SELECT a AS all_arrivals_accounted_for, b AS successful_predictions, e AS error_
   snap(quantile_disc(latency_ms, 0.99)) AS p99 FROM answered WHERE outcome = 'success' GROUP BY 1""",
     "phase_checks": _PHASED + " UNION ALL ".join(
         [f" SELECT '{p}' AS phase, '{n}' AS check_name, true AS passed" for p, names in {
-            "healthy": ("all_arrivals_accounted_for", "no_dropped_arrivals", "benchmark_objectives", "approved_model_only", "all_successes_acknowledged", "all_static"),
+            "healthy": ("all_arrivals_accounted_for", "no_dropped_arrivals", "benchmark_objectives", "approved_model_only", "all_successes_acknowledged", "all_static", "warmup_successful"),
             "outage": ("all_arrivals_accounted_for", "no_dropped_arrivals", "all_requests_fail_explicitly", "all_http_503", "all_publication_unconfirmed"),
         }.items() for n in names]
         + [f" SELECT 'recovered', '{n}', {t} FROM c" for n, t in {
             "all_arrivals_accounted_for": "true", "no_dropped_arrivals": "dropped = 0", "benchmark_objectives": "false",
             "approved_model_only": "approved = ok AND modelled = ok AND ok > 0", "all_successes_acknowledged": "acked = ok", "all_static": "ok > 0 AND static = ok",
+            "warmup_successful": "(SELECT u.n = u.ok FROM u)",
         }.items()]
     ),
     "counter_delta": """WITH e AS (SELECT event_type || ':' || (user_id % 50) AS label, event_id FROM events),
@@ -228,6 +271,9 @@ SELECT a.label, a.v - coalesce(b.v, 0) AS delta FROM a LEFT JOIN b ON a.label =
 SELECT snap(q.quantile) AS quantile, (SELECT count(*) FROM v) AS total,
   snap(CASE WHEN h.i IS NULL THEN 5e0 ELSE prev + (le - prev) * (q.quantile * total - below) / (cum - below) END) AS estimate
 FROM q LEFT JOIN hit h USING (quantile) LEFT JOIN d ON d.i = h.i""",
+    "kafka_envelope": ctes("requests") + """ SELECT trip_id AS key, 'content-type=application/json;schema-version=1.1;prediction-id=' || sha256(trip_id) AS headers,
+  sha256(trip_id) AS prediction_id, trip_id, static_score AS estimated_duration_seconds,
+  strftime(pickup_time, '%Y-%m-%dT%H:%M:%S.%f') AS served_at, '1.1' AS schema_version FROM requests""",
     "error_fraction": f"""{_S} SELECT snap(count(*) FILTER (WHERE status_code >= 500) / count(status_code)) AS error_fraction,
   snap(count(*) FILTER (WHERE feature_fallback) / count(*) FILTER (WHERE status_code = 200)) AS fallback_fraction FROM answered""",
     "first_per_cohort": ctes("trips") + """ SELECT cohort, source_row_number, trip_id, passenger_count FROM (SELECT *,

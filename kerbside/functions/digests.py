@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
+# Nulls stay visible and times keep their microseconds.
+JSON_OPTIONS = (
+    "map('ignoreNullFields', 'false',"
+    " 'timestampFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\","
+    " 'timestampNTZFormat', \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+)
+
+
 def canonical_json(columns: Sequence[str]) -> str:
     """One JSON text per row with the fields in the given order and nulls kept."""
-    return f"to_json(struct({', '.join(columns)}), map('ignoreNullFields', 'false'))"
+    return f"to_json(struct({', '.join(columns)}), {JSON_OPTIONS})"
 
 
 def payload_digest(text: str) -> str:

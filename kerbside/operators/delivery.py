@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions import digests
+
 # --- fixed values ---
 UNSURE_OUTCOMES = ("http_error", "timeout", "transport_error")
 # --- end of fixed values ---
 
 
-def kafka_envelope(predictions: DataFrame, payload: list[str]) -> DataFrame:
-    """Rows for the Kafka sink: key, JSON value and headers."""
+def kafka_envelope(predictions: DataFrame, payload: list[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows for the Kafka sink: key, JSON value and headers, next to the columns in ``keep``."""
     return predictions.selectExpr(
+        *keep,
         "CAST(trip_id AS BINARY) AS key",
-        f"CAST(to_json(struct({', '.join(payload)}), map('ignoreNullFields', 'false')) AS BINARY) AS value",
+        f"CAST({digests.canonical_json(payload)} AS BINARY) AS value",
         "array("
         "named_struct('key', 'content-type', 'value', CAST('application/json' AS BINARY)),"
         "named_struct('key', 'schema-version', 'value', CAST(schema_version AS BINARY)),"

@@ -40,6 +40,32 @@ def lineage_state(log: DataFrame) -> DataFrame:
     )
 
 
+def lineage_chain(
+    training: DataFrame, gold: DataFrame, gold_inputs: DataFrame, workloads: DataFrame
+) -> DataFrame:
+    """Whether each workload, gold month and holdout rest on the same files.
+
+    ``training`` has run_id, holdout_month and holdout_sha256; ``gold`` month
+    and output_sha256; ``gold_inputs`` month, input_month and sha256;
+    ``workloads`` run_id, month and silver_sha256. One row per run.
+    """
+    used = gold_inputs.where("input_month = month").selectExpr("month", "sha256 AS _silver").distinct()
+    made = gold.selectExpr("month", "output_sha256 AS _gold")
+    joined = (
+        training.join(workloads.selectExpr("run_id", "month AS _workload_month", "silver_sha256"), "run_id", "left")
+        .withColumnRenamed("holdout_month", "month")
+        .join(made, "month", "left")
+        .join(used.withColumnRenamed("_silver", "silver_sha256").withColumn("_used", F.lit(True)), ["month", "silver_sha256"], "left")
+    )
+    checks = {
+        "workload_month_matches": "_workload_month = month",
+        "gold_digest_matches": "_gold = holdout_sha256",
+        "silver_is_gold_input": "_used",
+    }
+    judged = joined.selectExpr("run_id", *[f"coalesce({t}, false) AS {n}" for n, t in checks.items()])
+    return judged.selectExpr("*", " AND ".join(checks) + " AS verified")
+
+
 def run_checks(runs: DataFrame, checks: DataFrame) -> DataFrame:
     """Quality checks of known runs in rule order."""
     return (

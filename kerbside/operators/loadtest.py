@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.errors import DataContractError
 from kerbside.operators.ranking import percentiles
 
 PERCENTS = (50, 95, 99)
@@ -115,11 +116,16 @@ def binned_percentiles(samples: DataFrame) -> DataFrame:
 def phase_checks(samples: DataFrame, phases: DataFrame, approved_model: str) -> DataFrame:
     """Checks per test phase.
 
-    ``phases`` has phase, outage, scheduled, objectives_met and is one row per
-    phase. An outage phase must fail every request explicitly; a healthy one
-    must serve the approved static model and acknowledge every success.
+    ``phases`` has phase, outage, scheduled, warmups, objectives_met and is one
+    row per phase; ``is_warmup`` tells warm-up samples from measured ones. An
+    outage phase must fail every request explicitly; a healthy one must serve
+    the approved static model, acknowledge every success and warm up cleanly.
     """
-    counts = samples.groupBy("phase").agg(
+    warmups = samples.groupBy("phase").agg(
+        F.expr("count_if(is_warmup) AS warmed"),
+        F.expr(f"count_if(is_warmup AND {_SUCCESS}) AS warmed_well"),
+    )
+    counts = samples.where("NOT is_warmup").groupBy("phase").agg(
         F.expr("count(1) AS recorded"),
         F.expr(f"count_if({_SUCCESS}) AS successful"),
         F.expr("count_if(outcome = 'load_generator_overflow') AS overflowed"),
@@ -133,7 +139,7 @@ def phase_checks(samples: DataFrame, phases: DataFrame, approved_model: str) ->
         F.expr("count_if(model_version IS NOT NULL) AS modelled"),
         F.expr(f"count_if({_SUCCESS} AND feature_fallback) AS static_successes"),
     )
-    joined = F.broadcast(phases).join(counts, "phase", "left").na.fill(0)
+    joined = F.broadcast(phases).join(counts, "phase", "left").join(warmups, "phase", "left").na.fill(0)
     checks = {
         "all_arrivals_accounted_for": ("recorded = scheduled", "true"),
         "no_dropped_arrivals": ("overflowed = 0", "true"),
@@ -144,6 +150,7 @@ def phase_checks(samples: DataFrame, phases: DataFrame, approved_model: str) ->
         "approved_model_only": ("approved = successful AND modelled = successful AND successful > 0", "NOT outage"),
         "all_successes_acknowledged": ("acknowledged = successful", "NOT outage"),
         "all_static": ("successful > 0 AND static_successes = successful", "NOT outage"),
+        "warmup_successful": ("warmed = warmups AND warmed_well = warmups", "NOT outage"),
     }
     rows = ", ".join(f"'{n}', {test}, {applies}" for n, (test, applies) in checks.items())
     return joined.selectExpr(
@@ -235,3 +242,12 @@ def first_per_cohort(requests: DataFrame, order: str) -> DataFrame:
         .agg(F.expr(f"min_by(struct({', '.join(rest)}), {order}) AS _first"))
         .selectExpr("cohort", "_first.*")
     )
+
+
+def require_cohorts(first: DataFrame) -> DataFrame:
+    """All three cohorts, or an error; there are at most three rows."""
+    found = {row.cohort for row in first.select("cohort").collect()}
+    absent = sorted({"unknown", "zero", "known_positive"} - found)
+    if absent:
+        raise DataContractError(f"the workload lacks cohorts: {', '.join(absent)}")
+    return first
