@@ -133,7 +133,8 @@ def bucket_metrics(
         F.expr(f"avg(CAST({target} AS DOUBLE)) AS actual_mean_seconds"),
         F.expr("avg(predicted) AS predicted_mean_seconds"),
     )
-    return F.broadcast(dimension).join(measured, ["model", "distance_bucket"], "left").selectExpr(
+    # Both sides have at most one row per model and bucket.
+    return dimension.join(F.broadcast(measured), ["model", "distance_bucket"], "left").selectExpr(
         "model",
         "distance_bucket",
         "lower_miles",

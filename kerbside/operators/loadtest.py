@@ -67,7 +67,8 @@ def load_percentiles(samples: DataFrame) -> DataFrame:
         [("successful_latency_ms",), ("all_attempted_latency_ms",), ("http_latency_ms",), ("dispatch_lag_ms",)],
         "metric string",
     )
-    return F.broadcast(metrics).join(percentiles(long, "ms", PERCENTS, ["metric"]), "metric", "left")
+    # Four rows on either side.
+    return metrics.join(F.broadcast(percentiles(long, "ms", PERCENTS, ["metric"])), "metric", "left")
 
 
 def load_summary(samples: DataFrame, scheduled: int | str, elapsed: float | str) -> DataFrame:
@@ -139,7 +140,7 @@ def phase_checks(samples: DataFrame, phases: DataFrame, approved_model: str) ->
         F.expr("count_if(model_version IS NOT NULL) AS modelled"),
         F.expr(f"count_if({_SUCCESS} AND feature_fallback) AS static_successes"),
     )
-    joined = F.broadcast(phases).join(counts, "phase", "left").join(warmups, "phase", "left").na.fill(0)
+    joined = phases.join(counts, "phase", "left").join(warmups, "phase", "left").na.fill(0)
     checks = {
         "all_arrivals_accounted_for": ("recorded = scheduled", "true"),
         "no_dropped_arrivals": ("overflowed = 0", "true"),

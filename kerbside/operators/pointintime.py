@@ -102,36 +102,38 @@ def trailing_features(
             sums[f"_{name}"] = f"sum({numbers.coarse_part(name)})"
             sums[f"_{name}_fine"] = f"sum({numbers.fine_part(name)})"
     folded = _fold_instants(facts, key, at, sums, width)
-    ledger = _signed_rows(folded, key, spans, width, list(sums))
+    ledger = _ledger_rows(folded, spans, width, list(sums))
 
-    group = [key, "_slice"]
-    place = f"{clock.MICROS_OF.format(at)} div {width} AS _slice"
+    group = ["_key", "_slice"]
+    us = clock.MICROS_OF.format(at)
+    place = [f"{key} AS _key", f"{us} div {width} AS _slice"]
     counted = density_of if density_of is not None else probes
-    hot = hot_groups(counted.selectExpr(key, place), group, rows_per_group)
-    asking = split_rows(
-        probes.selectExpr("*", f"{clock.MICROS_OF.format(at)} AS _us", place, "true AS _probe"),
-        hot,
-        group,
-        probes.columns,
-    )
+    hot = hot_groups(counted.selectExpr(*place), group, rows_per_group)
+    # Probe columns travel as one struct: in ledger rows it is a single NULL.
+    asking = probes.selectExpr(*place, f"{us} AS _us", "struct(*) AS _probe")
+    asking = split_rows(asking, hot, group, ["_probe"])
     answering = copy_rows(ledger, hot, group)
+    both = asking.unionByName(answering, allowMissingColumns=True)
 
-    # Strictly before t: the frame ends one microsecond earlier.
+    # Strictly before t: the frame ends one microsecond earlier. The hash comes first
+    # because a sort compares the first column much faster than the rest.
     before = (
-        f"OVER (PARTITION BY {key}, _slice, _part ORDER BY _us "
+        "OVER (PARTITION BY _cell, _key, _slice, _part ORDER BY _us "
         "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
     running = [f"max(_last_us) {before} AS _latest_us"]
-    for label in spans:
+    for index, (label, span) in enumerate(spans.items()):
+        sign = (
+            f"CASE WHEN _kind = {-1 - index} THEN -1"
+            f" WHEN _kind BETWEEN 0 AND {span // width} THEN 1 ELSE 0 END"
+        )
         for name in sums:
-            running.append(
-                f"coalesce(sum({name} * _sign_{label}) {before}, 0) AS {name}_{label}"
-            )
+            running.append(f"coalesce(sum({name} * ({sign})) {before}, 0) AS {name}_{label}")
     # Probes are picked only after the window has seen the ledger rows.
     known = (
-        asking.unionByName(answering, allowMissingColumns=True)
-        .selectExpr(*probes.columns, "_us", "_probe", *running)
-        .where("_probe")
+        both.selectExpr("*", "xxhash64(_key, _slice, _part) AS _cell")
+        .selectExpr("_us", "_probe", *running)
+        .where("_probe IS NOT NULL")
     )
 
     features = []
@@ -150,7 +152,7 @@ def trailing_features(
             f"CASE WHEN _latest_us >= _us - {span} "
             f"THEN {clock.FROM_MICROS.format('_latest_us')} END AS as_of_{label}"
         )
-    return known.selectExpr(*probes.columns, *features)
+    return known.selectExpr("_probe.*", *features)
 
 
 def _fold_instants(
@@ -158,45 +160,48 @@ def _fold_instants(
 ) -> DataFrame:
     """One row per key and instant; copies of an instant never travel apart."""
     return (
-        facts.selectExpr("*", f"{clock.MICROS_OF.format(at)} AS _us")
-        .groupBy(key, "_us")
+        facts.selectExpr("*", f"{key} AS _key", f"{clock.MICROS_OF.format(at)} AS _us")
+        .groupBy("_key", "_us")
         .agg(*[F.expr(f"{total} AS {name}") for name, total in sums.items()])
         .selectExpr("*", f"_us div {width} AS _slice")
     )
 
 
-def _signed_rows(
-    folded: DataFrame, key: str, spans: Mapping[str, int], width: int, measures: list[str]
+def _ledger_rows(
+    folded: DataFrame, spans: Mapping[str, int], width: int, measures: list[str]
 ) -> DataFrame:
-    """Ledger rows whose running sum before t is the content of every window at t."""
+    """Ledger rows whose signed running sum before t is the content of every window at t.
 
-    def row(slice_: str, us: str, last: str, signs: Mapping[str, str]) -> str:
-        fields = [f"'_slice', {slice_}", f"'_us', {us}", f"'_last_us', CAST({last} AS BIGINT)"]
-        fields += [f"'_sign_{label}', {signs.get(label, '0')}" for label in spans]
-        return f"named_struct({', '.join(fields)})"
+    ``_kind`` says what a row is: 0 an instant in its own slice, -1, -2, ... the
+    same instant moved forward by the first, second, ... window, which it then
+    leaves, and k > 0 the totals of the slice k slices back.
+    """
 
-    rows = [row("_slice", "_us", "_us", {label: "1" for label in spans})]
-    for label, span in spans.items():
-        rows.append(row(f"_slice + {span // width}", f"_us + {span}", "NULL", {label: "-1"}))
+    def row(slice_: str, us: str, last: str, kind: int) -> str:
+        return (
+            f"named_struct('_slice', {slice_}, '_us', {us},"
+            f" '_last_us', CAST({last} AS BIGINT), '_kind', {kind})"
+        )
+
+    rows = [row("_slice", "_us", "_us", 0)]
+    for index, span in enumerate(spans.values()):
+        rows.append(row(f"_slice + {span // width}", f"_us + {span}", "NULL", -1 - index))
     instants = folded.selectExpr(
-        key, *measures, f"explode(array({', '.join(rows)})) AS _row"
-    ).selectExpr(key, *measures, "_row.*")
+        "_key", *measures, f"explode(array({', '.join(rows)})) AS _row"
+    ).selectExpr("_key", *measures, "_row.*")
 
     reach = max(spans.values()) // width
     carried = (
-        folded.groupBy(key, "_slice")
+        folded.groupBy("_key", "_slice")
         .agg(F.max("_us").alias("_last_us"), *[F.sum(name).alias(name) for name in measures])
-        .selectExpr("*", f"explode(sequence(1, {reach})) AS _ahead")
+        .selectExpr("*", f"explode(sequence(1, {reach})) AS _kind")
         .selectExpr(
-            key,
+            "_key",
             *measures,
-            "_slice + _ahead AS _slice",
-            f"(_slice + _ahead) * {width} - 1 AS _us",
+            "_slice + _kind AS _slice",
+            f"(_slice + _kind) * {width} - 1 AS _us",
             "_last_us",
-            *[
-                f"CAST(_ahead <= {span // width} AS INT) AS _sign_{label}"
-                for label, span in spans.items()
-            ],
+            "_kind",
         )
     )
     return instants.unionByName(carried)
