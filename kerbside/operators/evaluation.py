@@ -63,12 +63,11 @@ def median_baseline(levels: DataFrame, rows: DataFrame) -> DataFrame:
     """
     exact = levels.where("level = 'exact'").selectExpr(*EXACT_KEY, "median_seconds AS _exact")
     pickup = levels.where("level = 'pickup_hour'").selectExpr(*PICKUP_KEY, "median_seconds AS _pickup")
-    whole = levels.where("level = 'global'").selectExpr("0 AS _all", "median_seconds AS _global")
+    whole = levels.where("level = 'global'").agg(F.max("median_seconds"))
     joined = (
         rows.join(exact, list(EXACT_KEY), "left")
         .join(F.broadcast(pickup), list(PICKUP_KEY), "left")
-        .withColumn("_all", F.lit(0))
-        .join(F.broadcast(whole), "_all", "left")
+        .withColumn("_global", whole.scalar())
     )
     return joined.selectExpr(
         *rows.columns,

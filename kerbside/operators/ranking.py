@@ -37,18 +37,20 @@ def percentiles(
     for percent in percents:
         edges += [max(0.0, percent / 100 - margin), min(1.0, percent / 100 + margin)]
     listed = ", ".join(f"{edge!r}D" for edge in edges)
-    brackets = present.groupBy(*keys).agg(
-        F.expr("count(1) AS _rows"),
-        F.expr(f"percentile_approx(_v, array({listed}), {SKETCH_ACCURACY}) AS _edges"),
+    bracket = F.expr(
+        "struct(count(1) AS _rows,"
+        f" percentile_approx(_v, array({listed}), {SKETCH_ACCURACY}) AS _edges) AS _bracket"
     )
-    if not by:
-        brackets = F.broadcast(brackets)  # one row
+    if by:
+        bracketed = present.join(present.groupBy(*keys).agg(bracket), keys)
+    else:
+        bracketed = present.withColumn("_bracket", present.agg(bracket).scalar())
 
     inside = " OR ".join(
         f"_v BETWEEN _edges[{2 * i}] AND _edges[{2 * i + 1}]" for i in range(len(percents))
     )
     counted = (
-        present.join(brackets, keys)
+        bracketed.selectExpr(*keys, "_v", "_bracket.*")
         .selectExpr(
             *keys,
             "_rows",
