@@ -85,6 +85,13 @@ def to_utc(local: str, zone: str = LOCAL_ZONE) -> str:
     return f"convert_timezone('{zone}', 'UTC', {local})"
 
 
+def near_offset_change(local: str, zone: str = LOCAL_ZONE) -> str:
+    """True when the offset differs between a day before and a day after: a cheap first test."""
+    before = to_local(f"{local} - INTERVAL 1 DAY", zone)
+    after = to_local(f"{local} + INTERVAL 1 DAY", zone)
+    return f"({before} + INTERVAL 2 DAYS <> {after})"
+
+
 def is_nonexistent_local(local: str, zone: str = LOCAL_ZONE) -> str:
     """True inside the hour a spring change skips: the round trip lands elsewhere."""
     return f"({to_local(to_utc(local, zone), zone)} <> {local})"
@@ -98,3 +105,15 @@ def is_ambiguous_local(local: str, zone: str = LOCAL_ZONE) -> str:
         f"(NOT {is_nonexistent_local(local, zone)}"
         f" AND ({later} = {local} OR {earlier} = {local}))"
     )
+
+
+def names_one_instant(local: str, zone: str = LOCAL_ZONE) -> str:
+    """True for wall clocks that are neither skipped nor repeated; stops early far from a change."""
+    instant = to_utc(local, zone)
+    twin = " OR ".join(
+        f"{to_local(f'{instant} {sign} INTERVAL 1 HOUR', zone)} = {local}" for sign in "+-"
+    )
+    return (
+        f"NOT ({near_offset_change(local, zone)}"
+        f" AND ({to_local(instant, zone)} <> {local} OR {twin}))"
+    )

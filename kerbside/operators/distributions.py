@@ -13,17 +13,23 @@ DIMENSIONS = ("pickup_hour_of_week", "pickup_zone", "dropoff_zone", "distance",
 
 
 def local_time_flags(frame: DataFrame, column: str, zone: str = clock.LOCAL_ZONE) -> DataFrame:
-    """Mark wall clocks that name no instant, or two."""
-    return frame.selectExpr(
-        "*",
-        f"{clock.is_nonexistent_local(column, zone)} AS is_nonexistent",
-        f"{clock.is_ambiguous_local(column, zone)} AS is_ambiguous",
+    """Mark wall clocks that name no instant, or two.
+
+    Only rows within a day of an offset change pay for the full test.
+    """
+    tests = {
+        "is_nonexistent": clock.is_nonexistent_local(column, zone),
+        "is_ambiguous": clock.is_ambiguous_local(column, zone),
+    }
+    near = frame.selectExpr("*", f"{clock.near_offset_change(column, zone)} AS _near_change")
+    return near.selectExpr(
+        *[f"`{name}`" for name in frame.columns],
+        *[f"CASE WHEN _near_change THEN {test} ELSE _near_change END AS {name}" for name, test in tests.items()],
     )
 
 
 def unambiguous_rows(frame: DataFrame, column: str, zone: str = clock.LOCAL_ZONE) -> DataFrame:
-    flagged = local_time_flags(frame, column, zone)
-    return flagged.where("NOT is_nonexistent AND NOT is_ambiguous").select(*frame.columns)
+    return frame.where(clock.names_one_instant(column, zone))
 
 
 def eligibility(silver: DataFrame, start, end, contract_version: str) -> DataFrame:

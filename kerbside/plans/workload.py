@@ -8,6 +8,7 @@ from kerbside.errors import DataContractError
 from kerbside.functions import clock
 from kerbside.functions.clock import Month
 from kerbside.operators import distributions, ranking
+from kerbside.session import reliable_checkpoint
 from kerbside.sources import storage
 from kerbside.sources.files import MAX_REQUESTS, write_lines
 from kerbside.sources.storage import Layers
@@ -65,7 +66,8 @@ def build_workload(
         raise DataContractError("silver rows differ from the accepted quality report")
     if storage.exists(spark, output):
         raise DataContractError(f"{output} already exists")
-    sample = sample_workload(silver, when, report.contract_version, rows, seed)
+    # At most MAX_REQUESTS rows, read by the writer and by the comparison.
+    sample = reliable_checkpoint(sample_workload(silver, when, report.contract_version, rows, seed))
     fields = ", ".join(REQUEST_COLUMNS)
     write_lines(
         requests_from(sample), f"to_json(struct({fields}), map('ignoreNullFields', 'false'))", output
