@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import language
+from kerbside.llm import language, personal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal": personal.op1_personal,
     "op8_language": language.op8_language,
 }
 ORACLES: dict[str, str] = {}
