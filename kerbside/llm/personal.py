@@ -183,8 +183,8 @@ def op1_personal(spark: SparkSession, folder: str) -> DataFrame:
     def joined(items: Column) -> Column:
         return F.array_join(F.transform(items, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [
-        F.size(F.filter("s", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE
-    ]
+    def number(kind: str) -> Column:
+        return F.size(F.filter("s", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("s", lambda s: s["kind"].isin(*BASE))
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"))
+    return found.select("doc_id", *map(number, BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"))
