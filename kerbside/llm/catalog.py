@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import language, layout, personal
+from kerbside.llm import language, layout, personal, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
+    "op2_quality": quality.op2_quality,
     "op8_language": language.op8_language,
     "op10_layout": layout.op10_layout,
 }
