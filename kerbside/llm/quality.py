@@ -218,11 +218,16 @@ def fit(vectors: DataFrame) -> DataFrame:
     return names.join(estimates(levels), ["g"], "left")
 
 
-def verdict(frame: DataFrame, counts: str, fitted: DataFrame) -> DataFrame:
-    """The frame with ``d2`` of each row; ``counts`` names its struct of statistics."""
-    rows = frame.withColumns(dict(zip(VECTOR, vector(counts), strict=True)))
-    matched = rows.join(fitted.drop("g"), rows["lang"].eqNullSafe(fitted["gl"]) & rows["source"].eqNullSafe(fitted["gs"]), "left")
-    return _measured(matched, frame.columns)
+def verdict(frame: DataFrame, counts: str, fitted: DataFrame, name: str = "d2") -> DataFrame:
+    """The frame with the squared distance of each row; ``counts`` names its struct of statistics.
+
+    The row travels as one struct, so its columns may have any names.
+    """
+    vectors = [v.alias(x) for x, v in zip(VECTOR, vector(counts), strict=True)]
+    rows = frame.select(F.struct("*").alias("row"), F.col("lang").alias("rl"), F.col("source").alias("rs"), *vectors)
+    own = fitted.drop("g")
+    matched = rows.join(own, F.col("rl").eqNullSafe(own["gl"]) & F.col("rs").eqNullSafe(own["gs"]), "left")
+    return _measured(matched, ["row"]).select("row.*", F.col("d2").alias(name))
 
 
 def accepted(counts: str, distance: str = "d2") -> Column:
