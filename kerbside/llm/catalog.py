@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import language, layout, personal, quality
+from kerbside.llm import language, layout, personal, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
     "op2_quality": quality.op2_quality,
+    "op4_simhash": simhash.op4_simhash,
     "op8_language": language.op8_language,
     "op10_layout": layout.op10_layout,
 }
