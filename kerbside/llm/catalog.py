@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, language, layout, personal, quality, simhash
+from kerbside.llm import bpe, language, layout, packing, personal, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
     "op2_quality": quality.op2_quality,
     "op4_simhash": simhash.op4_simhash,
+    "op6_packing": packing.op6_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language.op8_language,
     "op10_layout": layout.op10_layout,
