@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, language, layout, packing, personal, quality, simhash
+from kerbside.llm import bpe, language, layout, packing, personal, quality, simhash, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": packing.op6_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language.op8_language,
+    "op9_tokens": transducer.op9_tokens,
     "op10_layout": layout.op10_layout,
 }
 ORACLES: dict[str, str] = {}
