@@ -13,7 +13,8 @@ positions a token may still start, that position's place in the vocabulary
 trie, the token before it, and the tokens since. A token sequence is what BPE
 makes exactly if each neighbouring pair is, so of the tokens that could end at
 a byte exactly one fits the token before it. States and transitions are
-compiled when first met and kept, up to a bound, by the worker.
+compiled when first met and kept, up to a bound, by the worker, which also
+remembers the counts of pieces it has read.
 
 Defined results: a null or empty text has 0 tokens; special tokens inside texts
 count as one, as the library has it by default.
@@ -34,7 +35,8 @@ from kerbside.llm import bpe, common, flat
 
 CHUNK_CHARACTERS = 256
 MERGED_AFTER = 16
-STATES = 150_000  # compiled states a worker keeps at most
+STATES = 200_000  # compiled states a worker keeps at most
+KNOWN = 1_000_000  # pieces whose counts a worker remembers at most
 LONG = 512  # pieces of more bytes take the scalar loop
 
 BLANK, WHITE, MARK, STMD, R, V, ELL, E, LETTER, NUMBER, OTHER, STOP = range(12)
@@ -161,15 +163,13 @@ class PieceTransducer:
                         self.inner.append(False)
                     node = self.child[key]
                 self.token[node] = token
-        rank_of: dict[tuple[int, int], int] = {}
         made: dict[int, tuple[int, int, int]] = {}
         for key, rank in zip(merges.keys.tolist(), merges.ranks.tolist(), strict=True):
-            pair = (key >> 32, key & 0xFFFFFFFF)
-            rank_of[pair] = rank
-            made[int(merges.merged[rank])] = (rank, *pair)
+            made[int(merges.merged[rank])] = (rank, key >> 32, key & 0xFFFFFFFF)
         if any(max(made.get(a, (-1,))[0], made.get(b, (-1,))[0]) >= rank for rank, a, b in made.values()):
             raise ValueError("a merge comes before its parts")
-        self.rank_of, self.made = rank_of, made
+        self.rank_of = dict(zip(merges.keys.tolist(), merges.ranks.tolist(), strict=True))
+        self.made = made
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.fits: dict[int, bool] = {}
         self._forget()
@@ -206,30 +206,32 @@ class PieceTransducer:
 
     def _fits(self, left: int, right: int) -> bool:
         """Whether BPE leaves the two tokens side by side: no pair across the border merges before its parts are taken."""
-        key = left << 32 | right
-        found = self.fits.get(key)
-        if found is None:
-            found, rank_of = True, self.rank_of
-            for a, a_taken in self._edge(left, 1):
-                for b, b_taken in self._edge(right, 0):
-                    rank = rank_of.get((a, b))
-                    if rank is not None and rank < a_taken and rank <= b_taken:
-                        found = False
-            self.fits[key] = found
+        found, rank_of, others = True, self.rank_of, self._edge(right, 0)
+        for a, a_taken in self._edge(left, 1):
+            for b, b_taken in others:
+                rank = rank_of.get(a << 32 | b)
+                if rank is not None and rank < a_taken and rank <= b_taken:
+                    found = False
+        self.fits[left << 32 | right] = found
         return found
 
     def compile(self, state: int, byte: int) -> tuple[int, int]:
         """(next state, change of the count) of one transition."""
         places, last = self.contents[state]
+        child, tokens, inner, fits = self.child, self.token, self.inner, self.fits
         reached, change, ended = [], None, -1
         for node, before, since in (*places, (0, last, 0)):
-            to = self.child.get(node << 8 | byte)
+            to = child.get(node << 8 | byte)
             if to is None:
                 continue
-            token = self.token[to]
-            if token >= 0 and (before < 0 or self._fits(before, token)):
-                change, ended = 1 - since, token
-            if self.inner[to]:
+            token = tokens[to]
+            if token >= 0 and change is None:  # exactly one fits
+                fit = before < 0 or fits.get(before << 32 | token)
+                if fit is None:
+                    fit = self._fits(before, token)
+                if fit:
+                    change, ended = 1 - since, token
+            if inner[to]:
                 reached.append((to, before, since))
         if change is None:
             raise ValueError("no token ends here")
@@ -292,6 +294,7 @@ class Counter:
         merges = bpe.Merges(name)
         self.special = list(merges.special)
         self.pieces = PieceTransducer(merges, states)
+        self._forget()
 
     def plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of texts without special tokens."""
@@ -304,10 +307,32 @@ class Counter:
         place = np.arange(len(code)) + np.repeat(np.arange(texts), np.diff(cut))
         symbols[place] = _symbols()[code]
         starts = at[marks(symbols)[place]]
-        counts = self.pieces.counts(data, starts, np.diff(np.concatenate((starts, [len(data)]))))
+        counts = self._counted(data, starts)
         total = np.concatenate(([0], np.cumsum(counts)))
         return np.diff(total[np.searchsorted(starts, offsets)])
 
+    def _counted(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Tokens of each piece; the transducer reads those that are not remembered."""
+        lengths = np.diff(np.concatenate((starts, [len(data)])))
+        hashes = flat.word_hashes(data, starts, lengths)
+        found = self.known.find(hashes)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unseen, first = np.unique(hashes[new], return_index=True)
+            if self.known.size + len(unseen) > KNOWN:
+                self._forget()
+                unseen, first = np.unique(hashes, return_index=True)
+                new = np.arange(len(hashes))
+            counts = self.pieces.counts(data, starts[new[first]], lengths[new[first]])
+            self.tokens = np.concatenate((self.tokens, counts.astype(np.int32)))
+            self.known.add(unseen)
+            found[new] = self.known.find(hashes[new])
+        return self.tokens[found].astype(np.int64)
+
+    def _forget(self) -> None:
+        self.known = flat.Numbering()
+        self.tokens = np.zeros(0, np.int32)
+
     def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         whole = data.tobytes()
         if not any(token in whole for token in self.special):
