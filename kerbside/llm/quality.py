@@ -234,7 +234,7 @@ def accepted(counts: str, distance: str = "d2") -> Column:
     return ~base_failed(counts) & (F.coalesce(F.col(distance), F.lit(0.0)) <= CUTOFF)
 
 
-def _vectors(frame: DataFrame, counts: str) -> DataFrame:
+def vectors(frame: DataFrame, counts: str) -> DataFrame:
     """What the estimates are made from: texts that pass the first rules."""
     return frame.where(~base_failed(counts)).select("lang", "source", *[v.alias(x) for x, v in zip(VECTOR, vector(counts), strict=True)])
 
@@ -243,7 +243,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and the verdict for every document."""
     documents = common.table(spark, folder, "documents")
     counted = common.stored(documents.select("doc_id", "lang", "source", statistics("text").alias("c")), "quality")
-    fitted = fit(common.stored(_vectors(counted, "c"), "vectors"))
+    fitted = fit(common.stored(vectors(counted, "c"), "vectors"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return verdict(counted, "c", fitted).select(
         "doc_id",

@@ -38,7 +38,7 @@ def test_counts(spark):
 def judged(spark, rows):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, d2 string, g string, m0 string")
     frame = frame.select("*", quality.statistics("text").alias("c"))
-    fitted = quality.fit(quality._vectors(frame, "c"))
+    fitted = quality.fit(quality.vectors(frame, "c"))
     out = quality.verdict(frame, "c", fitted, "far").withColumn("kept", quality.accepted("c", "far"))
     return {r["doc_id"]: r for r in out.collect()}
 
