@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, language, layout, minhash, packing, personal, quality, simhash, transducer
+from kerbside.llm import bpe, language, layout, maxent, minhash, packing, personal, quality, simhash, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
     "op2_quality": quality.op2_quality,
     "op3_minhash": minhash.op3_minhash,
     "op4_simhash": simhash.op4_simhash,
+    "op5_maxent": maxent.op5_maxent,
     "op6_packing": packing.op6_packing,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language.op8_language,

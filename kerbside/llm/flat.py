@@ -122,6 +122,34 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return mixed(sums + lengths.astype(np.uint64)) | np.uint64(1)
 
 
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, 64-bit hash, first word of each text) of words between ASCII white space.
+
+    The last array has one entry more than there are texts.
+    """
+    white = WHITE[data]
+    begin = ~white
+    begin[1:] &= white[:-1]
+    filled = offsets[:-1][offsets[1:] > offsets[:-1]]
+    begin[filled] = ~white[filled]
+    starts = np.flatnonzero(begin)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    reach = np.diff(np.concatenate((starts, [len(data)])))
+    powers = _powers(1 << max(12, int(reach.max()).bit_length()))
+    inside = ~white[starts[0] :]
+    weight = (data[starts[0] :].astype(np.uint64) + np.uint64(1)) * inside
+    within = np.arange(len(inside)) - np.repeat(starts - starts[0], reach)
+    hashes = mixed(np.add.reduceat(weight * powers[within], starts - starts[0]))
+    lengths = np.add.reduceat(inside.astype(np.int64), starts - starts[0])
+    return starts, lengths, hashes, np.searchsorted(starts, offsets)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit over all."""
     x = x ^ (x >> np.uint64(30))

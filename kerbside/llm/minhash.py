@@ -38,9 +38,6 @@ SIMILAR = 0.8
 # Documents in a run of consecutive ids, and runs at most.
 RUN, RUNS = 500, 10_000
 
-WHITE = np.zeros(256, bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
-
 
 @cache
 def universal() -> tuple[np.ndarray, np.ndarray]:
@@ -51,22 +48,7 @@ def universal() -> tuple[np.ndarray, np.ndarray]:
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, hashes of each text) of the shingles of texts that lie behind each other."""
-    texts = len(offsets) - 1
-    white = WHITE[data]
-    begin = ~white
-    begin[1:] &= white[:-1]
-    filled = offsets[:-1][offsets[1:] > offsets[:-1]]
-    begin[filled] = ~white[filled]
-    starts = np.flatnonzero(begin)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(texts, np.int64)
-    reach = np.diff(np.concatenate((starts, [len(data)])))
-    powers = flat._powers(1 << max(12, int(reach.max()).bit_length()))
-    part = data[starts[0] :]
-    weight = np.where(white[starts[0] :], 0, part.astype(np.uint64) + np.uint64(1))
-    within = np.arange(len(part)) - np.repeat(starts - starts[0], reach)
-    words = flat.mixed(np.add.reduceat(weight * powers[within], starts - starts[0]))
-    first = np.searchsorted(starts, offsets)
+    _, _, words, first = flat.words(data, offsets)
     counts = np.diff(first)
     made = np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0)
     at = flat.ranges(first[:-1], made)
