@@ -109,9 +109,10 @@ def _run_log(spark, folder):
 
 def _run_checks(spark, folder):
     events = frame(spark, folder, "events")
-    runs = events.where("event_id % 10 = 0").selectExpr("'r:' || event_id AS run_id", "'2024-01' AS partition_key")
+    runs = events.selectExpr("'r:' || event_id AS run_id", "'2024-01' AS partition_key")
+    # A fiftieth of the checks names a run that nobody started.
     checks = events.selectExpr(
-        "'r:' || (event_id - event_id % 5) AS run_id",
+        "CASE WHEN event_id % 50 = 7 THEN 'unknown:' || event_id ELSE 'r:' || (event_id - event_id % 5) END AS run_id",
         "'rule_' || (event_id % 5) AS rule",
         "event_id % 13 AS violations",
         "100L AS total_rows",
@@ -193,12 +194,16 @@ def _to_jsonl(spark, folder):
         .selectExpr("trip_id", f"{text} AS line", f"{digests.payload_digest(text)} AS line_sha256")
         .selectExpr(
             "trip_id",
-            "length(line_sha256) AS digest_length",
+            "line_sha256 = sha2(line, 256) AND line = to_json(from_json(line, 'trip_id string, pickup_datetime string,"
+            " pickup_zone_id smallint, dropoff_zone_id smallint, trip_distance_miles double, passenger_count smallint'),"
+            " map('ignoreNullFields', 'false')) AS round_trip",
+            "sha2(concat_ws('|', get_json_object(line, '$.trip_id'), get_json_object(line, '$.pickup_datetime'),"
+            " get_json_object(line, '$.pickup_zone_id'), coalesce(get_json_object(line, '$.passenger_count'), '?')), 256) AS fields_sha256",
             "from_json(line, 'trip_id string, pickup_datetime string, pickup_zone_id smallint,"
             " dropoff_zone_id smallint, trip_distance_miles double, passenger_count smallint') AS back",
         )
         .selectExpr(
-            "trip_id", "digest_length", "back.pickup_datetime", "back.pickup_zone_id", "back.dropoff_zone_id",
+            "trip_id", "round_trip", "fields_sha256", "back.pickup_datetime", "back.pickup_zone_id", "back.dropoff_zone_id",
             "back.trip_distance_miles", "back.passenger_count",
         )
     )
@@ -211,8 +216,9 @@ def _jsonl_requests(spark, folder):
     )
     path = files.scratch_path(spark, "requests")
     lines.write.text(path)
-    return files.read_requests(spark, path).where("is_valid").select(
-        "trip_id", "pickup_zone_id", "passenger_count"
+    return files.read_requests(spark, path).selectExpr(
+        "is_valid", "CASE WHEN is_valid THEN trip_id END AS trip_id",
+        "CASE WHEN is_valid THEN pickup_zone_id END AS pickup_zone_id", "CASE WHEN is_valid THEN passenger_count END AS passenger_count",
     )
 
 
@@ -270,12 +276,14 @@ def _renamed(policy: str, name: str) -> str:
 
 ORACLES = {
     "source_row_ids": """SELECT event_id, row_number() OVER () - 1 AS source_row_number, 'yellow:2024-01:' || (row_number() OVER () - 1) AS trip_id FROM events""",
-    "to_jsonl": ctes("trips") + """ SELECT trip_id, CAST(64 AS INTEGER) AS digest_length, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f') AS pickup_datetime,
+    "to_jsonl": ctes("trips") + """ SELECT trip_id, true AS round_trip, sha256(concat_ws('|', trip_id, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f'),
+  CAST(pickup_zone_id AS VARCHAR), coalesce(CAST(passenger_count AS VARCHAR), '?'))) AS fields_sha256, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f') AS pickup_datetime,
   pickup_zone_id, dropoff_zone_id, trip_distance_miles, passenger_count FROM trips""",
     "jsonl_requests": f"""WITH valid AS ({messages.ORACLES['contract_request']})
-SELECT 'e:' || e.event_id AS trip_id, CAST(user_id % 20 + 1 AS INTEGER) AS pickup_zone_id,
-  CAST(CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE e.event_id % 10 END AS INTEGER) AS passenger_count
-FROM valid v JOIN events e ON v.event_id = e.event_id WHERE v.is_valid""",
+SELECT v.is_valid, CASE WHEN v.is_valid THEN 'e:' || e.event_id END AS trip_id,
+  CASE WHEN v.is_valid THEN CAST(user_id % 20 + 1 AS INTEGER) END AS pickup_zone_id,
+  CASE WHEN v.is_valid AND e.event_id % 11 <> 0 THEN CAST(e.event_id % 10 AS INTEGER) END AS passenger_count
+FROM valid v JOIN events e ON v.event_id = e.event_id""",
     "rule_masks": f"{_M} SELECT source_row_number, {', '.join('passes_' + r for r in _RULES)}, row_valid FROM masked",
     "valid_split": f"""{_RAW}, {_renamed('required', 'strict')}, {_renamed(ALLOW, 'lenient')}
 SELECT 'required' AS policy, row_valid, count(*) AS rows, CAST(sum(source_row_number) AS BIGINT) AS row_number_sum FROM strict GROUP BY row_valid
@@ -317,7 +325,7 @@ SELECT *, missing_supplied_together AND missing_within_total AND valid_missing_w
 FROM events WHERE event_id % 29 <> 0 OR event_id % 4 <> 3 OR event_id % 37 = 0""",
     "run_checks": """SELECT 'r:' || (event_id - event_id % 5) AS run_id, '2024-01' AS "partition", 'rule_' || (event_id % 5) AS rule,
   event_id % 13 AS violations, CAST(100 AS BIGINT) AS total_rows, 0.1e0 AS threshold, event_id % 13 <= 10 AS passed, '1.1' AS contract_version
-FROM events WHERE (event_id - event_id % 5) % 10 = 0""",
+FROM events WHERE event_id % 50 <> 7 AND (event_id - event_id % 5) IN (SELECT event_id FROM events)""",
     "lineage_chain": """WITH r AS (SELECT event_id AS run_id, event_id % 11 <> 0 AND event_id % 17 <> 0 AS m, event_id % 13 <> 0 AS g,
   event_id % 7 <> 0 AND event_id % 17 <> 0 AS s FROM events)
 SELECT run_id, m AS workload_month_matches, g AS gold_digest_matches, s AS silver_is_gold_input, m AND g AND s AS verified FROM r""",

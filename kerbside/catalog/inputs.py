@@ -131,13 +131,15 @@ def _definitions(d: Dialect) -> dict[str, tuple[str, list[str], str | None]]:
     definitions["published"] = (
         "samples",
         [
-            "'p:' || sequence AS prediction_id",
-            "CASE WHEN sequence % 43 = 0 THEN 'x:' || sequence ELSE trip_id END AS trip_id",
+            # some records cannot be read at all, others break their contract
+            "CASE WHEN sequence % 53 = 0 THEN NULL ELSE 'p:' || sequence END AS prediction_id",
+            "CASE WHEN sequence % 53 = 0 THEN NULL WHEN sequence % 43 = 0 THEN 'x:' || sequence ELSE trip_id END AS trip_id",
             "CASE WHEN sequence % 3 = 0 THEN 'm-static' ELSE 'm-rolling' END AS model_version",
             "sequence % 3 = 0 AS feature_fallback",
             d.sha256("CASE WHEN sequence % 41 = 0 THEN 'altered:' ELSE 'payload:' END || sequence")
             + " AS payload_sha256",
             "sequence % 47 <> 0 AS envelope_ok",
+            "sequence % 53 <> 0 AND sequence % 29 <> 0 AS is_valid",
             d.repeat("CASE WHEN sequence % 37 = 0 THEN 2 ELSE 1 END") + " AS copy",
         ],
         f"({success} AND sequence % 31 <> 0) OR (outcome = 'http_error' AND sequence % 5 = 0)",

@@ -80,7 +80,7 @@ def _prediction_messages(spark, folder):
         made.selectExpr(
             "trip_id", "model_version", "feature_fallback", "size(features_used) AS features",
             "size(feature_timestamps) AS timestamps", "features_used['pickup_hour_of_week'] AS hour_feature",
-            "estimated_duration_seconds", "served_at", "schema_version",
+            "estimated_duration_seconds", "CAST(served_at AS TIMESTAMP_NTZ) AS served_at", "schema_version",
         )
     )
 

@@ -28,9 +28,8 @@ def _median_baseline(spark, folder):
 
 
 def _buckets(spark, folder):
-    # Only short and middling trips, so that the last bucket is empty for every model.
-    rows = frame(spark, folder, "holdout").where("trip_distance_miles < 10")
-    return evaluation.bucket_metrics(rows, MODELS)
+    # No trip is longer than the last finite edge, so the last bucket is empty for every model.
+    return evaluation.bucket_metrics(frame(spark, folder, "holdout"), MODELS, (*evaluation.DISTANCE_EDGES[:-1], 1e6, float("inf")))
 
 
 def _candidates(spark, folder):
@@ -47,14 +46,14 @@ def _candidates(spark, folder):
 
 def _holdout_match(spark, folder):
     events = frame(spark, folder, "events")
-    reports = events.where("event_id % 2 = 0").selectExpr(
-        "'m' || (event_id div 2) AS registered_model",
+    reports = events.selectExpr(
+        "'m' || event_id AS registered_model",
         "'c' || event_id AS candidate_version",
         "CASE WHEN event_id % 14 = 0 THEN '2024-03' ELSE '2024-04' END AS holdout_month",
         "CASE WHEN event_id % 22 = 0 THEN NULL ELSE sha2(CAST(user_id AS STRING), 256) END AS holdout_sha256",
     )
-    incumbents = events.where("event_id % 2 = 0").selectExpr(
-        "'m' || (event_id div 2) AS registered_model",
+    incumbents = events.selectExpr(
+        "'m' || event_id AS registered_model",
         "'2024-04' AS production_holdout_month",
         "sha2(CAST(user_id + CASE WHEN event_id % 18 = 0 THEN 1 ELSE 0 END AS STRING), 256) AS production_holdout_sha256",
     )
@@ -123,11 +122,10 @@ _LEVELS = ctes("trips", "holdout") + """, train AS (SELECT *, CAST(dayofweek(pic
  exact AS (SELECT pickup_zone_id, dropoff_zone_id, h, median(actual_duration_seconds) AS v, count(*) AS n FROM train GROUP BY ALL),
  pickup AS (SELECT pickup_zone_id, h, median(actual_duration_seconds) AS v, count(*) AS n FROM train GROUP BY ALL),
  whole AS (SELECT median(actual_duration_seconds) AS v, count(*) AS n FROM train) """
-_BUCKETS = _HOLDOUT + """, short AS (SELECT * FROM holdout WHERE trip_distance_miles < 10),
- long AS (SELECT 'baseline' AS model, baseline AS predicted, trip_distance_miles AS miles, actual_duration_seconds AS actual FROM short
-   UNION ALL SELECT 'static', static, trip_distance_miles, actual_duration_seconds FROM short
-   UNION ALL SELECT 'rolling', rolling, trip_distance_miles, actual_duration_seconds FROM short),
- edges(distance_bucket, lower_miles, upper_miles) AS (VALUES ('[0,2)', 0e0, 2e0), ('[2,5)', 2e0, 5e0), ('[5,10)', 5e0, 10e0), ('[10,inf)', 10e0, NULL)),
+_BUCKETS = _HOLDOUT + """, long AS (SELECT 'baseline' AS model, baseline AS predicted, trip_distance_miles AS miles, actual_duration_seconds AS actual FROM holdout
+   UNION ALL SELECT 'static', static, trip_distance_miles, actual_duration_seconds FROM holdout
+   UNION ALL SELECT 'rolling', rolling, trip_distance_miles, actual_duration_seconds FROM holdout),
+ edges(distance_bucket, lower_miles, upper_miles) AS (VALUES ('[0,2)', 0e0, 2e0), ('[2,5)', 2e0, 5e0), ('[5,10)', 5e0, 10e0), ('[10,1e+06)', 10e0, 1e6), ('[1e+06,inf)', 1e6, NULL)),
  measured AS (SELECT m.model, e.distance_bucket, e.lower_miles, e.upper_miles, count(l.actual) AS rows, avg(abs(l.predicted - l.actual)) AS mae,
    avg(l.actual) AS am, avg(l.predicted) AS pm FROM (VALUES ('baseline'), ('static'), ('rolling')) m(model) CROSS JOIN edges e
    LEFT JOIN long l ON l.model = m.model AND l.miles >= e.lower_miles AND (e.upper_miles IS NULL OR l.miles < e.upper_miles) GROUP BY ALL) """
@@ -168,8 +166,8 @@ LEFT JOIN pickup p ON p.pickup_zone_id = r.pickup_zone_id AND p.h = r.h""",
   count(*) AS gates, count(*) FILTER (WHERE passed) AS gates_passed FROM judged GROUP BY 1""",
     "rolling_gain": f"""{_HOLDOUT}, e AS (SELECT avg(abs(static - actual_duration_seconds)) AS s, avg(abs(rolling - actual_duration_seconds)) AS r FROM holdout)
 SELECT snap(s) AS static_mae_seconds, snap(r) AS rolling_mae_seconds, snap(CASE WHEN s = 0 THEN 0 ELSE (s - r) / s * 100 END) AS mae_improvement_vs_static_pct FROM e""",
-    "holdout_match": """SELECT 'm' || (event_id // 2) AS registered_model, 'c' || event_id AS candidate_version,
-  event_id % 14 <> 0 AND event_id % 22 <> 0 AND event_id % 18 <> 0 AS comparable FROM events WHERE event_id % 2 = 0""",
+    "holdout_match": """SELECT 'm' || event_id AS registered_model, 'c' || event_id AS candidate_version,
+  event_id % 14 <> 0 AND event_id % 22 <> 0 AND event_id % 18 <> 0 AS comparable FROM events""",
     "score_parity": f"{_HOLDOUT} SELECT trip_id, event_id % 5 <> 0 AS agrees FROM holdout",
 }
 ORACLES = {name: snapped(sql) for name, sql in ORACLES.items()}

@@ -32,15 +32,16 @@ def delivery_reconcile(published: DataFrame, samples: DataFrame) -> DataFrame:
     """Verdict per published prediction identity, and missing successes.
 
     ``published`` has prediction_id, trip_id, model_version, feature_fallback,
-    payload_sha256 and envelope_ok; ``samples`` one row per trip. Equal records
-    are counted before the join, so copies of one message do not pile up on a
-    join key. A verdict is per distinct record; ``records`` says how often it
-    was read and ``duplicate`` whether its identity was read more than once.
+    payload_sha256, envelope_ok and is_valid; ``samples`` one row per trip. Equal
+    records are counted before the join, so copies of one message do not pile up
+    on a join key. A verdict is per distinct record; ``records`` says how often it
+    was read and ``duplicate`` whether records of its identity that belong to a
+    sample were read more than once. A record that breaks its contract, or has no
+    identity, is ``unreadable``; no record is left out.
     """
     unsure = ", ".join(f"'{name}'" for name in UNSURE_OUTCOMES)
     fields = ["prediction_id", "trip_id", "model_version", "feature_fallback", "payload_sha256", "envelope_ok"]
-    distinct = published.groupBy(*fields).agg(F.expr("count(1) AS records"))
-    identity = published.groupBy("prediction_id").agg(F.expr("count(1) > 1 AS duplicate"))
+    distinct = published.groupBy(*fields, "is_valid").agg(F.expr("count(1) AS records"))
     taken = samples.selectExpr(
         "trip_id",
         "prediction_id AS _id",
@@ -50,13 +51,15 @@ def delivery_reconcile(published: DataFrame, samples: DataFrame) -> DataFrame:
         "outcome AS _outcome",
     )
     # A success counts as received when any of its records matches.
-    joined = distinct.join(identity, "prediction_id").join(taken, "trip_id", "left")
-    judged = joined.selectExpr(
+    judged = distinct.join(taken, "trip_id", "left").selectExpr(
         "prediction_id",
         "trip_id",
         "records",
-        "duplicate",
-        "CASE WHEN _outcome IS NULL THEN 'unrelated'"
+        # Records without an identity are told apart by their payload, so they are no hot group.
+        "coalesce(sum(CASE WHEN _outcome IS NOT NULL AND prediction_id IS NOT NULL THEN records END)"
+        " OVER (PARTITION BY coalesce(prediction_id, concat('payload:', payload_sha256))) > 1, false) AS duplicate",
+        "CASE WHEN prediction_id IS NULL OR NOT coalesce(is_valid, false) THEN 'unreadable'"
+        " WHEN _outcome IS NULL THEN 'unrelated'"
         " WHEN NOT envelope_ok THEN 'mismatched'"
         " WHEN _outcome = 'success' AND _id = prediction_id AND _model = model_version"
         " AND _fallback = feature_fallback AND _digest = payload_sha256 THEN 'matched'"
@@ -80,6 +83,7 @@ def delivery_summary(verdicts: DataFrame) -> DataFrame:
         F.expr("count_if(verdict = 'mismatched') AS mismatched"),
         F.expr("count_if(verdict = 'ambiguous') AS ambiguous"),
         F.expr("count_if(verdict = 'unrelated') AS unrelated"),
+        F.expr("count_if(verdict = 'unreadable') AS unreadable"),
         F.expr("count_if(verdict = 'missing') AS missing"),
         F.expr("count_if(duplicate AND verdict <> 'unrelated') AS duplicated"),
     )
@@ -97,9 +101,14 @@ def ground_truth(
 
     ``predictions`` has prediction_id, trip_id, served_at and
     estimated_duration_seconds; ``completed`` has trip_id, event_time and
-    actual_duration_seconds.
+    actual_duration_seconds. The first completion of a trip counts, so repeated
+    events do not multiply predictions.
     """
-    facts = completed.selectExpr("trip_id", "event_time AS joined_at", "actual_duration_seconds")
+    facts = (
+        completed.groupBy("trip_id")
+        .agg(F.expr("min(struct(event_time, actual_duration_seconds)) AS _first"))
+        .selectExpr("trip_id", "_first.event_time AS joined_at", "_first.actual_duration_seconds")
+    )
     joined = predictions.alias("p").join(
         facts.alias("c"),
         F.expr(

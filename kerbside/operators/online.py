@@ -16,6 +16,8 @@ SNAPSHOT_TTL_SECONDS = 7200
 SCHEMA_VERSION = "1.0"
 # --- end of fixed values ---
 
+UUID_PARTS = "^(.{8})(.{4})(.{4})(.{4})(.{12})$"
+
 # The three snapshots a request needs, in the order they are judged.
 SNAPSHOT_SLOTS = (
     ("short", "pickup", "15m", "pickup_zone_id"),
@@ -201,12 +203,18 @@ def score_select(
 
 
 def prediction_messages(scored: DataFrame, served_at: str) -> DataFrame:
-    """Accepted scores as prediction messages with the features they used."""
+    """Accepted scores as prediction messages with the features they used.
+
+    ``served_at`` and ``features_as_of`` are UTC wall clocks; messages carry them
+    with their offset. The identity has the shape of a UUID and names trip, model
+    and time, so that a repeated message has the same one.
+    """
     static = ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in schemas.STATIC_FEATURES)
     rolling = ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in schemas.ROLLING_FEATURES)
-    times = ", ".join(f"'{n}', features_as_of" for n in schemas.ROLLING_FEATURES)
+    times = ", ".join(f"'{n}', CAST(features_as_of AS TIMESTAMP)" for n in schemas.ROLLING_FEATURES)
+    digest = f"sha2(concat_ws(':', trip_id, model_version, {clock.MICROS_OF.format(served_at)}), 256)"
     return scored.where("rejection IS NULL").selectExpr(
-        "sha2(concat_ws(':', trip_id, model_version), 256) AS prediction_id",
+        f"regexp_replace(substring({digest}, 1, 32), '{UUID_PARTS}', '$1-$2-$3-$4-$5') AS prediction_id",
         "trip_id",
         "model_version",
         f"CASE WHEN feature_fallback THEN map({static}) ELSE map({static}, {rolling}) END"
@@ -214,6 +222,6 @@ def prediction_messages(scored: DataFrame, served_at: str) -> DataFrame:
         f"map_filter(map({times}), (k, v) -> v IS NOT NULL) AS feature_timestamps",
         "feature_fallback",
         "estimated_duration_seconds",
-        f"{served_at} AS served_at",
+        f"CAST({served_at} AS TIMESTAMP) AS served_at",
         "schema_version",
     )

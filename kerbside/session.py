@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,18 +47,26 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "kerbside") ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
 
-    Only a session without ``spark.checkpoint.dir`` (a bare local one) gets a
-    temporary folder.
+    Where it is unset, only a session whose tasks run in this process may use a
+    temporary folder, which goes with the process; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not runs_here(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="kerbside-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def runs_here(master: str) -> bool:
+    """Whether the tasks of a session with this master run in the driver's process."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def reliable_checkpoint(frame):
     """Cut lineage with files every executor can read again after a loss."""
     spark = frame.sparkSession

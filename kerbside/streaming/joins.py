@@ -12,9 +12,9 @@ def stream_ground_truth(
     wait_seconds: int,
     lateness_seconds: int = 300,
 ) -> DataFrame:
-    """Predictions joined with the completion of their trip, or alone once the wait is over.
+    """Predictions joined with the first completion of their trip, or alone once the wait is over.
 
-    Both watermarks and the time bound let the state of old predictions go.
+    Completions that repeat a trip within the allowed lateness are dropped first. Both watermarks and the time bound let the state of old predictions go.
     """
     left = (
         predictions.withColumn("served_at", F.col("served_at").cast("timestamp"))
@@ -26,6 +26,7 @@ def stream_ground_truth(
             "trip_id", "CAST(event_time AS TIMESTAMP) AS joined_at", "actual_duration_seconds"
         )
         .withWatermark("joined_at", f"{lateness_seconds} seconds")
+        .dropDuplicatesWithinWatermark(["trip_id"])
         .alias("c")
     )
     joined = left.join(

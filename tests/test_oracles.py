@@ -1,18 +1,18 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the catalog against its SQL on the smallest tables."""
 
 import os
 
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from kerbside import catalog
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
     " labels conversations"
 ).split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")

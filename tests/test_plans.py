@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-import __spark_entry__ as entry
+from kerbside import catalog
 from kerbside.catalog.inputs import frame
 from kerbside.operators import pointintime as pit
 
@@ -21,9 +21,9 @@ def plan_of(frame_):
     return frame_._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in EAGER])
+@pytest.mark.parametrize("name", [n for n in catalog.queries() if n not in EAGER])
 def test_no_cross_joins_and_no_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    plan = plan_of(catalog.queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert operator not in plan
 
