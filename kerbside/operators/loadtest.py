@@ -68,7 +68,8 @@ def load_percentiles(samples: DataFrame) -> DataFrame:
         "metric string",
     )
     # Four rows on either side.
-    return metrics.join(F.broadcast(percentiles(long, "ms", PERCENTS, ["metric"])), "metric", "left")
+    found = percentiles(long, "ms", PERCENTS, ["metric"], few_groups=True)
+    return metrics.join(F.broadcast(found), "metric", "left")
 
 
 def load_summary(samples: DataFrame, scheduled: int | str, elapsed: float | str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside import schemas
@@ -143,14 +143,19 @@ def invalid_rows(masked: DataFrame) -> DataFrame:
 
 def violation_counts(masked: DataFrame) -> DataFrame:
     """One row with all counts of a partition; combined before the only shuffle."""
-    return masked.agg(
+    return masked.agg(*violation_measures())
+
+
+def violation_measures() -> list[Column]:
+    """The counts of a partition as aggregates over its masked rows."""
+    return [
         F.expr("count(1) AS total_rows"),
         F.expr("count_if(row_valid) AS valid_rows"),
         F.expr(f"count_if(NOT row_valid) AS {ANY_RULE}"),
         F.expr("count_if(passenger_count IS NULL) AS missing_passenger_rows"),
         F.expr("count_if(passenger_count IS NULL AND row_valid) AS valid_missing_passenger_rows"),
         *[F.expr(f"count_if(NOT passes_{rule}) AS {rule}") for rule in RULES],
-    )
+    ]
 
 
 def _check_threshold(threshold: float) -> float:
@@ -289,27 +294,41 @@ def duplicates(frame: DataFrame, column: str) -> DataFrame:
 
 
 def outside_values(frame: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
+    return frame.where(outside(column, values))
+
+
+def outside(column: str, values: Iterable[str]) -> str:
     listed = ", ".join(f"'{value}'" for value in values)
-    return frame.where(f"{column} NOT IN ({listed})")
+    return f"{column} NOT IN ({listed})"
+
+
+NEGATIVE_COUNTS = "pu_zone_trips_15m < 0 OR pu_zone_trips_60m < 0 OR do_zone_trips_60m < 0"
+LEAKING = " OR ".join(
+    f"{name} >= pickup_datetime"
+    for name in ("pu_zone_features_15m_as_of", "pu_zone_features_60m_as_of", "do_zone_features_60m_as_of")
+)
 
 
 def negative_counts(gold: DataFrame) -> DataFrame:
-    return gold.where("pu_zone_trips_15m < 0 OR pu_zone_trips_60m < 0 OR do_zone_trips_60m < 0")
+    return gold.where(NEGATIVE_COUNTS)
 
 
 def leaking_rows(gold: DataFrame) -> DataFrame:
     """Rows whose features saw the pickup instant or later."""
-    columns = ("pu_zone_features_15m_as_of", "pu_zone_features_60m_as_of", "do_zone_features_60m_as_of")
-    return gold.where(" OR ".join(f"{name} >= pickup_datetime" for name in columns))
+    return gold.where(LEAKING)
 
 
 def contract_disagreements(gold: DataFrame) -> DataFrame:
+    return gold.where(contract_disagreement())
+
+
+def contract_disagreement() -> str:
     versions = " OR ".join(
         f"(contract_version = '{contract}' AND feature_model_version <> '{features}')"
         for contract, features in schemas.FEATURES_BY_CONTRACT.items()
     )
     known = ", ".join(f"'{name}'" for name in schemas.FEATURES_BY_CONTRACT)
-    return gold.where(
+    return (
         "(contract_version = '1.0' AND passenger_count IS NULL)"
         " OR passenger_count < 0 OR passenger_count > 9"
         f" OR {versions} OR contract_version NOT IN ({known})"

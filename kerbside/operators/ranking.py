@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions import digests
 from kerbside.session import reliable_checkpoint
 
 # The mergeable sketch misses a rank by at most rows / SKETCH_ACCURACY.
@@ -19,6 +20,9 @@ def percentiles(
     percents: Sequence[int],
     by: Sequence[str] = (),
     interpolate: bool = False,
+    few_groups: bool = False,
+    accuracy: int = SKETCH_ACCURACY,
+    margin: float | None = None,
 ) -> DataFrame:
     """``p<percent>`` columns over the non-NULL values, per group, exactly.
 
@@ -26,22 +30,29 @@ def percentiles(
     interpolation between neighbours. A sketch brackets every rank. Values
     inside a bracket are counted one by one (about 4 * rows / SKETCH_ACCURACY
     of them), all others only per stretch between brackets, and just these
-    counts are ordered. Without ``by`` there is one row, NULL when empty.
+    counts are ordered. A rank that falls inside a stretch, which the sketch's
+    bound rules out, is an error and never a wrong value. Without ``by`` there is
+    one row, NULL when empty. With ``few_groups`` (one key, a bounded number of
+    values) the brackets reach the rows as one map, and no row moves for them.
     """
     keys = list(by) or ["_all"]
     present = frame.selectExpr(
         *(by or ["0 AS _all"]), f"CAST({value} AS DOUBLE) AS _v"
     ).where("_v IS NOT NULL")
-    margin = 2 / SKETCH_ACCURACY
+    margin = 2 / accuracy if margin is None else margin
     edges = []
     for percent in percents:
         edges += [max(0.0, percent / 100 - margin), min(1.0, percent / 100 + margin)]
     listed = ", ".join(f"{edge!r}D" for edge in edges)
     bracket = F.expr(
         "struct(count(1) AS _rows,"
-        f" percentile_approx(_v, array({listed}), {SKETCH_ACCURACY}) AS _edges) AS _bracket"
+        f" percentile_approx(_v, array({listed}), {accuracy}) AS _edges) AS _bracket"
     )
-    if by:
+    if few_groups:
+        (key,) = by
+        brackets = present.groupBy(key).agg(bracket).agg(F.expr(f"map_from_entries(collect_list(struct({key}, _bracket)))"))
+        bracketed = present.where(f"{key} IS NOT NULL").withColumn("_brackets", brackets.scalar()).withColumn("_bracket", F.expr(f"_brackets[{key}]")).drop("_brackets")
+    elif by:
         bracketed = present.join(present.groupBy(*keys).agg(bracket), keys)
     else:
         bracketed = present.withColumn("_bracket", present.agg(bracket).scalar())
@@ -73,7 +84,9 @@ def percentiles(
 
     def at(rank: str) -> str:
         # The rank falls on a single value, or on the last or first of a stretch.
-        return f"min(CASE WHEN _upto = {rank} THEN _high WHEN _upto > {rank} THEN _low END)"
+        inside = f"{rank} > _upto - _n + 1 AND _low <> _high"
+        missed = "CAST(raise_error('a rank lies outside its bracket') AS DOUBLE)"
+        return f"min(CASE WHEN _upto = {rank} THEN _high WHEN _upto > {rank} THEN CASE WHEN {inside} THEN {missed} ELSE _low END END)"
 
     columns = []
     for percent in percents:
@@ -141,7 +154,7 @@ def hash_sample(frame: DataFrame, identifier: str, rows: int, seed: int = 42) ->
     of them) tell which prefixes can hold the first ``rows``; only those rows
     are ordered.
     """
-    keyed = frame.selectExpr("*", f"md5(concat('{seed}:', {identifier})) AS sample_key")
+    keyed = frame.selectExpr("*", f"{digests.sampling_key(seed, identifier)} AS sample_key")
     prefixes = keyed.groupBy(F.expr("substring(sample_key, 1, 4) AS _prefix")).agg(
         F.expr("count(1) AS _rows")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import Observation, Row, SparkSession
 
 from kerbside import schemas
 from kerbside.errors import PublishRefused
@@ -35,8 +35,9 @@ def ingest_month(
 ) -> IngestResult:
     """Judge every row, then publish silver or quarantine the source.
 
-    The counts are one small aggregate, read before anything is published.
-    Rejected months keep the silver they had.
+    One pass stages silver and observes the counts of all rows on the way. They
+    decide whether the staged table is published or discarded; a rejected month
+    keeps the silver it had. Only a month with invalid rows is read once more.
     """
     when = Month.parse(month)
     layers = Layers(root.rstrip("/"), when)
@@ -46,18 +47,21 @@ def ingest_month(
     quality.require_columns(bronze, schemas.BRONZE_COLUMNS)
     narrow = bronze.select(*schemas.BRONZE_COLUMNS, "source_row_number")
     masked = quality.rule_masks(narrow, when, policy, zones)
-    counted = quality.violation_counts(masked).first()
-    counts = spark.createDataFrame([counted])
-    gate = quality.partition_gate(counts, threshold)
-    accepted = gate.first().status == "accepted"
-    if accepted and counted.valid_rows == 0:
-        raise PublishRefused("an accepted month must hold at least one valid row")
-
-    if accepted:
-        silver = storage.stage(quality.silver_rows(masked, when, policy), layers.silver())
-        storage.publish(spark, silver, layers.silver())
-        storage.remove(spark, layers.rejected_source())
-    else:
+    seen = Observation()
+    observed = masked.observe(seen, *quality.violation_measures())
+    silver = storage.stage(quality.silver_rows(observed, when, policy), layers.silver())
+    try:
+        counted = Row(**seen.get)
+        counts = spark.createDataFrame([counted])
+        accepted = quality.partition_gate(counts, threshold).first().status == "accepted"
+        if accepted and counted.valid_rows == 0:
+            raise PublishRefused("an accepted month must hold at least one valid row")
+        if accepted:
+            storage.publish(spark, silver, layers.silver())
+            storage.remove(spark, layers.rejected_source())
+    finally:
+        storage.remove(spark, silver)
+    if not accepted:
         copied = storage.stage(spark.read.parquet(source), layers.rejected_source())
         storage.publish(spark, copied, layers.rejected_source())
     if counted.valid_rows < counted.total_rows:

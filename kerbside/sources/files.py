@@ -15,10 +15,14 @@ from kerbside.session import shared_folder
 # --- fixed values ---
 PARQUET_MAGIC = "50415231"  # PAR1 as hex
 MAX_REQUESTS = 100_000
-MAX_DIGEST_BYTES = 1 << 30
 # --- end of fixed values ---
 
 
+# Files up to this size are values of a row; longer ones are streamed, with the same result.
+ONE_VALUE_BYTES = 1 << 28
+CHUNK_BYTES = 1 << 22
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of the cluster."""
     return f"{shared_folder(spark).rstrip('/')}/kerbside-{name}-{uuid.uuid4().hex}"
@@ -41,29 +45,67 @@ def with_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .selectExpr("_file", "sum(_rows) OVER (ORDER BY _file) - _rows AS _first")
     )
     placed = read.selectExpr("*", "_metadata.file_path AS _file", "_metadata.row_index AS _row")
-    return placed.join(F.broadcast(files), "_file").selectExpr(
+    # Spark broadcasts the list if it is small.
+    return placed.join(files, "_file").selectExpr(
         *read.columns, "_first + _row AS source_row_number"
     )
 
 
-def file_manifest(spark: SparkSession, pattern: str, max_bytes: int = MAX_DIGEST_BYTES) -> DataFrame:
-    """Path, size, SHA-256 and magic-byte check per file.
+def _opened(path: str):
+    """A file of any store pyarrow knows, as a stream."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_stream(name)
+
+
+def _streamed(batches):
+    """Digest and magic bytes of each file, in chunks of a fixed size."""
+    import hashlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        for path, size in zip(batch.column("path").to_pylist(), batch.column("size_bytes").to_pylist(), strict=True):
+            digest, first, last = hashlib.sha256(), b"", b""
+            with _opened(path) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+                    first, last = (first + chunk[:4])[:4], (last + chunk[-4:])[-4:]
+            magic = bytes.fromhex(PARQUET_MAGIC)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "path": [path],
+                    "file_name": [path.rsplit("/", 1)[-1]],
+                    "size_bytes": pa.array([size], pa.int64()),
+                    "sha256": [digest.hexdigest()],
+                    "is_parquet": [size > 8 and first == last == magic],
+                }
+            )
+
+
+def file_manifest(spark: SparkSession, pattern: str, one_value: int = ONE_VALUE_BYTES) -> DataFrame:
+    """Path, size, SHA-256 and magic-byte check of every file, whatever its size.
 
-    A file is one binary value of its row, so files above ``max_bytes`` get a
-    NULL digest, which never verifies, and are not loaded.
+    Files of at most ``one_value`` bytes are read as values by Spark. Longer ones
+    are listed without their content and streamed, each in a task of its own.
+    Spark lists no empty files.
     """
     listed = spark.read.format("binaryFile").load(pattern)
     fields = ["path", "element_at(split(path, '/'), -1) AS file_name", "length AS size_bytes"]
-    small = listed.where(f"length <= {max_bytes}").selectExpr(
+    small = listed.where(f"length <= {one_value}").selectExpr(
         *fields,
         "sha2(content, 256) AS sha256",
         f"length > 8 AND hex(substring(content, 1, 4)) = '{PARQUET_MAGIC}'"
         f" AND hex(substring(content, -4, 4)) = '{PARQUET_MAGIC}' AS is_parquet",
     )
-    large = listed.where(f"length > {max_bytes}").selectExpr(
-        *fields, "CAST(NULL AS STRING) AS sha256", "CAST(NULL AS BOOLEAN) AS is_parquet"
+    long = listed.where(f"length > {one_value}").selectExpr("path", "length AS size_bytes")
+    streamed = long.repartition("path").mapInArrow(
+        _streamed, "path string, file_name string, size_bytes bigint, sha256 string, is_parquet boolean"
     )
-    return small.unionByName(large)
+    return small.unionByName(streamed)
 
 
 def verify_manifest(claimed: DataFrame, found: DataFrame) -> DataFrame:

@@ -60,9 +60,24 @@ def _file_system(spark: SparkSession, path: str):
 
 def exists(spark: SparkSession, path: str) -> bool:
     files, target = _file_system(spark, path)
+    _restore(spark, path)
     return files.exists(target)
 
 
+def _aside(path: str) -> str:
+    """Where a table waits while another takes its place; hidden from readers."""
+    folder, name = path.rsplit("/", 1)
+    return f"{folder}/_replaced-{name}"
+
+
+def _restore(spark: SparkSession, path: str) -> None:
+    """Put back a table whose replacement never came."""
+    files, target = _file_system(spark, path)
+    _, old = _file_system(spark, _aside(path))
+    if files.exists(old) and not files.exists(target):
+        files.rename(old, target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _file_system(spark, path)
     files.delete(target, True)
@@ -80,11 +95,23 @@ def stage(frame: DataFrame, path: str, **options: str) -> str:
 
 
 def publish(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a staged table in the place of ``path``."""
+    """Put a staged table in the place of ``path``.
+
+    The old table steps aside and is removed last. If the new one does not come,
+    the old one is put back, now or, after a crash, by the next one who looks.
+    """
     files, target = _file_system(spark, path)
-    files.delete(target, True)
-    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
-        raise OSError(f"could not publish {path}")
+    _restore(spark, path)
+    _, old = _file_system(spark, _aside(path))
+    files.delete(old, True)
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"could not replace {path}")
+    try:
+        if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), target):
+            raise OSError(f"could not publish {path}")
+    finally:
+        _restore(spark, path)
+    files.delete(old, True)
 
 
 def write_report(frame: DataFrame, path: str) -> None:
