@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from kerbside import schemas
 from kerbside.errors import DataContractError, PublishRefused
 from kerbside.functions.clock import Month
 from kerbside.operators import pointintime, quality
+from kerbside.plans.ingest import require_published
 from kerbside.sources import storage
+from kerbside.sources.files import table_digest
 from kerbside.sources.storage import Layers
 
 
@@ -40,8 +44,7 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
     """Read the month and, if there, the one before; write, test and publish features."""
     when = Month.parse(month)
     layers = Layers(root.rstrip("/"), when)
-    if not storage.exists(spark, layers.silver()):
-        raise DataContractError(f"no accepted silver for {month}")
+    require_published(spark, layers)
     months = [m for m in (when.shift(-1), when) if storage.exists(spark, layers.silver(m))]
     parts = [
         spark.read.parquet(layers.silver(m)).withColumn("input", F.lit(str(m))) for m in months
@@ -71,14 +74,24 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
     storage.publish(spark, staged, layers.gold())
 
     published = spark.read.parquet(layers.gold())
-    inputs = silver.groupBy("input").agg(F.expr("count(1) AS rows"))
+    output = table_digest(spark, layers.gold())
+    digests = {str(m): require_published(spark, layers, m).found_sha256 for m in months}
+    settings = json.dumps({"windows": pointintime.WINDOWS, **{k: str(v) for k, v in options.items()}}, sort_keys=True)
+    known = spark.createDataFrame(list(digests.items()), "input string, sha256 string")
+    inputs = silver.groupBy("input").agg(F.expr("count(1) AS rows")).join(known, "input")
     manifest = inputs.agg(
         F.expr("sum(rows) AS input_rows"),
-        F.expr("sort_array(collect_list(struct(input, rows))) AS inputs"),
+        F.expr("sort_array(collect_list(struct(input, rows, sha256))) AS inputs"),
     ).withColumns(
         {
             "row_count": F.lit(measured["rows"]).cast("long"),
             "month": F.lit(month),
+            "output_path": F.lit(layers.gold()),
+            "output_sha256": F.lit(output.sha256),
+            "output_bytes": F.lit(output.size_bytes),
+            "output_files": F.lit(output.files),
+            "settings": F.lit(settings),
+            "settings_sha256": F.sha2(F.lit(settings), 256),
             "contract_version": F.lit(version),
             "feature_model_version": F.lit(schemas.FEATURES_BY_CONTRACT[version]),
             "built_at": F.current_timestamp(),

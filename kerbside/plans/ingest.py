@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside import schemas
-from kerbside.errors import PublishRefused
+from kerbside.errors import DataContractError, PublishRefused
 from kerbside.functions.clock import Month
 from kerbside.operators import quality
-from kerbside.sources import storage
-from kerbside.sources.files import with_source_rows
+from kerbside.sources import runlog, storage
+from kerbside.sources.files import table_digest, with_source_rows
 from kerbside.sources.storage import Layers
 
 
@@ -47,6 +49,44 @@ def ingest_month(
     quality.require_columns(bronze, schemas.BRONZE_COLUMNS)
     narrow = bronze.select(*schemas.BRONZE_COLUMNS, "source_row_number")
     masked = quality.rule_masks(narrow, when, policy, zones)
+    source_digest = table_digest(spark, source)
+    run_id = uuid.uuid4().hex
+    runlog.start_run(spark, layers.root, run_id, str(when))
+    try:
+        accepted, counted = _publish(spark, source, masked, layers, threshold, policy)
+        counts = spark.createDataFrame([counted])
+        silver = table_digest(spark, layers.silver()) if accepted else None
+        report = quality.partition_report(counts, when, source, policy, threshold).withColumns(
+            {
+                "run_id": F.lit(run_id),
+                "source_sha256": F.lit(source_digest.sha256),
+                "source_bytes": F.lit(source_digest.size_bytes),
+                "silver_path": F.lit(layers.silver() if accepted else None).cast("string"),
+                "silver_sha256": F.lit(silver.sha256 if silver else None).cast("string"),
+                "rejected_source_path": F.lit(None if accepted else layers.rejected_source()).cast("string"),
+                "invalid_rows_path": F.lit(
+                    layers.invalid_rows() if counted.valid_rows < counted.total_rows else None
+                ).cast("string"),
+            }
+        )
+        storage.write_report(report, layers.quality_report())
+        checks = quality.quality_checks(counts, when, policy, threshold)
+    except Exception as error:
+        runlog.finish_run(spark, layers.root, run_id, "failed", error=type(error).__name__, source_sha256=source_digest.sha256)
+        raise
+    runlog.finish_run(
+        spark, layers.root, run_id, "accepted" if accepted else "quarantined", checks,
+        total_rows=counted.total_rows, valid_rows=counted.valid_rows,
+        invalid_rows=counted.total_rows - counted.valid_rows, source_sha256=source_digest.sha256,
+    )
+    return IngestResult(accepted, counted, layers)
+
+
+def _publish(
+    spark: SparkSession, source: str, masked: DataFrame, layers: Layers, threshold: float, policy: str
+) -> tuple[bool, Row]:
+    """Stage, gate, and publish or quarantine; whether the month was accepted, and its counts."""
+    when = layers.month
     seen = Observation()
     observed = masked.observe(seen, *quality.violation_measures())
     silver = storage.stage(quality.silver_rows(observed, when, policy), layers.silver())
@@ -69,7 +109,17 @@ def ingest_month(
         storage.publish(spark, rejected, layers.invalid_rows())
     else:
         storage.remove(spark, layers.invalid_rows())
+    return accepted, counted
 
-    report = quality.partition_report(counts, when, source, policy, threshold)
-    storage.write_report(report, layers.quality_report())
-    return IngestResult(accepted, counted, layers)
+
+def require_published(spark: SparkSession, layers: Layers, month: Month | None = None) -> Row:
+    """The accepted report of a month whose silver is still what the report describes."""
+    month = month or layers.month
+    if not (storage.exists(spark, layers.silver(month)) and storage.exists(spark, layers.quality_report(month))):
+        raise DataContractError(f"no accepted silver for {month}")
+    report = spark.read.json(layers.quality_report(month)).first().asDict()
+    # A later month that was rejected leaves the silver of the accepted one, whose digest the run log keeps.
+    found = table_digest(spark, layers.silver(month)).sha256
+    if report["status"] == "accepted" and report.get("silver_sha256") != found:
+        raise DataContractError(f"silver of {month} differs from its report")
+    return Row(**(report | {"found_sha256": found}))

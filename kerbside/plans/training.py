@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ from kerbside.errors import DataContractError
 from kerbside.functions.clock import Month
 from kerbside.operators import evaluation, modelling, quality
 from kerbside.session import reliable_checkpoint
+from kerbside.sources import storage
+from kerbside.sources.files import table_digest
 from kerbside.sources.storage import Layers
 
 MODELS = {"baseline": "baseline_seconds", "static": "static_seconds", "rolling": "rolling_seconds"}
@@ -37,6 +41,56 @@ def load_gold(spark: SparkSession, root: str, months: Sequence[str]) -> DataFram
     return quality.require_columns(spark.read.option("mergeSchema", "true").parquet(*paths), REQUIRED)
 
 
+def gold_manifests(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
+    """Month, digest, rows and feature version of gold months; a month whose files changed is an error."""
+    parts = []
+    for month in months:
+        layers = Layers(root.rstrip("/"), Month.parse(month))
+        manifest = spark.read.json(layers.gold_manifest())
+        if manifest.first().output_sha256 != table_digest(spark, layers.gold()).sha256:
+            raise DataContractError(f"gold of {month} differs from its manifest")
+        parts.append(manifest.selectExpr("month", "output_sha256 AS sha256", "row_count", "feature_model_version"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def train_month(
+    spark: SparkSession, root: str, months: Sequence[str], holdout: str, settings: Mapping[str, str] | None = None, **options
+) -> str:
+    """Train on gold months, judge on the holdout, and keep models and reports; the path of the run.
+
+    The run is named by what it reads and how it is set up; a finished run of
+    that name is used again, not repeated.
+    """
+    fixed = {key: str(value) for key, value in {**options, **(settings or {}), "holdout": holdout}.items()}
+    manifests = gold_manifests(spark, root, [*months, holdout])
+    run_id = evaluation.run_identity(manifests, fixed).first().run_id
+    path = f"{root.rstrip('/')}/training/{run_id}"
+    if storage.exists(spark, f"{path}/manifest"):
+        return path
+    storage.remove(spark, path)
+    # One copy of what every tree pass reads.
+    needed = [*REQUIRED]
+    train = reliable_checkpoint(load_gold(spark, root, months).select(*needed))
+    result = evaluate_models(train, load_gold(spark, root, [holdout]).select(*needed), **options)
+    result.static_model.write().overwrite().save(f"{path}/models/static")
+    result.rolling_model.write().overwrite().save(f"{path}/models/rolling")
+    for name in ("metrics", "buckets", "cohorts", "gates", "decision"):
+        storage.write_report(getattr(result, name), f"{path}/{name}")
+    held = manifests.where(F.col("month") == holdout).selectExpr("month AS holdout_month", "sha256 AS holdout_sha256")
+    manifest = held.withColumns(
+        {
+            "run_id": F.lit(run_id),
+            "training_months": F.lit(",".join(months)),
+            "settings": F.lit(json.dumps(fixed, sort_keys=True)),
+            "static_model_sha256": F.lit(table_digest(spark, f"{path}/models/static/stages/*/data").sha256),
+            "rolling_model_sha256": F.lit(table_digest(spark, f"{path}/models/rolling/stages/*/data").sha256),
+        }
+    )
+    # Written last: a run without it is not finished.
+    storage.write_report(manifest, f"{path}/manifest")
+    return path
+
+
 def check_gold(train: DataFrame, holdout: DataFrame) -> None:
     """One supported version everywhere, and passenger counts it allows."""
     both = train.selectExpr("'train' AS input", "feature_model_version").unionByName(

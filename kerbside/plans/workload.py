@@ -9,8 +9,9 @@ from kerbside.functions import clock
 from kerbside.functions.clock import Month
 from kerbside.operators import distributions, ranking
 from kerbside.session import reliable_checkpoint
+from kerbside.plans.ingest import require_published
 from kerbside.sources import storage
-from kerbside.sources.files import MAX_REQUESTS, write_lines
+from kerbside.sources.files import MAX_REQUESTS, table_digest, write_lines
 from kerbside.sources.storage import Layers
 
 REQUEST_COLUMNS = (
@@ -52,13 +53,18 @@ def sample_workload(
     )
 
 
+def manifest_path(output: str) -> str:
+    """Where the manifest of a workload lies: next to its lines."""
+    return f"{output.rstrip('/')}-manifest"
+
+
 def build_workload(
     spark: SparkSession, month: str, root: str, output: str, *, rows: int = 10_000, seed: int = 42
 ) -> DataFrame:
     """Write the sampled requests as lines; give the distance of sample and population."""
     when = Month.parse(month)
     layers = Layers(root.rstrip("/"), when)
-    report = spark.read.json(layers.quality_report()).first()
+    report = require_published(spark, layers)
     if report.status != "accepted" or report.month != month:
         raise DataContractError("a workload needs the matching accepted quality report")
     silver = spark.read.parquet(layers.silver())
@@ -72,6 +78,18 @@ def build_workload(
     write_lines(
         requests_from(sample), f"to_json(struct({fields}), map('ignoreNullFields', 'false'))", output
     )
+    fixture = table_digest(spark, output)
+    manifest = distributions.eligibility(silver, when.start, when.end, report.contract_version).selectExpr(
+        f"'{month}' AS month",
+        f"'{report.contract_version}' AS contract_version",
+        f"{int(seed)} AS seed",
+        f"{int(rows)} AS sampled_rows",
+        "*",
+        f"'{report.found_sha256}' AS silver_sha256",
+        f"'{fixture.sha256}' AS fixture_sha256",
+        f"{fixture.size_bytes} AS fixture_bytes",
+    )
+    storage.write_report(manifest, manifest_path(output))
     return distributions.histogram_distances(
         distributions.marginal_histograms(distributions.unambiguous_rows(silver, "pickup_datetime")),
         distributions.marginal_histograms(sample),

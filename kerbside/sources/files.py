@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.errors import DataContractError
@@ -108,6 +108,19 @@ def file_manifest(spark: SparkSession, pattern: str, one_value: int = ONE_VALUE_
     return small.unionByName(streamed)
 
 
+def table_digest(spark: SparkSession, path: str) -> Row:
+    """sha256, size_bytes and files of a file, or of a folder by the digests of its files."""
+    return (
+        file_manifest(spark, path)
+        .agg(
+            F.expr("CASE WHEN count(1) = 1 THEN max(sha256) ELSE sha2(array_join(array_sort(collect_list(sha256)), ','), 256) END AS sha256"),
+            F.expr("coalesce(sum(size_bytes), 0) AS size_bytes"),
+            F.expr("count(1) AS files"),
+        )
+        .first()
+    )
+
+
 def verify_manifest(claimed: DataFrame, found: DataFrame) -> DataFrame:
     """Claims about files next to what is there; ``verified`` only if all agree."""
     actual = found.selectExpr("path", "size_bytes AS _size", "sha256 AS _sha256", "is_parquet AS _parquet")
