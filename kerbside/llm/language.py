@@ -11,8 +11,9 @@ final dictionaries.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and is rejected; with no labelled text at all every document is ``und``. Ties
-go to the first language in alphabetical order and are rejected, because their
-margin is 0. Equal texts get equal answers.
+go to the most frequent label. Narrow margins are rejected, except in texts of
+fewer than ``short`` bytes, whose sizes are too coarse to have a margin: those
+are kept with the best language. Equal texts get equal answers.
 """
 
 from __future__ import annotations
@@ -40,16 +41,17 @@ def normal(text: str) -> bytes:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Dictionaries by language; at most ``dictionary_bytes`` each."""
+    """Dictionaries by language, the most frequent first; at most ``dictionary_bytes`` each."""
 
     dictionaries: dict[str, bytes]
     level: int = 5
     block: int = 512
     narrow: float = 0.01  # smallest accepted (second - best) / second
+    short: int = 64
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
         made = []
-        for _, content in sorted(self.dictionaries.items()):
+        for content in self.dictionaries.values():
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(level=self.level)
             made.append(zstandard.ZstdCompressor(dict_data=dictionary))
@@ -71,7 +73,7 @@ def judge(text: str | None, languages: list[str], compressors: list, model: Lang
     others = np.delete(found, best)
     margin = float((others.min() - found[best]) / others.min()) if len(others) else 1.0
     score = float(1.0 / np.exp2(np.maximum(found[best] - found, -60.0)).sum())
-    return {"lang": languages[best], "score": score, "margin": margin, "accepted": margin >= model.narrow}
+    return {"lang": languages[best], "score": score, "margin": margin, "accepted": margin >= model.narrow or len(content) < model.short}
 
 
 def _dictionary(texts: list[bytes], limit: int) -> bytes:
@@ -132,7 +134,9 @@ def learn(
         if content and len(mine) < documents_per_language and content not in mine:
             mine.append(content)
     clean = _cleaned({k: v for k, v in samples.items() if v}, dictionary_bytes, level, block)
-    return LanguageModel({k: _dictionary(v, dictionary_bytes) for k, v in clean.items()}, level, block, narrow)
+    number = dict(counts)
+    order = sorted(clean, key=lambda lang: (-number[lang], lang))
+    return LanguageModel({k: _dictionary(clean[k], dictionary_bytes) for k in order}, level, block, narrow)
 
 
 def verdicts(spark: SparkSession, model: LanguageModel):
@@ -145,7 +149,7 @@ def verdicts(spark: SparkSession, model: LanguageModel):
     @F.arrow_udf(VERDICT)
     def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        languages, compressors = sorted(own.dictionaries), own.compressors()
+        languages, compressors = list(own.dictionaries), own.compressors()
         kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("accepted", pa.bool_())])
         for batch in batches:
             yield pa.array([judge(text.as_py(), languages, compressors, own) for text in batch], kind)
