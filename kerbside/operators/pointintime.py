@@ -31,7 +31,7 @@ from kerbside import schemas
 from kerbside.errors import DataContractError
 from kerbside.functions import clock, numbers
 from kerbside.functions.clock import MICROS
-from kerbside.operators.skew import ROWS_PER_GROUP, copy_rows, hot_groups, split_rows
+from kerbside.operators.skew import ROWS_PER_GROUP, crowded, timed_parts
 
 SPEED_MPH = numbers.speed_mph("trip_distance_miles", "actual_duration_seconds")
 WINDOWS = {"15m": schemas.SHORT_WINDOW_SECONDS, "60m": schemas.LONG_WINDOW_SECONDS}
@@ -83,9 +83,11 @@ def trailing_features(
     travel through with all their columns and every probe comes back once.
     Dense data wants short slices; ``slice_seconds`` must divide every window.
 
-    Rows of a (key, slice) above ``rows_per_group`` are spread over several
-    tasks. ``density_of`` may name a cheaper frame with the same ``key`` and
-    ``at`` values to count them on.
+    A (key, slice) with more than ``rows_per_group`` probes and facts is cut by
+    time into parts of their own tasks: each part holds its own facts and one row
+    of totals per window for those before, so no fact is copied. ``density_of``
+    may name a cheaper frame with the same ``key`` and ``at`` values to count the
+    probes on. A measure that is not finite makes its windows NaN, not later ones.
     """
     spans = {label: seconds * MICROS for label, seconds in windows.items()}
     width = (slice_seconds * MICROS) if slice_seconds else reduce(gcd, spans.values())
@@ -93,14 +95,18 @@ def trailing_features(
         raise DataContractError("slice_seconds must divide every window")
 
     kinds = dict(facts.dtypes)
+    # What is not finite would stay in running sums for good, so it is counted apart.
+    broken = [name for name in means if kinds[name] in ("float", "double")]
     whole = {name for name in means if kinds[name] in ("tinyint", "smallint", "int", "bigint")}
     sums = {"_n": "count(1)"}
     for name in means:
         if name in whole:
             sums[f"_{name}"] = f"sum({name})"
         else:
-            sums[f"_{name}"] = f"sum({numbers.coarse_part(name)})"
-            sums[f"_{name}_fine"] = f"sum({numbers.fine_part(name)})"
+            finite = numbers.is_finite(name)
+            sums[f"_{name}"] = f"sum(CASE WHEN {finite} THEN {numbers.coarse_part(name)} ELSE 0L END)"
+            sums[f"_{name}_fine"] = f"sum(CASE WHEN {finite} THEN {numbers.fine_part(name)} ELSE 0D END)"
+            sums[f"_{name}_odd"] = f"count_if(NOT {finite})"
     folded = _fold_instants(facts, key, at, sums, width)
     ledger = _ledger_rows(folded, spans, width, list(sums))
 
@@ -108,12 +114,21 @@ def trailing_features(
     us = clock.MICROS_OF.format(at)
     place = [f"{key} AS _key", f"{us} div {width} AS _slice"]
     counted = density_of if density_of is not None else probes
-    hot = hot_groups(counted.selectExpr(*place), group, rows_per_group)
+    moves = ", ".join(str(n) for n in (0, *(span // width for span in spans.values())))
+    facing = (
+        facts.selectExpr(*place)
+        .groupBy(*group)
+        .agg(F.expr("count(1) AS _rows"))
+        .selectExpr("_key", f"explode(transform(array({moves}), move -> _slice + move)) AS _slice", "_rows")
+    )
+    asked = counted.selectExpr(*place).groupBy(*group).agg(F.expr("count(1) AS _rows"))
+    hot = crowded(asked.unionByName(facing), group, rows_per_group)
     # Probe columns travel as one struct: in ledger rows it is a single NULL.
     asking = probes.selectExpr(*place, f"{us} AS _us", "struct(*) AS _probe")
-    asking = split_rows(asking, hot, group, ["_probe"])
-    answering = copy_rows(ledger, hot, group)
-    both = asking.unionByName(answering, allowMissingColumns=True)
+    asking = timed_parts(asking, hot, group, width).drop("_parts")
+    answering = timed_parts(ledger, hot, group, width)
+    earlier = _earlier_parts(answering, hot, spans, width, list(sums))
+    both = asking.unionByName(answering.drop("_parts").unionByName(earlier), allowMissingColumns=True)
 
     # Strictly before t: the frame ends one microsecond earlier. The hash comes first
     # because a sort compares the first column much faster than the rest.
@@ -125,7 +140,7 @@ def trailing_features(
     for index, (label, span) in enumerate(spans.items()):
         sign = (
             f"CASE WHEN _kind = {-1 - index} THEN -1"
-            f" WHEN _kind BETWEEN 0 AND {span // width} THEN 1 ELSE 0 END"
+            f" WHEN _kind BETWEEN 0 AND {span // width} OR _kind = {CARRIED - index} THEN 1 ELSE 0 END"
         )
         for name in sums:
             running.append(f"coalesce(sum({name} * ({sign})) {before}, 0) AS {name}_{label}")
@@ -145,6 +160,8 @@ def trailing_features(
                 if name in whole
                 else numbers.join_parts(f"_{name}_{label}", f"_{name}_fine_{label}")
             )
+            if name in broken:
+                total = f"CASE WHEN _{name}_odd_{label} > 0 THEN double('NaN') ELSE {total} END"
             features.append(
                 f"CASE WHEN _n_{label} > 0 THEN {total} / _n_{label} END AS mean_{name}_{label}"
             )
@@ -167,6 +184,56 @@ def _fold_instants(
     )
 
 
+# Kind of the totals of earlier parts for the first window, one less for each next one.
+CARRIED = -1000
+
+
+def _earlier_parts(
+    ledger: DataFrame, hot: DataFrame, spans: Mapping[str, int], width: int, measures: list[str]
+) -> DataFrame:
+    """For every part of a hot cell and every window, the signed totals of the parts before it.
+
+    Small: a row per part and window, and a cell has its rows / rows_per_group parts.
+    """
+    signed = []
+    for index, span in enumerate(spans.values()):
+        sign = f"CASE WHEN _kind = {-1 - index} THEN -1 WHEN _kind BETWEEN 0 AND {span // width} THEN 1 ELSE 0 END"
+        signed += [F.expr(f"sum({name} * ({sign})) AS {name}_{index}") for name in measures]
+    totals = (
+        ledger.where("_parts IS NOT NULL")
+        .groupBy("_key", "_slice", "_part", "_parts")
+        .agg(F.max("_last_us").alias("_last_us"), *signed)
+    )
+    grid = hot.selectExpr("_key", "_slice", "explode(sequence(0, _parts - 1)) AS _part", "_parts")
+    columns = [f"{name}_{index}" for index in range(len(spans)) for name in measures]
+    before = "OVER (PARTITION BY _key, _slice ORDER BY _part RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = ", ".join(
+        f"named_struct('_kind', {CARRIED - index}, "
+        + ", ".join(f"'{name}', coalesce({name}_{index}, 0)" for name in measures)
+        + ")"
+        for index in range(len(spans))
+    )
+    return (
+        totals.unionByName(grid, allowMissingColumns=True)
+        .selectExpr(
+            "_key", "_slice", "_part", "_parts", f"max(_last_us) {before} AS _last_us",
+            *[f"sum({name}) {before} AS {name}" for name in columns],
+        )
+        .groupBy("_key", "_slice", "_part", "_parts")
+        .agg(F.max("_last_us").alias("_last_us"), *[F.first(name, ignorenulls=True).alias(name) for name in columns])
+        .where("_part > 0")
+        .selectExpr(
+            "_key",
+            "_slice",
+            f"_slice * {width} + CAST(ceil(_part * {width}D / _parts) AS BIGINT) - 1 AS _us",
+            "_last_us",
+            "_part",
+            f"explode(array({rows})) AS _row",
+        )
+        .selectExpr("_key", "_slice", "_us", "_last_us", "_part", "_row.*")
+    )
+
+
 def _ledger_rows(
     folded: DataFrame, spans: Mapping[str, int], width: int, measures: list[str]
 ) -> DataFrame:

@@ -2,39 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_GROUP = 4_000_000
 
 
-def hot_groups(frame: DataFrame, keys: list[str], rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+def crowded(counts: DataFrame, keys: list[str], rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Keys with more than ``rows_per_group`` rows and the number of parts to cut them into.
 
-    At most ``rows / rows_per_group`` keys can qualify, so the result stays
-    small enough to broadcast whatever the size of ``frame``; counting is
-    combined before the shuffle.
+    ``counts`` has partial counts in ``_rows``. At most rows / rows_per_group keys
+    can qualify, so the result stays small enough to broadcast whatever the size
+    of the data; counting is combined before the shuffle.
     """
     return (
-        frame.groupBy(*keys)
-        .agg(F.expr("count(1) AS _rows"))
+        counts.groupBy(*keys)
+        .agg(F.expr("sum(_rows) AS _rows"))
         .where(f"_rows > {rows_per_group}")
         .selectExpr(*keys, f"CAST(ceil(_rows / {rows_per_group}) AS INT) AS _parts")
     )
 
 
-def split_rows(frame: DataFrame, hot: DataFrame, keys: list[str], spread: Sequence[str]) -> DataFrame:
-    """Give every row one part number; rows of a hot key spread by the hash of ``spread``."""
-    return frame.join(F.broadcast(hot), keys, "left").selectExpr(
-        *frame.columns,
-        f"CAST(coalesce(pmod(xxhash64({', '.join(spread)}), _parts), 0) AS INT) AS _part",
-    )
+def timed_parts(frame: DataFrame, hot: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Rows of a hot slice with the number ``_part`` of their even share of its time; others have part 0.
 
-
-def copy_rows(frame: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Repeat every row once per part of its key."""
+    ``_us`` lies in the slice, ``width`` long, or just before it. ``_parts`` is NULL where the slice is not hot.
+    """
     return frame.join(F.broadcast(hot), keys, "left").selectExpr(
-        *frame.columns, "explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part"
+        *frame.columns,
+        f"CAST(coalesce(greatest(((_us - _slice * {width}) * _parts) div {width}, 0), 0) AS INT) AS _part",
+        "_parts",
     )
