@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kerbside.catalog.inputs import SPLIT, ctes, frame, rounded, snapped
 from kerbside.functions import clock
 from kerbside.operators import evaluation, modelling
+from kerbside.session import reliable_checkpoint
 
 MODELS = {"baseline": "baseline", "static": "static", "rolling": "rolling"}
 
@@ -86,7 +87,8 @@ def _run_id(spark, folder):
 def _gbt(spark, folder):
     from kerbside.catalog.trips import gold
 
-    rows = gold(spark, folder)
+    # Every pass of the trees reads it.
+    rows = reliable_checkpoint(gold(spark, folder))
     train = rows.where(f"pickup_datetime < {clock.naive(SPLIT)}")
     holdout = rows.where(f"pickup_datetime >= {clock.naive(SPLIT)}")
     fitted = modelling.train_trees(train, rolling=True, trees=3, depth=4, seed=42)

@@ -25,11 +25,8 @@ def _samples(spark, folder):
 
 
 def _summary(spark, folder):
-    rows = _samples(spark, folder)
-    totals = rows.agg(
-        F.expr("count(1) + 3 AS scheduled"), F.expr("max(scheduled_offset_seconds) + 1 AS elapsed")
-    ).first()
-    return loadtest.load_summary(rows, totals.scheduled, totals.elapsed)
+    last = "max(scheduled_offset_seconds) AS last_offset"
+    return loadtest.load_summary(_samples(spark, folder), "recorded + 3", "last_offset + 1", [last])
 
 
 def _gates(spark, folder):

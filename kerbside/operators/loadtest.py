@@ -72,9 +72,16 @@ def load_percentiles(samples: DataFrame) -> DataFrame:
     return metrics.join(F.broadcast(found), "metric", "left")
 
 
-def load_summary(samples: DataFrame, scheduled: int | str, elapsed: float | str) -> DataFrame:
-    """One row of totals and rates; the error rate counts every scheduled request."""
+def load_summary(
+    samples: DataFrame, scheduled: int | str, elapsed: float | str, extra: Sequence[str] = ()
+) -> DataFrame:
+    """One row of totals and rates; the error rate counts every scheduled request.
+
+    ``scheduled`` and ``elapsed`` may be expressions over the totals and over the
+    aggregates named in ``extra``.
+    """
     counts = samples.agg(
+        *[F.expr(text) for text in extra],
         F.expr("count(1) AS recorded"),
         F.expr(f"count_if({_SUCCESS}) AS successful"),
         F.expr("count_if(outcome = 'load_generator_overflow') AS overflowed"),
@@ -85,7 +92,7 @@ def load_summary(samples: DataFrame, scheduled: int | str, elapsed: float | str)
         "recorded AS recorded_samples",
         "successful AS successful_requests",
         "overflowed AS overflowed_requests",
-        f"({scheduled} - successful) / {scheduled} AS error_rate",
+        f"(({scheduled}) - successful) / ({scheduled}) AS error_rate",
         f"successful / CAST({elapsed} AS DOUBLE) AS successful_requests_per_second",
         "try_divide(fallbacks, successful) AS fallback_rate_among_successes",
     )

@@ -96,8 +96,8 @@ def feature_lookup(
 
     ``snapshots`` holds one row per stored key: ``key_version``, ``key_role``,
     ``key_zone`` and ``key_window`` say where it is stored, the other columns
-    what it claims. With 2 roles, 265 zones, 2 windows and one version it has
-    at most 1,060 rows, so it is broadcast.
+    what it claims. Of several the one with the latest window counts, so a side
+    has at most one row per zone number (65,536) and is broadcast.
     """
     kept = snapshots.where(f"key_version = '{feature_model_version}'")
     joined = requests
@@ -108,6 +108,14 @@ def feature_lookup(
             " source_max_event_time, trip_count, mean_speed_mph, mean_duration_seconds,"
             f" mean_distance_miles, feature_model_version, schema_version) AS {slot}",
             f"{snapshot_is_valid()} AS {slot}_valid",
+            "window_end IS NOT NULL AS _dated",
+            "window_end AS _end",
+            "computed_at AS _made",
+        )
+        side = (
+            side.groupBy(zone)
+            .agg(F.expr(f"max_by(struct({slot}, {slot}_valid), struct(_dated, _end, _made)) AS _latest"))
+            .selectExpr(zone, f"_latest.{slot}", f"_latest.{slot}_valid")
         )
         joined = joined.join(F.broadcast(side), zone, "left")
 

@@ -131,19 +131,24 @@ def with_positions(frame: DataFrame, order_by: Sequence[str]) -> DataFrame:
 def even_sample(frame: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
     """``rows`` evenly spaced rows from first to last in the given order, or all if fewer.
 
-    The i-th pick sits at floor(i * (total - 1) / (picks - 1)). A row knows from
-    its position alone whether it is a pick.
+    The i-th pick sits at floor(i * (total - 1) / (picks - 1)). A key knows from
+    its position alone whether it is a pick. Only the columns in ``order_by``,
+    which must identify rows, are sorted; the picks, at most ``rows``, then find
+    their rows.
     """
-    placed = with_positions(frame, order_by).selectExpr("*", f"least({rows}, total_rows) AS _picks")
+    keys = frame.select(*order_by)
+    placed = with_positions(keys, order_by).selectExpr("*", f"least({rows}, total_rows) AS _picks")
     index = "CASE WHEN _picks < 2 OR total_rows < 2 THEN 0L ELSE CAST(ceil(position * (_picks - 1) / (total_rows - 1)) AS BIGINT) END"
-    return (
+    picks = (
         placed.selectExpr("*", f"{index} AS pick")
         .where(
             "CASE WHEN _picks < 2 THEN position = 0"
             " ELSE (pick * (total_rows - 1)) div (_picks - 1) = position END"
         )
-        .selectExpr(*frame.columns, "position", "pick")
+        .selectExpr(*[f"{name} AS _key_{n}" for n, name in enumerate(order_by)], "position", "pick")
     )
+    same = " AND ".join(f"{name} <=> _key_{n}" for n, name in enumerate(order_by))
+    return frame.join(F.broadcast(picks), F.expr(same)).selectExpr(*frame.columns, "position", "pick")
 
 
 def hash_sample(frame: DataFrame, identifier: str, rows: int, seed: int = 42) -> DataFrame:

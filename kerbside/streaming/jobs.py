@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.operators.online import latest_snapshots
+from kerbside.operators.online import latest_snapshots, unexpired
 from kerbside.sources.files import scratch_path
+from kerbside.sources.storage import remove
 
 # State of large streams belongs on local disk with checkpoints in shared storage.
 STATE_STORE = {
@@ -53,7 +54,7 @@ class SnapshotStore:
 
     A batch reads the version before it and writes its own, so replaying a
     batch after a failure overwrites the same version. Older versions are
-    never changed. A snapshot of an older window never replaces a newer one.
+    never changed, and removed once two newer ones exist. A snapshot of an older window never replaces a newer one.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -74,17 +75,22 @@ class SnapshotStore:
                 found.append(int(name.split("=")[1]))
         return sorted(found)
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def read(self, version: int | None = None, now: str | None = None) -> DataFrame | None:
+        """A version, by default the newest; with ``now``, an SQL time, without what has outlived its time."""
         versions = self.versions()
         if not versions:
             return None
-        return self.spark.read.parquet(f"{self.path}/version={versions[-1] if version is None else version}")
+        kept = self.spark.read.parquet(f"{self.path}/version={versions[-1] if version is None else version}")
+        return kept if now is None else unexpired(kept, now)
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         older = [v for v in self.versions() if v < batch_id]
         if older:
             batch = self.read(older[-1]).unionByName(batch)
         latest_snapshots(batch).write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+        # The version just read stays, for a replay of this batch and for its readers.
+        for version in older[:-1]:
+            remove(self.spark, f"{self.path}/version={version}")
 
 
 def feed_store(

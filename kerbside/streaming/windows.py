@@ -179,26 +179,27 @@ def feature_parity(
     facts = zone_completions(trips).selectExpr(
         "struct(zone_role, zone_id) AS zone", "event_time AS window_end", "duration", "speed", "distance"
     )
-    compared = None
-    for kind, seconds in WINDOW_SECONDS.items():
-        probes = snapshots.where(f"window_kind = '{kind}'").selectExpr(
-            "struct(zone_role, zone_id) AS zone", "*"
-        )
-        batch = trailing_features(
-            probes,
-            facts,
-            key="zone",
-            at="window_end",
-            windows={"w": seconds},
-            means=["duration", "speed", "distance"],
-        ).selectExpr(
-            "zone_role",
-            "window_kind",
-            "trip_count <=> CAST(count_w AS BIGINT) AS same_count",
-            "greatest(abs(mean_duration_seconds - mean_duration_w), abs(mean_speed_mph - mean_speed_w),"
-            " abs(mean_distance_miles - mean_distance_w)) AS difference",
-        )
-        compared = batch if compared is None else compared.unionByName(batch)
+    # One ledger answers all windows; each snapshot takes those of its own kind.
+    looked = trailing_features(
+        snapshots.selectExpr("struct(zone_role, zone_id) AS zone", "*"),
+        facts,
+        key="zone",
+        at="window_end",
+        windows=WINDOW_SECONDS,
+        means=["duration", "speed", "distance"],
+    )
+
+    def own(name: str) -> str:
+        cases = " ".join(f"WHEN '{kind}' THEN {name}_{kind}" for kind in WINDOW_SECONDS)
+        return f"CASE window_kind {cases} END"
+
+    compared = looked.where(F.col("window_kind").isin(*WINDOW_SECONDS)).selectExpr(
+        "zone_role",
+        "window_kind",
+        f"trip_count <=> CAST({own('count')} AS BIGINT) AS same_count",
+        f"greatest(abs(mean_duration_seconds - {own('mean_duration')}), abs(mean_speed_mph - {own('mean_speed')}),"
+        f" abs(mean_distance_miles - {own('mean_distance')})) AS difference",
+    )
     bad = f"NOT same_count OR difference IS NULL OR difference > {tolerance!r}D"
     return compared.groupBy("zone_role", "window_kind").agg(
         F.expr("count(1) AS compared"),
