@@ -104,6 +104,11 @@ def statistics(text: str = "text") -> Column:
     )
 
 
+def with_statistics(frame: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """The frame with the struct of counts as a column that Spark computes once, however often it is read."""
+    return frame.select("*", F.explode(F.array(statistics(text))).alias(name))
+
+
 def base_failed(counts: str) -> Column:
     words = F.col(f"{counts}.n_words")
     return (words < 50) | (100 * F.col(f"{counts}.n_repeat_words") > 50 * words)
@@ -215,7 +220,8 @@ def fit(vectors: DataFrame) -> DataFrame:
     wide = F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})
     used = names.select("g").distinct()
     levels = named.select(F.explode(F.array_distinct(F.array("g", wide, F.lit("all")))).alias("g"), *VECTOR).join(used, ["g"], "left_semi")
-    return names.join(estimates(levels), ["g"], "left")
+    # As a table it has a known size, so Spark broadcasts it only while it is small.
+    return common.stored(names.join(estimates(levels), ["g"], "left"), "fitted")
 
 
 def verdict(frame: DataFrame, counts: str, fitted: DataFrame, name: str = "d2") -> DataFrame:
