@@ -28,7 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the counts and are no outliers of their language and source."""
     counts = common.fresh(docs, "quality_counts")
     distance = common.fresh(docs, "quality_distance")
-    counted = docs.withColumn(counts, quality.statistics("text"))
+    counted = quality.with_statistics(docs, counts)
     fitted = quality.fit(common.stored(quality.vectors(counted, counts), "vectors"))
     # texts do not move: the estimates, a row per group, are what Spark joins them with
     passed = counted.where(~quality.base_failed(counts))
