@@ -31,7 +31,7 @@ from kerbside import schemas
 from kerbside.errors import DataContractError
 from kerbside.functions import clock, numbers
 from kerbside.functions.clock import MICROS
-from kerbside.operators.skew import ROWS_PER_GROUP, crowded, timed_parts
+from kerbside.operators.skew import ROWS_PER_GROUP, copied_rows, crowded, spread_rows, timed_parts
 
 SPEED_MPH = numbers.speed_mph("trip_distance_miles", "actual_duration_seconds")
 WINDOWS = {"15m": schemas.SHORT_WINDOW_SECONDS, "60m": schemas.LONG_WINDOW_SECONDS}
@@ -74,6 +74,8 @@ def trailing_features(
     slice_seconds: int | None = None,
     density_of: DataFrame | None = None,
     rows_per_group: int = ROWS_PER_GROUP,
+    dense_facts: bool = True,
+    finite: bool = False,
 ) -> DataFrame:
     """Add, per window ``w``, ``count_w``, ``mean_<measure>_w`` and ``as_of_w`` to ``probes``.
 
@@ -88,6 +90,10 @@ def trailing_features(
     of totals per window for those before, so no fact is copied. ``density_of``
     may name a cheaper frame with the same ``key`` and ``at`` values to count the
     probes on. A measure that is not finite makes its windows NaN, not later ones.
+
+    Callers who know more save work: without ``dense_facts`` a slice holds few
+    instants of facts (they are folded to one row each), and probes alone are
+    spread, each part with a copy of them; ``finite`` measures need no watch.
     """
     spans = {label: seconds * MICROS for label, seconds in windows.items()}
     width = (slice_seconds * MICROS) if slice_seconds else reduce(gcd, spans.values())
@@ -96,17 +102,20 @@ def trailing_features(
 
     kinds = dict(facts.dtypes)
     # What is not finite would stay in running sums for good, so it is counted apart.
-    broken = [name for name in means if kinds[name] in ("float", "double")]
+    broken = [] if finite else [name for name in means if kinds[name] in ("float", "double")]
     whole = {name for name in means if kinds[name] in ("tinyint", "smallint", "int", "bigint")}
     sums = {"_n": "count(1)"}
     for name in means:
         if name in whole:
             sums[f"_{name}"] = f"sum({name})"
         else:
-            finite = numbers.is_finite(name)
-            sums[f"_{name}"] = f"sum(CASE WHEN {finite} THEN {numbers.coarse_part(name)} ELSE 0L END)"
-            sums[f"_{name}_fine"] = f"sum(CASE WHEN {finite} THEN {numbers.fine_part(name)} ELSE 0D END)"
-            sums[f"_{name}_odd"] = f"count_if(NOT {finite})"
+            coarse, fine = numbers.coarse_part(name), numbers.fine_part(name)
+            if name in broken:
+                usable = numbers.is_finite(name)
+                coarse, fine = f"CASE WHEN {usable} THEN {coarse} ELSE 0L END", f"CASE WHEN {usable} THEN {fine} ELSE 0D END"
+                sums[f"_{name}_odd"] = f"count_if(NOT {usable})"
+            sums[f"_{name}"] = f"sum({coarse})"
+            sums[f"_{name}_fine"] = f"sum({fine})"
     folded = _fold_instants(facts, key, at, sums, width)
     ledger = _ledger_rows(folded, spans, width, list(sums))
 
@@ -114,6 +123,7 @@ def trailing_features(
     us = clock.MICROS_OF.format(at)
     place = [f"{key} AS _key", f"{us} div {width} AS _slice"]
     counted = density_of if density_of is not None else probes
+    asked = counted.selectExpr(*place).groupBy(*group).agg(F.expr("count(1) AS _rows"))
     moves = ", ".join(str(n) for n in (0, *(span // width for span in spans.values())))
     facing = (
         facts.selectExpr(*place)
@@ -121,14 +131,17 @@ def trailing_features(
         .agg(F.expr("count(1) AS _rows"))
         .selectExpr("_key", f"explode(transform(array({moves}), move -> _slice + move)) AS _slice", "_rows")
     )
-    asked = counted.selectExpr(*place).groupBy(*group).agg(F.expr("count(1) AS _rows"))
-    hot = crowded(asked.unionByName(facing), group, rows_per_group)
+    hot = crowded(asked.unionByName(facing) if dense_facts else asked, group, rows_per_group)
     # Probe columns travel as one struct: in ledger rows it is a single NULL.
     asking = probes.selectExpr(*place, f"{us} AS _us", "struct(*) AS _probe")
-    asking = timed_parts(asking, hot, group, width).drop("_parts")
-    answering = timed_parts(ledger, hot, group, width)
-    earlier = _earlier_parts(answering, hot, spans, width, list(sums))
-    both = asking.unionByName(answering.drop("_parts").unionByName(earlier), allowMissingColumns=True)
+    if dense_facts:
+        asking = timed_parts(asking, hot, group, width).drop("_parts")
+        cut = timed_parts(ledger, hot, group, width)
+        answering = cut.drop("_parts").unionByName(_earlier_parts(cut, hot, spans, width, list(sums)))
+    else:
+        asking = spread_rows(asking, hot, group, ["_probe"])
+        answering = copied_rows(ledger, hot, group)
+    both = asking.unionByName(answering, allowMissingColumns=True)
 
     # Strictly before t: the frame ends one microsecond earlier. The hash comes first
     # because a sort compares the first column much faster than the rest.
@@ -334,8 +347,10 @@ def gold_features(
     """Feature rows for the pickups of ``[start, end)``.
 
     The trips travel through both zone ledgers with their columns, so no join
-    back on the trip identity is needed: two shuffles of trips in all.
+    back on the trip identity is needed: two shuffles of trips in all. A zone
+    completes few trips in a slice, and silver measures are finite.
     """
+    options = {"dense_facts": False, "finite": True, **options}
     known = prune_lookback(trips, start, end, max(WINDOWS.values()))
     probes = known.where(clock.within("pickup_datetime", start, end)).select(
         "trip_id",

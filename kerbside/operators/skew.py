@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +35,17 @@ def timed_parts(frame: DataFrame, hot: DataFrame, keys: list[str], width: int) -
         f"CAST(coalesce(greatest(((_us - _slice * {width}) * _parts) div {width}, 0), 0) AS INT) AS _part",
         "_parts",
     )
+
+
+def spread_rows(frame: DataFrame, hot: DataFrame, keys: list[str], by: Sequence[str]) -> DataFrame:
+    """Rows of a hot key with a part by the hash of ``by``; others have part 0."""
+    return frame.join(F.broadcast(hot), keys, "left").selectExpr(
+        *frame.columns, f"CAST(coalesce(pmod(xxhash64({', '.join(by)}), _parts), 0) AS INT) AS _part"
+    )
+
+
+def copied_rows(frame: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row once for each part of its key."""
+    return frame.join(F.broadcast(hot), keys, "left").selectExpr(
+        *frame.columns, "explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part"
+    )
