@@ -106,7 +106,9 @@ def statistics(text: str = "text") -> Column:
 
 def with_statistics(frame: DataFrame, name: str, text: str = "text") -> DataFrame:
     """The frame with the struct of counts as a column that Spark computes once, however often it is read."""
-    return frame.select("*", F.explode(F.array(statistics(text))).alias(name))
+    # A projection shares the parts of the struct, and nothing is moved through the explode behind it.
+    made = common.fresh(frame, f"{name}_made")
+    return frame.withColumn(made, statistics(text)).select("*", F.explode(F.array(made)).alias(name)).drop(made)
 
 
 def base_failed(counts: str) -> Column:
