@@ -1,12 +1,15 @@
 """Best-fit packing by the configuration linear program.
 
 A configuration is a multiset of lengths that fits one sequence. The program
-asks for the fewest configurations, fractions allowed, that cover the histogram
-of lengths; it is solved by multiplicative weights: the weight of a length falls
-with what of it is covered, and a knapsack by dynamic programming finds the
-configuration of the highest value under these prices. The solution is rounded
-down, and what is left goes by best fit, longest first, whole groups of equal
-sequences at a time.
+asks for the fewest configurations that cover the histogram of lengths; it is
+solved by multiplicative weights in whole steps: the price of a length is its
+size, times a weight that falls with what of it is covered. One knapsack by
+dynamic programming finds, for each length, the configuration of the highest
+value with it under these prices. Each is used as often as what is left allows,
+which covers one of its lengths, so rounds end when nothing fills a sequence any
+more, after at most one for each length. Full sequences come first, then those
+with a ``SPARES`` part unused. What is left goes by best fit, longest first,
+whole groups of equal sequences at a time.
 
 Only the histogram reaches the driver, at most ``limit`` counts, and the plan it
 makes has a bounded number of configurations whatever the number of documents.
@@ -34,7 +37,9 @@ from pyspark.sql import types as T
 from kerbside.llm import bpe, common, flat
 
 LIMIT = 2048
-ROUNDS = 400
+ROUNDS = LIMIT + 4  # a round covers a length or raises the spare part
+RATE = 1.0
+SPARES = (0.0, 0.0005, 0.0015, 0.005)
 END = 0  # the id that ends every document
 PIECE = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())])
 PIECES = T.ArrayType(
@@ -78,8 +83,8 @@ def pieces(name: str = bpe.TOKENIZER, limit: int = LIMIT):
     return cut
 
 
-def knapsack(sizes: np.ndarray, values: np.ndarray, limit: int) -> dict[int, int]:
-    """The most valuable multiset of sizes (ascending) within the limit."""
+def knapsack(sizes: np.ndarray, values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to the limit the highest value of a multiset of sizes (ascending) and the size it ends with, or -1."""
     best, choice = np.zeros(limit + 1), np.full(limit + 1, -1)
     fits = np.searchsorted(sizes, np.arange(limit + 1), "right")
     for room in range(int(sizes[0]), limit + 1):
@@ -87,33 +92,44 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, limit: int) -> dict[int, int
         found = best[room - sizes[:k]] + values[:k]
         at = int(found.argmax())
         best[room], choice[room] = (found[at], at) if found[at] > best[room - 1] else (best[room - 1], -1)
-    taken: dict[int, int] = defaultdict(int)
-    room = limit
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            taken[int(choice[room])] += 1
-            room -= int(sizes[choice[room]])
-    return taken
-
-
-def fractional(sizes: np.ndarray, counts: np.ndarray, limit: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and how often each is used, by multiplicative weights."""
-    covered = np.zeros(len(sizes))
-    amounts: dict[tuple, float] = defaultdict(float)
-    rate, step = 4.0, 0.5
+    return best, choice
+
+
+def program(sizes: np.ndarray, counts: np.ndarray, limit: int, rounds: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """Configurations and how often each is used, by multiplicative weights in whole steps; and the counts they leave."""
+    left = counts.copy()
+    used: dict[tuple, int] = defaultdict(int)
+    make, level = np.random.default_rng(1), 0  # uneven prices, so that equal values do not always choose the same lengths
     for _ in range(rounds):
-        prices = np.exp(-rate * covered) / counts
-        found = knapsack(sizes, prices / prices.max(), limit)
-        at = np.fromiter(found, int)
-        times = np.fromiter(found.values(), float)
-        amount = step * float((counts[at] / times).min())
-        amounts[tuple(sorted(found.items()))] += amount
-        covered[at] += amount * times / counts[at]
-        if covered.min() >= 1:
+        here = np.flatnonzero(left)
+        if not len(here):
+            break
+        own = sizes[here]
+        prices = own / limit * np.exp(-RATE * (1 - left[here] / counts[here])) * (1 + 0.01 * make.random(len(here)))
+        best, choice = knapsack(own, prices, limit)
+        progress = False
+        for first in np.argsort(-(prices + best[limit - own]), kind="stable").tolist():
+            if not left[here[first]]:
+                continue
+            taken, room, unused = {first: 1}, limit - int(own[first]), 0
+            while room > 0:
+                at = int(choice[room])
+                if at < 0 or left[here[at]] <= taken.get(at, 0):
+                    room, unused = room - 1, unused + 1
+                else:
+                    taken[at] = taken.get(at, 0) + 1
+                    room -= int(own[at])
+            if unused > SPARES[level] * limit:
+                continue
+            number = min(int(left[here[at]]) // times for at, times in taken.items())
+            for at, times in taken.items():
+                left[here[at]] -= number * times
+            used[tuple(sorted((int(here[at]), times) for at, times in taken.items()))] += number
+            progress = True
+        level += not progress
+        if level == len(SPARES):
             break
-    return [(dict(key), amount) for key, amount in amounts.items()]
+    return [(dict(key), number) for key, number in used.items()], left
 
 
 def best_fit(sizes: np.ndarray, left: np.ndarray, limit: int) -> list[tuple[dict[int, int], int]]:
@@ -150,15 +166,8 @@ def plan(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS) ->
     if not histogram:
         return []
     sizes = np.array(sorted(histogram))
-    left = np.array([histogram[int(s)] for s in sizes], np.int64)
-    used: list[tuple[dict[int, int], int]] = []
-    for found, amount in sorted(fractional(sizes, left.astype(float), limit, rounds), key=lambda x: -x[1]):
-        number = min(int(amount), *(int(left[at]) // times for at, times in found.items()))
-        waste = limit - sum(int(sizes[at]) * times for at, times in found.items())
-        if number > 0 and waste * 200 <= limit:
-            for at, times in found.items():
-                left[at] -= number * times
-            used.append((found, number))
+    counts = np.array([histogram[int(s)] for s in sizes], np.int64)
+    used, left = program(sizes, counts, limit, rounds)
     used += best_fit(sizes, left, limit)
     return [({int(sizes[at]): times for at, times in found.items()}, number) for found, number in used]
 

@@ -59,6 +59,25 @@ def test_plan_is_near_the_bound():
     assert sum(n for _, n in found) <= 1.001 * bound + 1
 
 
+def test_most_sequences_come_from_the_program():
+    make = random.Random(3)
+    for number in (10_000, 100_000):
+        histogram = Counter(min(2048, int(make.lognormvariate(6, 1)) + 1) for _ in range(number))
+        sizes = np.array(sorted(histogram))
+        counts = np.array([histogram[s] for s in sizes])
+        used, left = packing.program(sizes, counts, 2048, packing.ROUNDS)
+        taken = np.zeros_like(counts)
+        for found, times in used:
+            assert times > 0 and sum(int(sizes[at]) * n for at, n in found.items()) <= 2048
+            for at, n in found.items():
+                taken[at] += n * times
+        assert (taken + left == counts).all() and (left >= 0).all()
+        assert (left * sizes).sum() <= 0.02 * (counts * sizes).sum()
+        assert (taken == 0).mean() <= 0.02
+        bound = -(-int((sizes * counts).sum()) // 2048)
+        assert sum(n for _, n in packing.plan(histogram)) <= bound + 1
+
+
 def test_documents(spark):
     library = Tokenizer.from_file(public_tokenizers.path(bpe.TOKENIZER))
     make = random.Random(2)
