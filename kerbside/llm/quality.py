@@ -18,8 +18,9 @@ Quantiles of distances inside a group are Spark's approximate ones (accuracy
 10,000), so the kept three quarters hold 75 % give or take 0.01 %.
 
 Defined results: a null text counts as empty, has no words and fails; null
-language and source are groups of their own. A statistic without spread in a
-group has the least spread ``FLOORS`` gives it. An empty table gives an empty
+language and source are groups of their own. Where a statistic has less spread in
+a group than ``FLOORS`` (beyond what those before it tell), it has that; other
+spreads stay as they are. An empty table gives an empty
 result. Equal texts of one group get equal verdicts.
 """
 
@@ -37,9 +38,9 @@ STEPS = 3
 NEAREST = 0.75
 # Quantiles of the chi-squared distribution with five degrees of freedom.
 MEDIAN_5, ELLIPSE_5 = 4.351, 12.833
-CUTOFF = 60.0
+CUTOFF = 30.856  # 99.999 %
 VECTOR = ("x1", "x2", "x3", "x4", "x5")
-# Least standard deviation of each: a text within a few of these is never far.
+# Least standard deviation of each.
 FLOORS = (0.06, 0.25, 0.20, 0.08, 0.08)
 PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
 
@@ -149,12 +150,10 @@ def _cholesky(moments: DataFrame, scale: str | None = None) -> DataFrame:
     out = moments
     for i, j in PAIRS:
         value = F.col(f"s{i}{j}")
-        if i == j:
-            value = value + FLOORS[i] ** 2
         for k in range(j):
             value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         if i == j:
-            value = F.sqrt(F.greatest(value, F.lit(1e-6)))
+            value = F.sqrt(F.greatest(value, F.lit(FLOORS[i] ** 2)))
         else:
             value = value / F.col(f"l{j}{j}")
         out = out.withColumn(f"l{i}{j}", value)

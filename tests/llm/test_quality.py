@@ -61,5 +61,31 @@ def test_outliers_nulls_and_small_groups(spark):
     assert len(out) == len(rows)
 
 
+def test_repeated_words_alone_are_rejected(spark):
+    make = random.Random(11)
+    words = ["".join(make.choices("abcdefgh", k=make.randrange(2, 9))) for _ in range(400)]
+
+    def line(n):
+        return " ".join(make.choices(words, k=n))
+
+    rows = [(i, line(make.randrange(500, 700)).capitalize() + ".", "en", "a", "x", "y", "z") for i in range(400)]
+    phrase = line(150)
+    rows += [(500, f"{phrase} {line(150)} {phrase} {line(150)}.".capitalize(), "en", "a", "x", "y", "z")]
+    out = judged(spark, rows)
+    assert all(out[i]["kept"] for i in range(400))
+    assert 100 * out[500]["c"]["n_repeat_words"] <= 50 * out[500]["c"]["n_words"]  # the counts let it pass
+    assert 30.856 < out[500]["far"] < 60 and not out[500]["kept"]
+
+
+def test_floors_leave_wider_spreads_alone(spark):
+    wide = {f"s{i}{j}": (4 * quality.FLOORS[i] ** 2 if i == j else 0.0) for i, j in quality.PAIRS}
+    none = dict.fromkeys(wide, 0.0)
+    names = ["g", *[f"m{i}" for i in range(5)], *wide]
+    frame = spark.createDataFrame([("wide", *[0.0] * 5, *wide.values()), ("none", *[0.0] * 5, *none.values())], names)
+    out = {r["g"]: r for r in quality._cholesky(frame).collect()}
+    for i, floor in enumerate(quality.FLOORS):
+        assert abs(out["wide"][f"l{i}{i}"] - 2 * floor) < 1e-9 and abs(out["none"][f"l{i}{i}"] - floor) < 1e-9
+
+
 def test_empty_table(spark):
     assert judged(spark, []) == {}
