@@ -7,7 +7,9 @@ reader would see: paragraphs and headings are parted by a blank line, other
 blocks by a line break, list items carry a bullet or their number and are
 indented by depth, cells of a table are padded to common columns, ``pre`` keeps
 its white space. Not visible: head, scripts, styles, templates, comments,
-elements with ``hidden`` or with ``display:none`` or ``visibility:hidden``.
+elements with the attribute ``hidden`` or a style that declares ``display:none``
+or ``visibility:hidden``, and the parts of drawings and formulas that are not
+drawn (descriptions, definitions, annotations). Each ``text`` of a drawing is a line.
 
 Work is linear in the page. A column wider than ``ALIGNED`` is not padded, so
 that one long cell cannot blow up a table.
@@ -38,8 +40,10 @@ BLANK = " \t\n\f\r"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object video audio canvas svg math datalist".split()
+    "head script style template noscript title iframe noembed noframes video audio canvas datalist".split()
 )
+FOREIGN = frozenset("svg math".split())
+UNDRAWN = frozenset("desc metadata defs symbol annotation annotation-xml".split())  # inside FOREIGN
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol menu dl table figure hr".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside nav header footer main address form fieldset legend details summary"
@@ -65,9 +69,9 @@ TABLE_TAGS = CELLS | GROUPS | {"tr", "table", "caption"}
 
 NAME = re.compile(r"[A-Za-z][^\s/>]*")
 ATTRIBUTES_END = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-HIDDEN = re.compile(
-    r"(?:^|[\s\"'/])hidden(?=$|[\s=/])|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s>]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I
-)
+ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]*)))?")
+MAYBE_HIDDEN = re.compile(r"hidden|style", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 NUMBER = {key: re.compile(rf"(?:^|\s){key}\s*=\s*[\"']?\s*(-?\d{{1,4}})", re.I) for key in ("start", "value", "colspan")}
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
@@ -77,6 +81,27 @@ def _number(attributes: str, key: str, default: int) -> int:
     return int(match[1]) if match else default
 
 
+def _hides(attributes: str) -> bool:
+    """Whether the attribute ``hidden`` or a declaration of ``style`` hides the element."""
+    if not MAYBE_HIDDEN.search(attributes):
+        return False
+    seen = set()
+    for match in ATTRIBUTE.finditer(attributes):
+        name = match[1].lower()
+        if name in seen:  # the first of a name counts
+            continue
+        seen.add(name)
+        if name == "hidden":
+            return True
+        if name == "style":
+            for declaration in COMMENT.sub("", unescape(match[2] or match[3] or match[4] or "")).split(";"):
+                key, _, value = declaration.partition(":")
+                value = value.partition("!")[0].strip().lower()
+                if (key.strip().lower(), value) in (("display", "none"), ("visibility", "hidden")):
+                    return True
+    return False
+
+
 class Flow:
     """Lines of one block container."""
 
@@ -211,7 +236,10 @@ class Builder:
             self.imply(frozenset(["p"]), PARAGRAPH_SHIELD)
         if tag in CELLS and self.tables and not self.inside("tr"):
             self.start("tr", "")
-        hidden = tag in UNSEEN or bool(attributes) and bool(HIDDEN.search(attributes))
+        foreign = self.open["svg"] or self.open["math"]
+        if foreign and attributes.endswith("/"):  # no content
+            return
+        hidden = tag in UNSEEN or foreign and tag in UNDRAWN or bool(attributes) and _hides(attributes)
         if tag in VOID:
             if not self.unseen and not hidden and tag in ("br", "hr"):
                 flow = self.flows[-1]
@@ -220,7 +248,7 @@ class Builder:
                 else:
                     flow.block(2)
             return
-        if not hidden and tag not in BLOCKS and tag not in TABLE_TAGS and tag not in RAW and tag != "button":
+        if not hidden and tag not in BLOCKS and tag not in TABLE_TAGS and tag not in RAW and tag not in FOREIGN and tag != "button" and not (foreign and tag == "text"):
             return  # other inline elements change nothing
         self.stack.append(tag)
         self.open[tag] += 1
@@ -248,6 +276,8 @@ class Builder:
         elif tag in CELLS and self.tables:
             self.spans.append(min(max(_number(attributes, "colspan", 1), 1), 1000))
             self.flows.append(Flow())
+        elif tag == "text":
+            flow.block(1)
         elif tag in BLOCKS:
             nested = tag in LISTS and bool(self.lists)
             flow.block(2 if tag in SPACED and not nested else 1)
@@ -276,6 +306,8 @@ class Builder:
         elif tag in CELLS:
             if self.tables and len(self.flows) > len(self.tables):
                 self.tables[-1].cell(self.flows.pop().finish(), self.spans.pop())
+        elif tag == "text":
+            flow.block(1)
         elif tag in BLOCKS:
             if tag == "li" and flow.marker:
                 flow.end_line()
@@ -365,8 +397,9 @@ def render(page: str) -> str:
         if closing:
             builder.end(element)
             continue
+        empty = attributes.endswith("/") and (builder.open["svg"] or builder.open["math"])
         builder.start(element, attributes)
-        if element in RAW:
+        if element in RAW and not empty:
             stop = re.compile(rf"</{element}(?=[\s/>])", re.I).search(page, at)
             raw = page[at : stop.start() if stop else size]
             if element == "textarea":

@@ -13,6 +13,39 @@ def test_blocks_and_hidden_parts():
     assert render(page) == "Head & line\n\nOne bold text.\n\nTwo\nlines\n\na\nb"
 
 
+def test_the_word_hidden_in_values_hides_nothing():
+    for attributes in (
+        'class="hidden md:block"',
+        'title="a hidden gem"',
+        'aria-label="show hidden items"',
+        'data-hidden="x" aria-hidden=true',
+        "title='style=display:none'",
+        'data-style="display:none"',
+        'style="--display:none; x-visibility:hidden"',
+        'style="background:url(display:none.png)"',
+    ):
+        assert render(f"<div {attributes}>seen<p>below</div>after") == "seen\n\nbelow\n\nafter", attributes
+    for attributes in (
+        "hidden",
+        "HIDDEN=''",
+        'class="a"hidden',
+        "id=x hidden=until-found",
+        'style="color:red; display : none !important"',
+        "style=visibility:hidden",
+        "style='display:none",
+        'title="a > b" style="DISPLAY:/* x */NONE"',
+    ):
+        assert render(f"<div {attributes}>gone<p>below</div>after") == "after", attributes
+
+
+def test_drawings_formulas_and_objects_are_seen():
+    assert render("a<svg width=9><title>no</title><desc>no</desc><path d='x'/><text>one</text><text x=1>two</text></svg>b") == "a\none\ntwo\nb"
+    assert render("x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> z") == "x y=2 z"
+    assert render("<object data=a.pdf><p>instead</p></object>after") == "instead\n\nafter"
+    assert render("<svg><style/><text>kept</text></svg><text>in line</text>") == "kept\nin line"
+    assert render("<svg hidden><text>no</text></svg>b") == "b"
+
+
 def test_lists():
     page = "<ul><li>a<li>b<ol start=3><li>x<li>y</ol></li><li></ul>after"
     assert render(page) == "- a\n- b\n   3. x\n   4. y\n-\n\nafter"
