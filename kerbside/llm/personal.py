@@ -8,7 +8,8 @@ text without anchors costs one pass.
 ``email``, ``ip``, ``card`` and ``phone`` are the leftmost non-overlapping
 matches of their patterns over the whole text, validated. The anchors add
 ``address`` (scheme, host and the rest of a web address) and ``account`` (the
-identifier after a cue word; one shaped like an IBAN must pass its checksum).
+whole identifier after a cue word: letters, digits and ``_ . / + = -``, however
+many; one shaped like an IBAN must pass its checksum).
 
 Defined results: a null or empty text has no spans. Positions are code points,
 ends exclusive. Spans are ordered by start, then by kind in the order above;
@@ -44,8 +45,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 SCHEME_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
 ADDRESS_REST = re.compile(r"[A-Za-z0-9\[][^\s<>\"']*")
-IDENTIFIER = re.compile(r"[\s\"'#:=(]{1,4}(?:(?:is|number|no\.?|id)[\s\"'#:=(]{1,4})?([A-Za-z0-9](?:[ -]?[A-Za-z0-9]){5,63})")
-IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+IDENTIFIER = re.compile(r"[\s\"'#:=(]{1,4}(?:(?:is|number|no\.?|id)[\s\"'#:=(]{1,4})?([\w./+-][\w./+=-]{5,})")
+# one with more characters of an identifier behind it is none
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?!\.*[\w/+=-])")
+IBAN_START = re.compile(r"[\s\"'#:=(]{1,4}(?:(?:is|number|no\.?|id)[\s\"'#:=(]{1,4})?(?=[A-Z]{2}[0-9]{2})")
 CUES = ("account", "acct", "iban", "ssn", "passport", "token", "secret", "password", "licence", "license")
 
 
@@ -128,12 +131,13 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
                 ends["address"] = rest.end()
                 spans.append(("address", start, end))
         elif not (at and text[at - 1].isalnum()):
-            match = IDENTIFIER.match(text, last + 1)
+            lead = IBAN_START.match(text, last + 1)
+            shaped = IBAN.match(text, lead.end()) if lead else None
+            match = shaped or IDENTIFIER.match(text, last + 1)
             if match:
-                shaped = IBAN.match(text, match.start(1))
                 start, end = shaped.span() if shaped else match.span(1)
                 if not shaped:
-                    end = start + len(text[start:end].split(" ")[0])
+                    end = start + len(text[start:end].rstrip("."))
                 if end - start >= 6 and (iban(shaped[0]) if shaped else sum(map(str.isdigit, text[start:end])) >= 4):
                     spans.append(("account", start, end))
     spans.sort(key=lambda span: (span[1], KINDS.index(span[0])))
