@@ -25,11 +25,13 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.llm import common
 
 UNKNOWN = "und"
+SLACK, SHARED = 4, 8
 # ASCII bytes other than letters part words; bytes of other scripts stay.
 LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 VERDICT = "struct<lang:string,score:double,margin:double,accepted:boolean>"
@@ -97,7 +99,6 @@ def learn(
     labelled: DataFrame,
     text: str = "text",
     label: str = "lang",
-    key: str = "doc_id",
     *,
     documents_per_language: int = 400,
     sample_chars: int = 1024,
@@ -109,24 +110,41 @@ def learn(
 ) -> LanguageModel:
     """Dictionaries from a bounded sample of labelled rows.
 
-    The bound: at most ``documents_per_language`` texts of ``sample_chars``
-    characters from each of at most ``max_languages`` languages reach the driver.
-    The sample follows a hash of the id, so it does not depend on the layout.
+    The bound: at most ``documents_per_language`` times ``max_languages`` texts
+    of ``sample_chars`` characters are used, and no more than ``SLACK`` times as
+    many leave the executors. With more languages than ``max_languages`` each
+    gets a smaller part of the same whole, so that all have a dictionary; only
+    labels beyond ``SHARED`` times ``max_languages`` are left out, the least
+    frequent first. The sample follows a hash of the text, so it depends neither
+    on the layout nor on ids, and equal texts of a language count once.
     """
-    known = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull())
-    counts = known.groupBy(label).count().limit(max_languages + 1).collect()
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    known = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(label).alias("l"), F.substring(text, 1, sample_chars).alias("t")
+    )
+    placed = known.withColumn("p", F.xxhash64("t"))
+    counts = (
+        placed.groupBy("l")
+        .agg(F.count("*").alias("n"), F.approx_count_distinct("p").alias("texts"))
+        .orderBy(F.desc("n"), "l")
+        .limit(SHARED * max_languages)
+        .collect()
+    )
     if not counts:
         return LanguageModel({}, level, block, narrow)
+    if len(counts) > max_languages:
+        documents_per_language = max(1, documents_per_language * max_languages // len(counts))
+        dictionary_bytes = max(1, dictionary_bytes * max_languages // len(counts))
     # a hash below the share keeps about twice the texts asked for, most of which are then used
-    share = F.create_map(*[F.lit(x) for row in counts for x in (row[0], min(1.0, 2.0 * documents_per_language / row[1]))])
-    place = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 40)) / float(1 << 40)
-    rows = (
-        known.select(F.col(label).alias("l"), F.substring(text, 1, sample_chars).alias("t"), place.alias("p"))
-        .where(F.col("p") < share[F.col("l")])
-        .collect()
+    shares = [(row["l"], min(1.0, 2.0 * documents_per_language / row["texts"])) for row in counts]
+    spark = labelled.sparkSession
+    few = spark.createDataFrame(shares, "l string, share double")
+    place = F.pmod(F.col("p"), F.lit(1 << 40)) / float(1 << 40)
+    # tasks add up equal texts before anything moves, so what one language has to order is its share
+    chosen = (
+        placed.join(F.broadcast(few), "l").where(place < F.col("share")).groupBy("l", "p").agg(F.min("t").alias("t"))
     )
+    order = F.row_number().over(W.partitionBy("l").orderBy(place, "p"))
+    rows = chosen.select("l", "t", place.alias("p"), order.alias("k")).where(F.col("k") <= SLACK * documents_per_language).collect()
     samples: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["l"], r["p"], r["t"])):
         mine = samples.setdefault(row["l"], [])
@@ -134,7 +152,7 @@ def learn(
         if content and len(mine) < documents_per_language and content not in mine:
             mine.append(content)
     clean = _cleaned({k: v for k, v in samples.items() if v}, dictionary_bytes, level, block)
-    number = dict(counts)
+    number = {row["l"]: row["n"] for row in counts}
     order = sorted(clean, key=lambda lang: (-number[lang], lang))
     return LanguageModel({k: _dictionary(clean[k], dictionary_bytes) for k in order}, level, block, narrow)
 

@@ -42,3 +42,35 @@ def test_odd_texts(spark):
     none = language.verdicts(spark, language.learn(labelled.limit(0)))
     assert {r["v"]["lang"] for r in frame.select(none(F.col("text")).alias("v")).collect()} == {"und"}
     assert frame.limit(0).select(identify(F.col("text"))).collect() == []
+
+
+def test_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    taken = []
+    cleaned = language._cleaned
+    collect = type(spark.range(1)).collect
+
+    def counted(frame):
+        out = collect(frame)
+        taken.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", counted)
+    monkeypatch.setattr(language, "_cleaned", lambda samples, *rest: taken.append({k: len(v) for k, v in samples.items()}) or cleaned(samples, *rest))
+    frame = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN CAST(NULL AS BIGINT) WHEN id % 4 = 1 THEN 7 ELSE id END AS doc_id",
+        "concat('text ', translate(CAST(id AS STRING), '0123456789', 'abcdefghij'), if(id % 3 = 0, ' the and', ' el y')) AS text",
+        "if(id % 3 = 0, 'en', 'es') AS lang",
+    )
+    # most rows of one language are one text
+    frame = frame.union(spark.range(20_000).selectExpr("CAST(NULL AS BIGINT)", "'one text of many'", "'en'"))
+    model = language.learn(frame, documents_per_language=50)
+    assert taken[1] <= 2 * language.SLACK * 50
+    assert taken[2] == {"en": 50, "es": 50}
+    assert list(model.dictionaries) == ["en", "es"]
+
+
+def test_many_languages_share_the_whole(spark):
+    frame = spark.range(180).selectExpr("id AS doc_id", "concat('w', translate(CAST(id AS STRING), '0123456789', 'abcdefghij'), ' x y') AS text", "concat('l', id % 30) AS lang")
+    model = language.learn(frame, max_languages=10, documents_per_language=12, dictionary_bytes=3000)
+    assert len(model.dictionaries) == 30
+    assert all(0 < len(content) <= 1000 for content in model.dictionaries.values())
