@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, language, layout, maxent, minhash, packing, personal, quality, simhash, transducer
+from kerbside.llm import bpe, language, layout, maxent, minhash, packing, personal, phrases, quality, simhash, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
@@ -19,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": language.op8_language,
     "op9_tokens": transducer.op9_tokens,
     "op10_layout": layout.op10_layout,
+    "op11_phrases": phrases.op11_phrases,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_phrases": phrases.OP11_SQL}
