@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, jaccard, language, layout, maxent, minhash, packing, personal, phrases, quality, simhash, transducer
+from kerbside.llm import alignment, bpe, jaccard, language, layout, maxent, minhash, packing, personal, phrases, quality, simhash, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal": personal.op1_personal,
@@ -21,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_layout": layout.op10_layout,
     "op11_phrases": phrases.op11_phrases,
     "op12_jaccard": jaccard.op12_jaccard,
+    "op13_alignment": alignment.op13_alignment,
 }
 ORACLES: dict[str, str] = {"op11_phrases": phrases.OP11_SQL, "op12_jaccard": jaccard.OP12_SQL}
