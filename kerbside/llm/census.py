@@ -18,7 +18,8 @@ holds few fingerprints, and a row costs what a plain row would.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LEAST_BLOCK, MOST_BLOCK = 4 << 20, 16 << 20  # bytes of text
+LEAST_BLOCK, MOST_BLOCK = 1 << 20, 16 << 20  # bytes of text
+BLOCK_GROWTH = 256  # times the square root of the corpus: blocks and rows between them and ranges grow alike
 RANGE = 1 << 20  # fingerprints a range holds on average, at most
 PACKED = "bucket int, block long, packed binary"
 FOUND = "block long, bucket int, packed binary"
@@ -48,11 +51,11 @@ class Plan:
 def plan(texts: DataFrame, text: str = "text", per_byte: float = 1.0) -> Plan:
     """For texts with about ``per_byte`` fingerprints a byte at most; one pass over their lengths."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    block = min(MOST_BLOCK, max(LEAST_BLOCK, size >> 11))
+    block = min(MOST_BLOCK, max(LEAST_BLOCK, BLOCK_GROWTH * math.isqrt(size)))
     expected = max(1, int(size * per_byte))
     return Plan(
         blocks=max(1, -(-size // block)),
-        bits=min(60, max(20, (16 * expected).bit_length())),
+        bits=min(60, max(20, expected.bit_length())),
         range_bits=min(30, (expected // RANGE).bit_length()),
     )
 
@@ -100,7 +103,7 @@ def ranges(keys: np.ndarray, counts: np.ndarray, block: int, how: Plan) -> pa.Ta
     )
 
 
-def _summed(least: int) -> Callable[[pa.Table], pa.Table]:
+def _summed(least: int, exact: bool = True) -> Callable[[pa.Table], pa.Table]:
     def total(rows: pa.Table) -> pa.Table:
         parts = [unpack(data) for data in rows.column("packed").to_pylist()]
         keys = np.concatenate([k for k, _ in parts])
@@ -111,15 +114,19 @@ def _summed(least: int) -> Callable[[pa.Table], pa.Table]:
         for own, _ in parts:
             mine = sums[place[low : low + len(own)]]
             low += len(own)
-            out.append(pack(own[mine >= least], mine[mine >= least], compress))
+            enough = mine >= least
+            out.append(pack(own[enough], mine[enough] if exact else np.full(int(enough.sum()), least), compress))
         return pa.table({"block": rows.column("block"), "bucket": rows.column("bucket"), "packed": pa.array(out, pa.binary())})
 
     return total
 
 
-def totals(rows: DataFrame, least: int) -> DataFrame:
-    """From ``packed`` rows, per block and range: its keys whose total is at least ``least``, with totals."""
-    return rows.groupBy("bucket").applyInArrow(_summed(least), FOUND)
+def totals(rows: DataFrame, least: int, exact: bool = True) -> DataFrame:
+    """From ``packed`` rows, per block and range: its keys whose total is at least ``least``, with totals.
+
+    If they need not be ``exact``, ``least`` stands for all of them.
+    """
+    return rows.groupBy("bucket").applyInArrow(_summed(least, exact), FOUND)
 
 
 class Totals:
@@ -142,14 +149,14 @@ class Totals:
         return np.where(self.keys[at] == keys, self.sums[at], 0)
 
 
-def counted(blocks: DataFrame, listed: Callable[[pa.Table, Plan], pa.Table], use: Callable[[pa.Table, Totals], pa.Table], how: Plan, least: int, schema: str) -> DataFrame:
+def counted(blocks: DataFrame, listed: Callable[[pa.Table, Plan], pa.Table], use: Callable[[pa.Table, Totals], pa.Table], how: Plan, least: int, schema: str, exact: bool = True) -> DataFrame:
     """Rows that ``use`` makes of each block and the totals of its fingerprints.
 
     ``blocks`` has the column ``block``; ``listed`` gives the packed rows of a
     block. Both read one shuffle of the blocks.
     """
     grouped = blocks.groupBy("block")
-    found = totals(grouped.applyInArrow(lambda rows: listed(rows, how), PACKED), least)
+    found = totals(grouped.applyInArrow(lambda rows: listed(rows, how), PACKED), least, exact)
 
     def with_totals(rows: pa.Table, known: pa.Table) -> pa.Table:
         return use(rows, Totals(known, how))
@@ -157,6 +164,20 @@ def counted(blocks: DataFrame, listed: Callable[[pa.Table, Plan], pa.Table], use
     return grouped.cogroup(found.groupBy("block")).applyInArrow(with_totals, schema)
 
 
+@F.arrow_udf(T.BinaryType())
+def shrunk(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts in fewer bytes, for a shuffle; nulls stay."""
+    compress = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pa.array([None if text is None else compress.compress(text) for text in batch.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def grown(column: pa.Array) -> pa.Array:
+    """The texts of ``shrunk``."""
+    decompress = zstandard.ZstdDecompressor()
+    return pa.array([None if data is None else decompress.decompress(data) for data in column.to_pylist()], pa.large_binary())
+
+
 def address() -> Column:
     """A 64-bit key of each row of a table that was read from files: its file and its place in it."""
     return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))

@@ -6,20 +6,22 @@ frequencies to the blocks, and every text orders its shingles rarest first
 (ties by hash, so the order is one for all texts). Two sets with a Jaccard
 similarity of ``SHARE`` percent share one of the first ``n - ceil(SHARE * n / 100) + 1``
 shingles; of these prefixes only those that a second text has at all leave the
-block. Texts meet in a join on prefix shingles and must pass three filters:
+block. Texts meet in a join on prefix shingles, each pair at the first it has
+in common, and must pass three filters:
 
 * length: neither set is too large for the other;
-* position: what lies before and behind the shared shingle can still be enough;
-* suffix: the shingles behind it, counted in sixteen ranges of the hash, can
+* position: with what lies behind the shared shingle there can still be enough;
+* suffix: the shingles behind it, counted in ``PARTS`` ranges of the hash, can
   still share enough, a pair of ranges at most the lesser of its counts.
 
 What passes is verified once per pair on the whole sets.
 
 A group of near copies would meet in all its pairs, though a component needs
 only a spanning tree. So texts first meet one member of each group, twice, with
-another member; only pairs of texts that these links leave in different
-components are joined in full, those outside the largest component of a group
-with all of it. That loses no link between components.
+another member: the one whose shingles are the most frequent, which is the
+nearest to what all have in common. Only pairs of texts that these links leave
+in different components are joined in full, those outside the largest component
+of a group with all of it. That loses no link between components.
 
 Defined results: a null or empty text, or one of white space alone, has the
 empty set and is linked with nothing, not even with its like. A null id counts
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +46,10 @@ from kerbside.llm import census, common, flat
 from kerbside.llm.components import roots
 
 SHINGLE, SHARE = 4, 85
-PARTS = 16  # ranges of the suffix filter
+PARTS = 64  # ranges of the suffix filter
 ROUNDS = 2  # members of a group that all others meet before pairs are joined
-DISTINCT = pa.schema([("key", pa.int64()), ("copy", pa.string()), ("text", pa.string())])
-TEXTS = "copy string, n long, shingles array<long>, gram long, pos int, rest array<int>"
+DISTINCT = pa.schema([("key", pa.int64()), ("copy", pa.string()), ("text", pa.binary())])
+TEXTS = "copy string, n long, typical float, shingles array<long>, gram long, pos int, before array<long>, rest array<int>"
 
 
 def words_of(text: bytes) -> bytes:
@@ -72,6 +75,7 @@ def copies(text: str = "text") -> Column:
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text of a task once: large groups of copies shrink before the shuffle."""
     seen: set[str] = set()
+    compress = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         keys, names, texts = [], [], []
         for text in batch.column("text").cast(pa.binary()):
@@ -81,8 +85,8 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(copy)
                 keys.append(int(copy[:15], 16))
                 names.append(copy)
-                texts.append(words)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.string()), pa.array(texts, pa.binary()).cast(pa.string())], schema=DISTINCT)
+                texts.append(compress.compress(words))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.string()), pa.array(texts, pa.binary())], schema=DISTINCT)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +113,7 @@ def _of_block(rows: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray]:
     names = rows.column("copy").to_pylist()
     first = {name: at for at, name in reversed(list(enumerate(names)))}
     kept = sorted(first.values(), key=names.__getitem__)
-    texts = rows.column("text").combine_chunks().cast(pa.large_binary()).take(pa.array(kept, pa.int64()))
+    texts = census.grown(rows.column("text").take(pa.array(kept, pa.int64())))
     data, offsets = next(iter(flat.chunks(texts, 1 << 40)))
     return [names[at] for at in kept], *shingle_sets(data, offsets)
 
@@ -131,7 +135,7 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
     frequency = totals.of(hashes)  # 0 if no other text has it
     order = np.lexsort((hashes, frequency, owner))
     position = np.arange(len(order)) - starts[owner]
-    part = (hashes[order] >> np.uint64(60)).astype(np.int64)
+    part = (hashes[order] >> np.uint64(58)).astype(np.int64)
     inside = position < prefix_length(sizes)[owner]
     at = np.flatnonzero(inside & (frequency[order] > 0))
     # shingles behind each place, by range: those of the text less those up to here
@@ -141,8 +145,13 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
     lead[np.arange(1, len(prefix) + 1), part[prefix]] = 1
     lead = np.cumsum(lead, axis=0)
     place = np.searchsorted(prefix, at)
-    before = np.searchsorted(prefix, starts[owner[at]])
-    rest = whole[owner[at]] - (lead[place + 1] - lead[before])
+    rest = whole[owner[at]] - (lead[place + 1] - lead[np.searchsorted(prefix, starts[owner[at]])])
+    # prefix shingles of the text before each place
+    lead_of = np.searchsorted(at, starts)[owner[at]]
+    earlier = np.arange(len(at)) - lead_of
+    grams = hashes[order][at].view(np.int64)
+    before = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(earlier))), pa.int32()), pa.array(grams[flat.ranges(lead_of, earlier)]))
+    typical = np.bincount(owner, weights=np.log2(np.maximum(frequency, 1)), minlength=len(names)) / np.maximum(sizes, 1)
     met = np.zeros(len(names), bool)
     met[owner[at]] = True
     sets = np.where(met, sizes, 0)
@@ -155,9 +164,11 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
         {
             "copy": pa.concat_arrays([copy, copy.take(pa.array(owner[at]))]),
             "n": pa.array(np.concatenate((sizes, sizes[owner[at]])), pa.int64()),
+            "typical": pa.array(np.concatenate((typical, typical[owner[at]])).astype(np.float32)),
             "shingles": pa.concat_arrays([shingles, pa.nulls(none, pa.list_(pa.int64()))]),
-            "gram": pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(hashes[order][at].view(np.int64))]),
+            "gram": pa.concat_arrays([pa.nulls(len(names), pa.int64()), pa.array(grams)]),
             "pos": pa.concat_arrays([pa.nulls(len(names), pa.int32()), pa.array(position[at].astype(np.int32))]),
+            "before": pa.concat_arrays([pa.nulls(len(names), pa.list_(pa.int64())), before]),
             "rest": pa.concat_arrays(
                 [
                     pa.nulls(len(names), pa.list_(pa.int32())),
@@ -172,18 +183,19 @@ def prefixes(documents: DataFrame) -> DataFrame:
     """Every distinct text with its set's size (and the set, if it can have a link), and the prefix rows (``gram`` not null)."""
     rows = documents.select(common.text_of().alias("text"))
     how = census.plan(rows, per_byte=0.25)
-    texts = rows.mapInArrow(_distinct, "key long, copy string, text string")
+    texts = rows.mapInArrow(_distinct, "key long, copy string, text binary")
     blocks = texts.select(census.block_of(F.col("key"), how), "copy", "text")
     return census.counted(blocks, _listed, _prefixes, how, 2, TEXTS)
 
 
 def _can_link(a: str, b: str) -> Column:
-    """Length, positional and suffix filter of two prefix rows with the same shingle."""
+    """Length, positional and suffix filter of two prefix rows with the same shingle, the first they share."""
     need = f"({SHARE} * ({a}.n + {b}.n) + {99 + SHARE}) div {100 + SHARE}"
     return F.expr(
         f"100 * least({a}.n, {b}.n) >= {SHARE} * greatest({a}.n, {b}.n)"
-        f" AND least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1 >= {need}"
-        f" AND least({a}.pos, {b}.pos) + 1 + aggregate(zip_with({a}.rest, {b}.rest, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {need}"
+        f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need}"
+        f" AND NOT arrays_overlap({a}.before, {b}.before)"
+        f" AND 1 + aggregate(zip_with({a}.rest, {b}.rest, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {need}"
     )
 
 
@@ -206,13 +218,15 @@ def _labelled(rows: DataFrame, rooted: DataFrame) -> DataFrame:
 def links(texts: DataFrame) -> DataFrame:
     """Links (u, v) that connect all texts of stored ``prefixes`` that the similarity connects, and no others."""
     sets = texts.where("gram IS NULL AND shingles IS NOT NULL").select("copy", "shingles")
-    rows = texts.where("gram IS NOT NULL").select("gram", "copy", "n", "pos", "rest")
+    rows = texts.where("gram IS NOT NULL").select("gram", "copy", "n", "typical", "pos", "before", "rest")
     shared = rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
     rows = common.stored(rows.join(shared, ["gram"]), "prefixes")
     tested = None
     for step in range(ROUNDS):
-        hubs = rows.groupBy("gram").agg(F.min(F.struct(F.xxhash64("copy", F.lit(step)).alias("order"), "copy", "n", "pos", "rest")).alias("h"))
-        hubs = hubs.select("gram", "h.copy", "h.n", "h.pos", "h.rest")
+        chosen = rows
+        if tested is not None:  # another one than before: no text that is linked already
+            chosen = rows.join(tested.where("linked").select(F.explode(F.array("u", "v")).alias("copy")).distinct(), ["copy"], "left_anti")
+        hubs = chosen.groupBy("gram").agg(F.max(F.struct("typical", "copy", "n", "pos", "before", "rest")).alias("h")).select("gram", "h.copy", "h.n", "h.pos", "h.before", "h.rest")
         met = rows.alias("a").join(hubs.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.copy") != F.col("b.copy")) & _can_link("a", "b"))
         pairs = met.select(*_ordered("a", "b")).distinct()
         if tested is not None:

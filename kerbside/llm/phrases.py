@@ -32,7 +32,7 @@ from kerbside.llm import census, common, flat
 LONGEST, LEAST, KEPT, SHARE = 4, 30, 2000, 80
 SCALE = 2_000_000
 UNKNOWN = "und"
-FOUND = "lang string, size int, phrase string, f long"
+FOUND = "lang string, phrase string, f long"
 
 # What parts words, and what parts pieces.
 BLANKS, MARKS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -63,7 +63,7 @@ class Words:
     """The words of a block: spelled behind each other with a space after each, in pieces."""
 
     def __init__(self, rows: pa.Table) -> None:
-        texts = rows.column("text").combine_chunks().cast(pa.large_binary())
+        texts = census.grown(rows.column("text"))
         langs = rows.column("lang").combine_chunks().fill_null(UNKNOWN).dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         parts = list(flat.chunks(texts, 1 << 40))
@@ -119,18 +119,18 @@ def _listed(rows: pa.Table, how: census.Plan) -> pa.Table:
     return census.packed(np.concatenate([words.fingerprints(size)[0] for size in range(1, LONGEST + 1)]), block, how)
 
 
-FOUND_ROWS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+FOUND_ROWS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
 
 def _frequent(rows: pa.Table, totals: census.Totals) -> pa.Table:
-    """(lang, size, phrase, f) of a block's phrases that can be frequent; size 0 counts its words."""
+    """(lang, phrase, f) of a block's phrases that can be frequent; the empty phrase counts its words."""
     words = Words(rows)
     numbers, langs = words.numbers(), pa.array(words.langs, pa.string())
     everything = np.bincount(words.lang, minlength=len(words.langs))
-    out = [pa.table([langs, pa.array(np.zeros(len(langs), np.int32)), pa.array([""] * len(langs)), pa.array(everything, pa.int64())], schema=FOUND_ROWS)]
+    out = [pa.table([langs, pa.array([""] * len(langs)), pa.array(everything, pa.int64())], schema=FOUND_ROWS)]
 
     def add(at: np.ndarray, size: int, n: np.ndarray) -> None:
-        columns = [langs.take(pa.array(words.lang[at])), pa.array(np.full(len(at), size, np.int32)), words.texts(at, size), pa.array(n, pa.int64())]
+        columns = [langs.take(pa.array(words.lang[at])), words.texts(at, size), pa.array(n, pa.int64())]
         out.append(pa.table(columns, schema=FOUND_ROWS))
 
     for size in range(1, LONGEST + 1):
@@ -158,9 +158,11 @@ def phrase_counts(documents: DataFrame, key: Column, least: int = LEAST) -> Data
     """
     rows = documents.select(key.alias("key"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), common.text_of().alias("text"))
     how = census.plan(rows, per_byte=0.6)
-    blocks = rows.select(census.block_of(F.col("key"), how), "lang", "text")
-    found = census.counted(blocks, _listed, _frequent, how, least, FOUND)
-    return found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("size") == 0))
+    blocks = rows.select(census.block_of(F.col("key"), how), "lang", census.shrunk(F.col("text")).alias("text"))
+    found = census.counted(blocks, _listed, _frequent, how, least, FOUND, exact=False)
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("size")
+    kept = found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
+    return kept.select("lang", size, "phrase", "f")
 
 
 def collocations(counts: DataFrame, kept: int = KEPT) -> DataFrame:

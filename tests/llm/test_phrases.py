@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from kerbside.llm import census, flat, phrases
@@ -86,7 +87,7 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
 
 
 def block_of(rows):
-    return pa.table({"block": pa.array([3] * len(rows), pa.int64()), "text": [r[1] or "" for r in rows], "lang": pa.array([r[2] for r in rows], pa.string())})
+    return pa.table({"block": pa.array([3] * len(rows), pa.int64()), "text": [zstandard.compress((r[1] or "").encode()) for r in rows], "lang": pa.array([r[2] for r in rows], pa.string())})
 
 
 @pytest.mark.parametrize("bits", [1, 4, 64])
@@ -114,7 +115,7 @@ def test_colliding_fingerprints_are_told_apart(bits, monkeypatch):
     assert phrases._listed(block_of(rows), how).num_rows == 1
     counted = Counter()
     for row in phrases._frequent(block_of(rows), Everything()).to_pylist():
-        counted[row["lang"], row["size"], row["phrase"]] += row["f"]
+        counted[row["lang"], len(row["phrase"].split(" ")) if row["phrase"] else 0, row["phrase"]] += row["f"]
     expected = Counter()
     for _, text, lang in rows:
         expected[lang or "und", 0, ""] += 0
