@@ -12,7 +12,8 @@ whole identifier after a cue word: letters, digits and ``_ . / + = -``, however
 many; one shaped like an IBAN must pass its checksum).
 
 Defined results: a null or empty text has no spans. Positions are code points,
-ends exclusive. Spans are ordered by start, then by kind in the order above;
+ends exclusive. A text costs time in proportion to its length, whatever it holds.
+Spans are ordered by start, then by kind in the order above;
 spans of different kinds may overlap, and redaction replaces their union.
 """
 
@@ -37,7 +38,6 @@ SPANS = T.ArrayType(
 
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 IP_BLOCK = re.compile(r"[0-9.]*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 CARD_BLOCK = re.compile(r"[0-9\x20-]*")
@@ -87,6 +87,20 @@ def _left(text: str, at: int, least: int, letters: frozenset[str]) -> int:
     return at
 
 
+def _quads(block: str) -> list[tuple[int, int]]:
+    """Leftmost, non-overlapping places of four dotted numbers in a run of digits and dots, in one walk."""
+    found, at, place = [], 0, 0
+    parts = block.split(".")
+    while at + 4 <= len(parts):
+        empty = next((k for k in (3, 2, 1, 0) if not parts[at + k]), None)
+        step = 4 if empty is None else empty + 1
+        size = sum(map(len, parts[at : at + step])) + step
+        if empty is None:
+            found.append((place, place + size - 1))
+        at, place = at + step, place + size
+    return found
+
+
 DIGITS_DOT, DIGITS_GAP = frozenset("0123456789."), frozenset("0123456789 -")
 
 
@@ -110,9 +124,10 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
                 continue
             start = _left(text, at, ends["ip"], DIGITS_DOT)
             ends["ip"] = end = IP_BLOCK.match(text, at).end()
-            for match in IP.finditer(text, start, end):
-                if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
-                    spans.append(("ip", match.start(), match.end()))
+            for first, last_end in _quads(text[start:end]):
+                parts = [part.lstrip("0") for part in text[start + first : start + last_end].split(".")]
+                if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
+                    spans.append(("ip", start + first, start + last_end))
         elif kind == "email":
             start = _left(text, at, ends["email"], LOCAL_PART)
             domain = DOMAIN.match(text, at + 1)
@@ -124,17 +139,21 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
             if match and 10 <= len(NOT_DIGIT.sub("", match[0])) <= 15:
                 spans.append(("phone", at, match.end()))
         elif kind == "address":
+            if at < ends["address"]:
+                continue
             start = _left(text, at, ends["address"], SCHEME_LETTERS)
             rest = ADDRESS_REST.match(text, at + size)
             if start < at and text[start].isalpha() and rest:
                 end = start + len(text[start : rest.end()].rstrip(".,;:!?)"))
                 ends["address"] = rest.end()
                 spans.append(("address", start, end))
-        elif not (at and text[at - 1].isalnum()):
+        elif at >= ends["account"] and not (at and text[at - 1].isalnum()):
             lead = IBAN_START.match(text, last + 1)
             shaped = IBAN.match(text, lead.end()) if lead else None
             match = shaped or IDENTIFIER.match(text, last + 1)
             if match:
+                if not shaped:  # a cue inside an identifier starts no other one
+                    ends["account"] = match.end()
                 start, end = shaped.span() if shaped else match.span(1)
                 if not shaped:
                     end = start + len(text[start:end].rstrip("."))
