@@ -11,8 +11,11 @@ absolute deviations, keep the nearest three quarters of the texts, take their
 mean and covariance, measure Mahalanobis distances, repeat; then scale the
 distances to their median and take the estimate once more from all texts within
 the 97.5 % ellipse. A text is rejected when its squared distance exceeds
-``CUTOFF``. Groups of fewer than ``SMALL`` texts use the estimate of their
-language, and those of all texts where even that is small.
+``CUTOFF``. Groups of fewer than ``SMALL`` texts, or fewer than ``DISTINCT``
+different vectors, use the estimate of their language, and those of all texts
+where even that is small. All texts together are an estimate only with ``FEWEST``
+texts and ``DISTINCT`` vectors: five dimensions cannot be told from fewer. Where
+there is none, the distance is null and no text is an outlier.
 
 Quantiles of distances inside a group are Spark's approximate ones (accuracy
 10,000), so the kept three quarters hold 75 % give or take 0.01 %.
@@ -34,6 +37,7 @@ from kerbside.llm import common
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 SMALL = 100
+FEWEST, DISTINCT = 50, 20  # texts and different vectors that an estimate takes at least
 STEPS = 3
 NEAREST = 0.75
 # Quantiles of the chi-squared distribution with five degrees of freedom.
@@ -194,23 +198,20 @@ def estimates(rows: DataFrame) -> DataFrame:
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """The group ``g`` of each vector: language and source, or wider where those are small."""
-    both = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    sizes = both.withColumn("wide", F.sum("n").over(_by_language()))
+    """The group ``g`` of each vector: language and source, or wider where those are small; null where all are."""
+    size, kinds = F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*VECTOR)).alias("d")
+    both = rows.groupBy("lang", "source").agg(size, kinds)
+    wide = rows.groupBy(F.col("lang").alias("wl")).agg(F.count("*").alias("wn"), F.approx_count_distinct(F.xxhash64(*VECTOR)).alias("wd"))
+    enough = rows.agg((F.count("*") >= FEWEST) & (F.approx_count_distinct(F.xxhash64(*VECTOR)) >= DISTINCT)).scalar()
+    sizes = both.join(wide, both["lang"].eqNullSafe(wide["wl"]))
     name = (
-        F.when(F.col("n") >= SMALL, F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
-        .when(F.col("wide") >= SMALL, F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}))
-        .otherwise("all")
+        F.when((F.col("n") >= SMALL) & (F.col("d") >= DISTINCT), F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"}))
+        .when((F.col("wn") >= SMALL) & (F.col("wd") >= DISTINCT), F.to_json(F.struct("lang"), {"ignoreNullFields": "false"}))
+        .when(enough, "all")
     )
     return sizes.select(F.col("lang").alias("gl"), F.col("source").alias("gs"), name.alias("g"))
 
 
-def _by_language():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("lang")
-
-
 def fit(vectors: DataFrame) -> DataFrame:
     """Estimates by language and source from stored (lang, source, x1..x5); columns gl, gs, g and the estimate.
 

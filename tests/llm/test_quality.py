@@ -77,6 +77,26 @@ def test_repeated_words_alone_are_rejected(spark):
     assert 30.856 < out[500]["far"] < 60 and not out[500]["kept"]
 
 
+def test_few_texts_or_few_different_ones_make_no_outliers(spark):
+    make = random.Random(17)
+    words = ["".join(make.choices("abcdefgh", k=make.randrange(2, 9))) for _ in range(400)]
+
+    def prose(n):
+        return " ".join(make.choices(words, k=n)).capitalize() + "."
+
+    odd = prose(80).upper() + " # | $" * 9
+    same = prose(90)
+    few = [(i, prose(90), "en", "a", "x", "y", "z") for i in range(quality.FEWEST - 2)] + [(900, odd, "en", "a", "x", "y", "z")]
+    out = judged(spark, few)
+    assert all(row["kept"] and row["far"] is None for row in out.values())
+    copies = [(i, same, "en", "a", "x", "y", "z") for i in range(300)] + [(900, odd, "en", "a", "x", "y", "z")]
+    out = judged(spark, copies)
+    assert all(row["kept"] and row["far"] is None for row in out.values())
+    many = [(i, prose(90), "en", "a", "x", "y", "z") for i in range(300)] + [(900, odd, "en", "a", "x", "y", "z")]
+    out = judged(spark, many)
+    assert not out[900]["kept"] and sum(row["kept"] for row in out.values()) > 290
+
+
 def test_floors_leave_wider_spreads_alone(spark):
     wide = {f"s{i}{j}": (4 * quality.FLOORS[i] ** 2 if i == j else 0.0) for i, j in quality.PAIRS}
     none = dict.fromkeys(wide, 0.0)
