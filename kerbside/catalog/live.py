@@ -95,7 +95,7 @@ def _streamed_windows(spark, folder):
 
 
 def _latest(spark, folder):
-    """Closed windows of the stream merged into a store, batch by batch."""
+    """Closed windows of the stream merged into a store, batch by batch; what has outlived its time by the stream's last time is gone."""
     stream = _windows(windows.zone_completions(_trip_stream(spark, folder))).selectExpr(
         "*",
         "window_end + INTERVAL 1 SECOND AS computed_at",
@@ -228,7 +228,8 @@ ORACLES = {
     "zone_windows": f"""{_WINDOWS} SELECT {_SNAP_COLUMNS}, snap(mean_duration_seconds) AS mean_duration_seconds, snap(mean_speed_mph) AS mean_speed_mph,
   snap(mean_distance_miles) AS mean_distance_miles, source_max_event_time FROM closed""",
     "latest_snapshot": f"""{_WINDOWS} SELECT {_SNAP_COLUMNS}, snap(mean_duration_seconds) AS mean_duration_seconds, source_max_event_time
-  FROM closed QUALIFY row_number() OVER (PARTITION BY zone_role, zone_id, window_kind ORDER BY window_end DESC) = 1""",
+  FROM closed WHERE window_end > (SELECT max(window_end) FROM closed) - INTERVAL {online.SNAPSHOT_TTL_SECONDS} SECONDS
+  QUALIFY row_number() OVER (PARTITION BY zone_role, zone_id, window_kind ORDER BY window_end DESC) = 1""",
     "late_events": """WITH a AS (SELECT event_id, ts, CAST(day(ts) + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END AS INTEGER) AS batch FROM events),
  b AS (SELECT batch, max(ts) AS newest FROM a GROUP BY 1),
  m AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 300 SECONDS AS watermark FROM b)

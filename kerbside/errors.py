@@ -11,3 +11,7 @@ class MissingColumns(DataContractError):
 
 class PublishRefused(DataContractError):
     """A check failed, so nothing was published."""
+
+
+class PublishConflict(PublishRefused):
+    """Another writer published the table first."""

@@ -10,8 +10,34 @@ from pyspark.sql import functions as F
 from kerbside.functions import digests
 from kerbside.session import reliable_checkpoint
 
-# The mergeable sketch misses a rank by at most rows / SKETCH_ACCURACY.
-SKETCH_ACCURACY = 100_000
+# --- fixed values of the 64-bit floating point format ---
+LEAST_EXPONENT, MOST_EXPONENT, FRACTION = -1022, 1023, 1 << 52
+INFINITE_KEY = 2047 * FRACTION
+# --- end of fixed values ---
+
+
+def ordered_keys(frame: DataFrame, value: str) -> DataFrame:
+    """``frame`` with ``_k``, 64-bit keys that order like a double column: the bits of its absolute value, with its sign.
+
+    The exponent is estimated and then corrected; dividing by a power of two is
+    exact. Zeros share a key; NaN comes last.
+    """
+    regular = "_a > 0 AND _a < double('infinity')"
+    split = frame.selectExpr("*", f"abs({value}) AS _a").selectExpr(
+        "*", f"CASE WHEN {regular} THEN CAST(greatest(least(floor(log2(_a)), {MOST_EXPONENT}), {LEAST_EXPONENT}) AS INT) ELSE 0 END AS _e"
+    )
+    scaled = split.selectExpr("*", f"CASE WHEN {regular} THEN _a / pow(2D, _e) ELSE 1D END AS _m")
+    low = f"_m < 1 AND _e > {LEAST_EXPONENT}"
+    fitted = scaled.selectExpr(
+        *[name for name in scaled.columns if name not in ("_e", "_m")],
+        f"CASE WHEN _m >= 2 THEN _e + 1 WHEN {low} THEN _e - 1 ELSE _e END AS _e",
+        f"CASE WHEN _m >= 2 THEN _m / 2 WHEN {low} THEN _m * 2 ELSE _m END AS _m",
+    )
+    size = (
+        f"CASE WHEN isnan(_a) THEN {INFINITE_KEY + 1}L WHEN _a = 0 THEN 0L WHEN _a = double('infinity') THEN {INFINITE_KEY}L"
+        f" ELSE (_e - {LEAST_EXPONENT}) * {FRACTION}L + CAST(_m * {FRACTION}D AS BIGINT) END"
+    )
+    return fitted.selectExpr(*frame.columns, f"CASE WHEN {value} < 0 THEN -({size}) ELSE {size} END AS _k")
 
 
 def percentiles(
@@ -21,86 +47,67 @@ def percentiles(
     by: Sequence[str] = (),
     interpolate: bool = False,
     few_groups: bool = False,
-    accuracy: int = SKETCH_ACCURACY,
-    margin: float | None = None,
 ) -> DataFrame:
     """``p<percent>`` columns over the non-NULL values, per group, exactly.
 
     The nearest rank ``ceil(percent * rows / 100)`` is used, or linear
-    interpolation between neighbours. A sketch brackets every rank. Values
-    inside a bracket are counted one by one (about 4 * rows / SKETCH_ACCURACY
-    of them), all others only per stretch between brackets, and just these
-    counts are ordered. A rank that falls inside a stretch, which the sketch's
-    bound rules out, is an error and never a wrong value. Without ``by`` there is
-    one row, NULL when empty. With ``few_groups`` (one key, a bounded number of
-    values) the brackets reach the rows as one map, and no row moves for them.
+    interpolation between neighbours. Values become ordered 64-bit keys, and a
+    rank is followed through them sixteen bits at a time: the rows below the
+    prefix it has reached are counted by their next sixteen bits, and running
+    sums over at most 65,536 counts tell where it goes on. Four rounds end at
+    one value. Rows stay where they are; what moves are counts.
+
+    Without ``by`` there is one row, NULL when empty. The places that ranks have
+    reached are broadcast where their number is bounded: without ``by``, and
+    with ``few_groups`` (a bounded number of groups). With any number of groups
+    the distinct values of each are counted first, and Spark joins these counts
+    as their size allows.
     """
     keys = list(by) or ["_all"]
-    present = frame.selectExpr(
-        *(by or ["0 AS _all"]), f"CAST({value} AS DOUBLE) AS _v"
-    ).where("_v IS NOT NULL")
-    margin = 2 / accuracy if margin is None else margin
-    edges = []
-    for percent in percents:
-        edges += [max(0.0, percent / 100 - margin), min(1.0, percent / 100 + margin)]
-    listed = ", ".join(f"{edge!r}D" for edge in edges)
-    bracket = F.expr(
-        "struct(count(1) AS _rows,"
-        f" percentile_approx(_v, array({listed}), {accuracy}) AS _edges) AS _bracket"
-    )
-    if few_groups:
-        (key,) = by
-        brackets = present.groupBy(key).agg(bracket).agg(F.expr(f"map_from_entries(collect_list(struct({key}, _bracket)))"))
-        bracketed = present.where(f"{key} IS NOT NULL").withColumn("_brackets", brackets.scalar()).withColumn("_bracket", F.expr(f"_brackets[{key}]")).drop("_brackets")
-    elif by:
-        bracketed = present.join(present.groupBy(*keys).agg(bracket), keys)
-    else:
-        bracketed = present.withColumn("_bracket", present.agg(bracket).scalar())
-
-    inside = " OR ".join(
-        f"_v BETWEEN _edges[{2 * i}] AND _edges[{2 * i + 1}]" for i in range(len(percents))
-    )
-    counted = (
-        bracketed.selectExpr(*keys, "_v", "_bracket.*")
-        .selectExpr(
-            *keys,
-            "_rows",
-            "_v",
-            f"CASE WHEN {inside} THEN _v END AS _exact",
-            "size(filter(_edges, e -> e < _v)) AS _stretch",
-        )
-        .groupBy(*keys, "_exact", "_stretch")
-        .agg(
-            F.expr("max(_rows) AS _rows"),
-            F.expr("count(1) AS _n"),
-            F.expr("min(_v) AS _low"),
-            F.expr("max(_v) AS _high"),
-        )
-    )
-    upto = (
-        f"sum(_n) OVER (PARTITION BY {', '.join(keys)} ORDER BY _low, _high"
-        " ROWS UNBOUNDED PRECEDING)"
-    )
+    named = frame.selectExpr(*(by or ["0 AS _all"]), f"CAST({value} AS DOUBLE) AS _v").where(" AND ".join(["_v IS NOT NULL", *[f"{key} IS NOT NULL" for key in keys if few_groups]]))
+    rows = ordered_keys(named, "_v").selectExpr(*keys, "_k", "_v", "1L AS _n")
+    bounded = few_groups or not by
+    if not bounded:
+        rows = rows.groupBy(*keys, "_k").agg(F.expr("min(_v) AS _v"), F.expr("sum(_n) AS _n"))
 
-    def at(rank: str) -> str:
-        # The rank falls on a single value, or on the last or first of a stretch.
-        inside = f"{rank} > _upto - _n + 1 AND _low <> _high"
-        missed = "CAST(raise_error('a rank lies outside its bracket') AS DOUBLE)"
-        return f"min(CASE WHEN _upto = {rank} THEN _high WHEN _upto > {rank} THEN CASE WHEN {inside} THEN {missed} ELSE _low END END)"
+    ranks = []  # 1-based, of _total rows
+    for percent in percents:
+        if interpolate:
+            lower = f"floor((_total - 1) * {percent} / 100) + 1"
+            ranks += [lower, f"least({lower} + 1, _total)"]
+        else:
+            ranks.append(f"greatest(ceil(_total * {percent} / 100), 1)")
+    listed = ", ".join(f"struct({n} AS _id, CAST({rank} AS BIGINT) AS _need)" for n, rank in enumerate(ranks))
+
+    def running(counts: DataFrame, within: str) -> DataFrame:
+        return counts.selectExpr("*", f"sum(_n) OVER (PARTITION BY {within} ORDER BY _to ROWS UNBOUNDED PRECEDING) AS _upto")
+
+    of_group = ", ".join(keys)
+    first = rows.groupBy(*keys, F.expr("shiftright(_k, 48) AS _to")).agg(F.expr("sum(_n) AS _n"), F.expr("min(_v) AS _v"))
+    placed = running(first.selectExpr("*", f"sum(_n) OVER (PARTITION BY {of_group}) AS _total"), of_group)
+    reached = placed.selectExpr(*keys, "_total", f"inline(transform(filter(array({listed}), r -> r._need > _upto - _n AND r._need <= _upto), r -> struct(r._id AS _id, r._need - (_upto - _n) AS _need))) AS (_id, _need)", "_to", "_v")
+    for shift in (32, 16, 0):
+        places = reached.selectExpr(*keys, "_total", "_id", "_need", "_to AS _from")
+        own = rows.selectExpr(*keys, "_n", "_v", f"shiftright(_k, {shift + 16}) AS _from", f"shiftright(_k, {shift}) AS _to")
+        below = own.join(F.broadcast(places) if bounded else places, [*keys, "_from"])
+        counts = below.groupBy(*keys, "_id", "_need", "_total", "_to").agg(F.expr("sum(_n) AS _n"), F.expr("min(_v) AS _v"))
+        found = running(counts, f"{of_group}, _id")
+        reached = found.where("_need > _upto - _n AND _need <= _upto").selectExpr(*keys, "_total", "_id", "_need - (_upto - _n) AS _need", "_to", "_v")
+
+    def at(n: int) -> str:
+        return f"max(CASE WHEN _id = {n} THEN _v END)"
 
     columns = []
-    for percent in percents:
+    for n, percent in enumerate(percents):
         if interpolate:
-            place = f"(max(_rows) - 1) * {percent} / 100"
-            lower = f"floor((_rows - 1) * {percent} / 100) + 1"
+            place = f"(max(_total) - 1) * {percent} / 100"
             weight = f"({place} - floor({place}))"
-            first, second = at(f"({lower})"), at(f"({lower} + 1)")
-            text = f"CASE WHEN {weight} > 0 THEN {first} + ({second} - {first}) * {weight} ELSE {first} END"
+            low, high = at(2 * n), at(2 * n + 1)
+            text = f"CASE WHEN {weight} > 0 THEN {low} + ({high} - {low}) * {weight} ELSE {low} END"
         else:
-            text = at(f"ceil(_rows * {percent} / 100)")
+            text = at(n)
         columns.append(F.expr(f"{text} AS p{percent}"))
-    running = counted.selectExpr("*", f"{upto} AS _upto")
-    return running.groupBy(*by).agg(*columns) if by else running.agg(*columns)
+    return reached.groupBy(*by).agg(*columns) if by else reached.agg(*columns)
 
 
 def with_positions(frame: DataFrame, order_by: Sequence[str]) -> DataFrame:

@@ -13,7 +13,6 @@ from kerbside.functions.clock import Month
 from kerbside.operators import pointintime, quality
 from kerbside.plans.ingest import require_published
 from kerbside.sources import storage
-from kerbside.sources.files import table_digest
 from kerbside.sources.storage import Layers
 
 
@@ -44,10 +43,10 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
     """Read the month and, if there, the one before; write, test and publish features."""
     when = Month.parse(month)
     layers = Layers(root.rstrip("/"), when)
-    require_published(spark, layers)
-    months = [m for m in (when.shift(-1), when) if storage.exists(spark, layers.silver(m))]
+    own = require_published(spark, layers)
+    months = [m for m in (when.shift(-1), when) if storage.published(spark, layers.silver(m))]
     parts = [
-        spark.read.parquet(layers.silver(m)).withColumn("input", F.lit(str(m))) for m in months
+        storage.read(spark, layers.silver(m)).withColumn("input", F.lit(str(m))) for m in months
     ]
     silver = parts[0]
     for part in parts[1:]:
@@ -66,16 +65,16 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
         **options,
     )
     staged = storage.stage(features, layers.gold(), compression="zstd")
-    measured = _measured(spark.read.parquet(staged))
+    measured = _measured(spark.read.parquet(staged.folder))
     failures = {name: count for name, count in measured.items() if count and name != "rows"}
     if failures:
-        storage.remove(spark, staged)
+        storage.discard(spark, staged)
         raise PublishRefused(f"data tests failed: {failures}")
-    storage.publish(spark, staged, layers.gold())
+    storage.publish(spark, staged)
 
-    published = spark.read.parquet(layers.gold())
-    output = table_digest(spark, layers.gold())
-    digests = {str(m): require_published(spark, layers, m).found_sha256 for m in months}
+    published = storage.read(spark, layers.gold())
+    output = storage.digest(spark, layers.gold())
+    digests = {str(m): (own if m == when else require_published(spark, layers, m)).found_sha256 for m in months}
     settings = json.dumps({"windows": pointintime.WINDOWS, **{k: str(v) for k, v in options.items()}}, sort_keys=True)
     known = spark.createDataFrame(list(digests.items()), "input string, sha256 string")
     inputs = silver.groupBy("input").agg(F.expr("count(1) AS rows")).join(known, "input")
@@ -97,5 +96,5 @@ def build_gold(spark: SparkSession, month: str, root: str, **options) -> DataFra
             "built_at": F.current_timestamp(),
         }
     )
-    storage.write_report(manifest, layers.gold_manifest())
+    storage.publish_report(manifest, layers.gold_manifest())
     return published

@@ -55,7 +55,7 @@ def ingest_month(
     try:
         accepted, counted = _publish(spark, source, masked, layers, threshold, policy)
         counts = spark.createDataFrame([counted])
-        silver = table_digest(spark, layers.silver()) if accepted else None
+        silver = storage.digest(spark, layers.silver()) if accepted else None
         report = quality.partition_report(counts, when, source, policy, threshold).withColumns(
             {
                 "run_id": F.lit(run_id),
@@ -69,7 +69,7 @@ def ingest_month(
                 ).cast("string"),
             }
         )
-        storage.write_report(report, layers.quality_report())
+        storage.publish_report(report, layers.quality_report())
         checks = quality.quality_checks(counts, when, policy, threshold)
     except Exception as error:
         runlog.finish_run(spark, layers.root, run_id, "failed", error=type(error).__name__, source_sha256=source_digest.sha256)
@@ -90,36 +90,37 @@ def _publish(
     seen = Observation()
     observed = masked.observe(seen, *quality.violation_measures())
     silver = storage.stage(quality.silver_rows(observed, when, policy), layers.silver())
+    accepted = False
     try:
         counted = Row(**seen.get)
         counts = spark.createDataFrame([counted])
         accepted = quality.partition_gate(counts, threshold).first().status == "accepted"
         if accepted and counted.valid_rows == 0:
+            accepted = False
             raise PublishRefused("an accepted month must hold at least one valid row")
-        if accepted:
-            storage.publish(spark, silver, layers.silver())
-            storage.remove(spark, layers.rejected_source())
     finally:
-        storage.remove(spark, silver)
-    if not accepted:
-        copied = storage.stage(spark.read.parquet(source), layers.rejected_source())
-        storage.publish(spark, copied, layers.rejected_source())
+        if not accepted:
+            storage.discard(spark, silver)
+    if accepted:
+        storage.publish(spark, silver)
+        storage.retract(spark, layers.rejected_source())
+    else:
+        storage.publish(spark, storage.stage(spark.read.parquet(source), layers.rejected_source()))
     if counted.valid_rows < counted.total_rows:
-        rejected = storage.stage(quality.invalid_rows(masked), layers.invalid_rows())
-        storage.publish(spark, rejected, layers.invalid_rows())
+        storage.publish(spark, storage.stage(quality.invalid_rows(masked), layers.invalid_rows()))
     else:
-        storage.remove(spark, layers.invalid_rows())
+        storage.retract(spark, layers.invalid_rows())
     return accepted, counted
 
 
 def require_published(spark: SparkSession, layers: Layers, month: Month | None = None) -> Row:
     """The accepted report of a month whose silver is still what the report describes."""
     month = month or layers.month
-    if not (storage.exists(spark, layers.silver(month)) and storage.exists(spark, layers.quality_report(month))):
+    if not (storage.published(spark, layers.silver(month)) and storage.published(spark, layers.quality_report(month))):
         raise DataContractError(f"no accepted silver for {month}")
-    report = spark.read.json(layers.quality_report(month)).first().asDict()
+    report = storage.read_report(spark, layers.quality_report(month)).first().asDict()
     # A later month that was rejected leaves the silver of the accepted one, whose digest the run log keeps.
-    found = table_digest(spark, layers.silver(month)).sha256
+    found = storage.digest(spark, layers.silver(month)).sha256
     if report["status"] == "accepted" and report.get("silver_sha256") != found:
         raise DataContractError(f"silver of {month} differs from its report")
     return Row(**(report | {"found_sha256": found}))

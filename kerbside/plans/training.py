@@ -37,7 +37,7 @@ class Evaluation:
 
 
 def load_gold(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
-    paths = [Layers(root.rstrip("/"), Month.parse(month)).gold() for month in months]
+    paths = [storage.location(spark, Layers(root.rstrip("/"), Month.parse(month)).gold()) for month in months]
     return quality.require_columns(spark.read.option("mergeSchema", "true").parquet(*paths), REQUIRED)
 
 
@@ -46,8 +46,8 @@ def gold_manifests(spark: SparkSession, root: str, months: Sequence[str]) -> Dat
     parts = []
     for month in months:
         layers = Layers(root.rstrip("/"), Month.parse(month))
-        manifest = spark.read.json(layers.gold_manifest())
-        if manifest.first().output_sha256 != table_digest(spark, layers.gold()).sha256:
+        manifest = storage.read_report(spark, layers.gold_manifest())
+        if manifest.first().output_sha256 != storage.digest(spark, layers.gold()).sha256:
             raise DataContractError(f"gold of {month} differs from its manifest")
         parts.append(manifest.selectExpr("month", "output_sha256 AS sha256", "row_count", "feature_model_version"))
     return reduce(DataFrame.unionByName, parts)

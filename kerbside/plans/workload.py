@@ -67,7 +67,7 @@ def build_workload(
     report = require_published(spark, layers)
     if report.status != "accepted" or report.month != month:
         raise DataContractError("a workload needs the matching accepted quality report")
-    silver = spark.read.parquet(layers.silver())
+    silver = storage.read(spark, layers.silver())
     if silver.count() != report.valid_rows:
         raise DataContractError("silver rows differ from the accepted quality report")
     if storage.exists(spark, output):

@@ -86,14 +86,14 @@ def _streamed(batches):
             )
 
 
-def file_manifest(spark: SparkSession, pattern: str, one_value: int = ONE_VALUE_BYTES) -> DataFrame:
+def file_manifest(spark: SparkSession, pattern: str | Sequence[str], one_value: int = ONE_VALUE_BYTES) -> DataFrame:
     """Path, size, SHA-256 and magic-byte check of every file, whatever its size.
 
     Files of at most ``one_value`` bytes are read as values by Spark. Longer ones
     are listed without their content and streamed, each in a task of its own.
     Spark lists no empty files.
     """
-    listed = spark.read.format("binaryFile").load(pattern)
+    listed = spark.read.format("binaryFile").load(pattern if isinstance(pattern, str) else list(pattern))
     fields = ["path", "element_at(split(path, '/'), -1) AS file_name", "length AS size_bytes"]
     small = listed.where(f"length <= {one_value}").selectExpr(
         *fields,
@@ -110,14 +110,15 @@ def file_manifest(spark: SparkSession, pattern: str, one_value: int = ONE_VALUE_
 
 def table_digest(spark: SparkSession, path: str) -> Row:
     """sha256, size_bytes and files of a file, or of a folder by the digests of its files."""
-    return (
-        file_manifest(spark, path)
-        .agg(
-            F.expr("CASE WHEN count(1) = 1 THEN max(sha256) ELSE sha2(array_join(array_sort(collect_list(sha256)), ','), 256) END AS sha256"),
-            F.expr("coalesce(sum(size_bytes), 0) AS size_bytes"),
-            F.expr("count(1) AS files"),
-        )
-        .first()
+    return combined(file_manifest(spark, path)).first()
+
+
+def combined(files: DataFrame) -> DataFrame:
+    """One digest of many files: that of their sorted digests, or that of the only one."""
+    return files.agg(
+        F.expr("CASE WHEN count(1) = 1 THEN max(sha256) ELSE sha2(array_join(array_sort(collect_list(sha256)), ','), 256) END AS sha256"),
+        F.expr("coalesce(sum(size_bytes), 0) AS size_bytes"),
+        F.expr("count(1) AS files"),
     )
 
 

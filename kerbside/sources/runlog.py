@@ -1,7 +1,12 @@
-"""The run log: lifecycle records and checks, appended and never changed."""
+"""The run log: lifecycle records and checks, appended and never changed.
+
+A record is a file of its own, named by run and sequence number and put only
+where there is none, so of two writers of the same record the second is refused.
+"""
 
 from __future__ import annotations
 
+import json
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +32,10 @@ def _path(root: str, table: str) -> str:
 
 def _append(spark: SparkSession, root: str, **values) -> None:
     names = [field.split()[0] for field in RECORD.split(", ")]
-    row = tuple(values.get(name) for name in names)
-    spark.createDataFrame([row], RECORD).coalesce(1).write.mode("append").parquet(_path(root, "runs"))
+    record = {name: values.get(name) for name in names} | {"at": values["at"].isoformat()}
+    path = f"{_path(root, 'runs')}/{values['run_id']}-{values['seq']}.json"
+    if not storage.put_if_absent(spark, path, json.dumps(record)):
+        raise DataContractError(f"record {values['seq']} of run {values['run_id']} is written already")
 
 
 def records(spark: SparkSession, root: str) -> DataFrame:
@@ -36,7 +43,7 @@ def records(spark: SparkSession, root: str) -> DataFrame:
     path = _path(root, "runs")
     if not storage.exists(spark, path):
         return spark.createDataFrame([], RECORD)
-    return spark.read.schema(RECORD).parquet(path)
+    return spark.read.schema(RECORD).option("pathGlobFilter", "*.json").json(path)
 
 
 def checks(spark: SparkSession, root: str) -> DataFrame:
@@ -59,7 +66,8 @@ def finish_run(spark: SparkSession, root: str, run_id: str, status: str, found:
     state = lineage_state(records(spark, root).where(F.col("run_id") == run_id)).first()
     if state is None or state.status != "running":
         raise DataContractError(f"run {run_id} is not running")
+    _append(spark, root, run_id=run_id, seq=2, status=status, at=datetime.now(UTC), partition_key=state.partition_key, **values)
+    # only the one whose record stands adds its checks
     if found is not None:
         made = found.selectExpr(f"'{run_id}' AS run_id", "rule", "CAST(violations AS BIGINT) AS violations", "total_rows", "threshold", "passed", "contract_version")
         made.coalesce(1).write.mode("append").parquet(_path(root, "checks"))
-    _append(spark, root, run_id=run_id, seq=2, status=status, at=datetime.now(UTC), partition_key=state.partition_key, **values)

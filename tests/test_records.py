@@ -1,5 +1,6 @@
 """What the pipelines write about themselves, read by the lineage operators."""
 
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -41,6 +42,30 @@ def test_runs_are_logged(spark, tmp_path):
         runlog.start_run(spark, lake, run, "x")
 
 
+def test_of_two_that_finish_a_run_one_is_refused(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    runlog.start_run(spark, lake, "r1", "2024-01")
+    start, outcome = threading.Barrier(2), []
+
+    def finish(status):
+        start.wait()
+        try:
+            runlog.finish_run(spark, lake, "r1", status)
+            outcome.append(status)
+        except DataContractError:
+            outcome.append("refused")
+
+    threads = [threading.Thread(target=finish, args=(status,)) for status in ("accepted", "failed")]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert outcome.count("refused") == 1
+    written = runlog.records(spark, lake).where("seq = 2").collect()
+    assert [r.status for r in written] == [s for s in outcome if s != "refused"]
+    assert written[0].at.year >= 2024 and written[0].total_rows is None
+
+
 def test_from_source_to_training(spark, tmp_path):
     lake = str(tmp_path / "lake")
     for month, day in (("2024-01", datetime(2024, 1, 2)), ("2024-02", datetime(2024, 2, 2))):
@@ -55,7 +80,7 @@ def test_from_source_to_training(spark, tmp_path):
     assert train_month(spark, lake, ["2024-01"], "2024-02", **{**options, "trees": 3}) != path
 
     training = spark.read.json(f"{path}/manifest").select("run_id", "holdout_month", "holdout_sha256")
-    gold = spark.read.json(storage.Layers(lake, Month.parse("2024-02")).gold_manifest())
+    gold = storage.read_report(spark, storage.Layers(lake, Month.parse("2024-02")).gold_manifest())
     inputs = gold.selectExpr("month", "inline(inputs)").selectExpr("month", "input AS input_month", "sha256")
     workload = spark.read.json(manifest_path(str(tmp_path / "requests"))).selectExpr(f"'{before.run_id}' AS run_id", "month", "silver_sha256")
     chain = lineage.lineage_chain(training, gold.select("month", "output_sha256"), inputs, workload).first()
@@ -63,9 +88,9 @@ def test_from_source_to_training(spark, tmp_path):
 
     # files that no longer are what their manifest says
     layers = storage.Layers(lake, Month.parse("2024-02"))
-    spark.read.parquet(layers.silver()).limit(5).write.mode("append").parquet(layers.silver())
+    storage.read(spark, layers.silver()).limit(5).write.mode("append").parquet(storage.location(spark, layers.silver()))
     with pytest.raises(DataContractError, match="differs from its report"):
         build_gold(spark, "2024-02", lake)
-    spark.read.parquet(layers.gold()).limit(5).write.mode("append").parquet(layers.gold())
+    storage.read(spark, layers.gold()).limit(5).write.mode("append").parquet(storage.location(spark, layers.gold()))
     with pytest.raises(DataContractError, match="differs from its manifest"):
         train_month(spark, lake, ["2024-01"], "2024-02", **options)

@@ -2,7 +2,10 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+
 from kerbside import schemas
+from kerbside.errors import PublishConflict
 from kerbside.streaming import jobs, joins, windows
 
 START = datetime(2024, 1, 5)
@@ -55,21 +58,69 @@ def test_late_events_never_change_closed_windows(spark, tmp_path):
     assert windows.late_events(arrivals).where("is_late").count() == 1
 
 
-def test_store_keeps_newest_and_survives_replay(spark, tmp_path):
+def snapshots(spark, *rows):
+    """(zone, minute the window ends, trips), computed when the window ends."""
     columns = "feature_model_version string, zone_role string, zone_id int, window_kind string, window_end timestamp_ntz, computed_at timestamp_ntz, trip_count int"
+    made = [("v", "pickup", zone, "15m", START + timedelta(minutes=m), START + timedelta(minutes=m), n) for zone, m, n in rows]
+    return spark.createDataFrame(made, columns)
+
 
-    def batch(*rows):
-        return spark.createDataFrame(
-            [("v", "pickup", zone, "15m", START + timedelta(minutes=m), START + timedelta(minutes=m), n) for zone, m, n in rows], columns
-        )
+def held(store, **options):
+    return {(r.zone_id, r.trip_count) for r in store.read(**options).collect()}
 
+
+def test_store_keeps_newest_and_survives_replay(spark, tmp_path):
     store = jobs.SnapshotStore(spark, str(tmp_path / "store"))
     assert store.read() is None
-    store.merge(batch((1, 10, 1), (1, 5, 2), (2, 5, 3)), 0)
-    store.merge(batch((1, 7, 4), (2, 9, 5)), 1)
-    store.merge(batch((1, 7, 4), (2, 9, 5)), 1)  # the same batch again
-    assert {(r.zone_id, r.trip_count) for r in store.read().collect()} == {(1, 1), (2, 5)}
-    assert store.versions() == [0, 1]
+    store.merge(snapshots(spark, (1, 10, 1), (1, 5, 2), (2, 5, 3)), 0)
+    store.merge(snapshots(spark, (1, 7, 4), (2, 9, 5)), 1)
+    store.merge(snapshots(spark, (1, 7, 4), (2, 9, 5)), 1)  # the same batch again
+    assert held(store) == {(1, 1), (2, 5)}
+    assert store.state()["buckets"] == {}  # nothing is compacted yet
+
+
+def test_compaction_touches_its_buckets_and_drops_what_has_expired(spark, tmp_path):
+    store = jobs.SnapshotStore(spark, str(tmp_path / "store"), buckets=4, pending=2, ttl_seconds=600)
+    expected, due = {}, set()
+    for batch in range(9):
+        zones = range(1, 30) if batch == 0 else (1, 2)  # most keys change once
+        store.merge(snapshots(spark, *[(zone, batch, 100 * batch + zone) for zone in zones]), batch)
+        expected |= {zone: 100 * batch + zone for zone in zones}
+        due = set(map(int, store.state()["buckets"]))
+        assert held(store) == set(expected.items())
+    changing = {int(p.name[7:]) for p in (tmp_path / "store/log/batch=8").glob("bucket=*")}
+    assert changing and due <= changing and len(due) < 4
+    written = [sum(f.stat().st_size for f in (tmp_path / f"store/log/batch={b}").rglob("*.parquet")) for b in (8,)]
+    whole = sum(f.stat().st_size for f in (tmp_path / "store").rglob("*.parquet"))
+    assert written[0] < whole / 2
+    # ten minutes later most snapshots have outlived their time
+    store.merge(snapshots(spark, (1, 17, 7)), 9)
+    assert held(store) == {(1, 7), (2, 802)}
+    assert len(held(store, now="TIMESTAMP_NTZ '2000-01-01 00:00:00'")) == 29
+    assert store.compact(9, pending=0)
+    assert held(store) == {(1, 7), (2, 802)}
+    stored = held(store, now="TIMESTAMP_NTZ '2000-01-01 00:00:00'")
+    assert {(1, 7), (2, 802)} <= stored and len(stored) < 29  # compacted buckets no longer hold what has expired
+    assert store.compact(9, pending=0) == []
+
+
+def test_of_two_compactions_one_is_refused(spark, tmp_path, monkeypatch):
+    store = jobs.SnapshotStore(spark, str(tmp_path / "store"), buckets=2, pending=50)
+    for batch in range(3):
+        store.merge(snapshots(spark, (1, batch, batch), (2, batch, batch)), batch)
+    other, put = jobs.SnapshotStore(spark, store.path, buckets=2), jobs.storage.put_if_absent
+    once = []
+
+    def meanwhile(*values):
+        if not once:
+            once.append(1)
+            other.compact(2, pending=0)
+        return put(*values)
+
+    monkeypatch.setattr(jobs.storage, "put_if_absent", meanwhile)
+    with pytest.raises(PublishConflict):
+        store.compact(2, pending=0)
+    assert held(store) == {(1, 2), (2, 2)}
 
 
 def test_duplicates_go(spark, tmp_path):
