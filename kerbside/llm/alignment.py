@@ -28,6 +28,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -326,8 +327,8 @@ def pair_counts(rows: DataFrame) -> DataFrame:
 def _scored(rows: pa.Table) -> pa.Table:
     """The documents of a block with ``n_best`` and ``count_sum``, from its postings with counts."""
     rows = rows.combine_chunks()
-    known = rows.filter(pa.compute.is_valid(rows.column("place"))).sort_by("place")
-    found = rows.filter(pa.compute.is_valid(rows.column("pair")))
+    known = rows.filter(pc.is_valid(rows.column("place"))).sort_by("place")
+    found = rows.filter(pc.is_valid(rows.column("pair")))
     n = found.column("n").to_numpy()
     best = found.column("best").to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros((2, len(known)), np.int64)
@@ -340,7 +341,7 @@ def _scored(rows: pa.Table) -> pa.Table:
         group, place = places(*_raw(found.column("bits").combine_chunks()))
         add(group, place, 1)
         planes = found.column("planes").combine_chunks()
-        sizes = pa.compute.list_value_length(planes).fill_null(0).to_numpy()
+        sizes = pc.list_value_length(planes).fill_null(0).to_numpy()
         group, place = places(*_raw(planes.flatten()))
         posting, level = np.repeat(np.arange(len(sizes)), sizes), flat.ranges(np.zeros(len(sizes), np.int64), sizes.astype(np.int64))
         add(posting[group], place, np.left_shift(1, level[group]))

@@ -17,9 +17,9 @@ in common, and must pass three filters:
 What passes is verified once per pair on the whole sets.
 
 A group of near copies would meet in all its pairs, though a component needs
-only a spanning tree. So texts first meet one member of each group, twice, with
-another member: the one whose shingles are the most frequent, which is the
-nearest to what all have in common. Only pairs of texts that these links leave
+only a spanning tree. So texts first meet one member of each group, the one
+whose shingles are the most frequent, which is the nearest to what all have in
+common. Only pairs of texts that these links leave
 in different components are joined in full, those outside the largest component
 of a group with all of it. That loses no link between components.
 
@@ -46,10 +46,10 @@ from kerbside.llm import census, common, flat
 from kerbside.llm.components import roots
 
 SHINGLE, SHARE = 4, 85
-PARTS = 64  # ranges of the suffix filter
-ROUNDS = 2  # members of a group that all others meet before pairs are joined
+PARTS = 32  # ranges of the suffix filter
+MOST = 32_767  # a range that holds so many shingles excludes nothing
 DISTINCT = pa.schema([("key", pa.int64()), ("copy", pa.string()), ("text", pa.binary())])
-TEXTS = "copy string, n long, typical float, shingles array<long>, gram long, pos int, before array<long>, rest array<int>"
+TEXTS = "copy string, n long, typical float, shingles array<long>, gram long, pos int, before array<long>, rest array<short>"
 
 
 def words_of(text: bytes) -> bytes:
@@ -135,7 +135,7 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
     frequency = totals.of(hashes)  # 0 if no other text has it
     order = np.lexsort((hashes, frequency, owner))
     position = np.arange(len(order)) - starts[owner]
-    part = (hashes[order] >> np.uint64(58)).astype(np.int64)
+    part = (hashes[order] >> np.uint64(59)).astype(np.int64)
     inside = position < prefix_length(sizes)[owner]
     at = np.flatnonzero(inside & (frequency[order] > 0))
     # shingles behind each place, by range: those of the text less those up to here
@@ -171,8 +171,8 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
             "before": pa.concat_arrays([pa.nulls(len(names), pa.list_(pa.int64())), before]),
             "rest": pa.concat_arrays(
                 [
-                    pa.nulls(len(names), pa.list_(pa.int32())),
-                    pa.ListArray.from_arrays(pa.array(np.arange(none + 1) * PARTS, pa.int32()), pa.array(rest.ravel().astype(np.int32))),
+                    pa.nulls(len(names), pa.list_(pa.int16())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(none + 1) * PARTS, pa.int32()), pa.array(np.minimum(rest.ravel(), MOST).astype(np.int16))),
                 ]
             ),
         }
@@ -195,7 +195,7 @@ def _can_link(a: str, b: str) -> Column:
         f"100 * least({a}.n, {b}.n) >= {SHARE} * greatest({a}.n, {b}.n)"
         f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need}"
         f" AND NOT arrays_overlap({a}.before, {b}.before)"
-        f" AND 1 + aggregate(zip_with({a}.rest, {b}.rest, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {need}"
+        f" AND 1 + aggregate(zip_with({a}.rest, {b}.rest, (x, y) -> least(x, y)), 0, (s, x) -> s + if(x = {MOST}, 1000000000, int(x))) >= {need}"
     )
 
 
@@ -219,27 +219,16 @@ def links(texts: DataFrame) -> DataFrame:
     """Links (u, v) that connect all texts of stored ``prefixes`` that the similarity connects, and no others."""
     sets = texts.where("gram IS NULL AND shingles IS NOT NULL").select("copy", "shingles")
     rows = texts.where("gram IS NOT NULL").select("gram", "copy", "n", "typical", "pos", "before", "rest")
-    shared = rows.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
-    rows = common.stored(rows.join(shared, ["gram"]), "prefixes")
-    tested = None
-    for step in range(ROUNDS):
-        chosen = rows
-        if tested is not None:  # another one than before: no text that is linked already
-            chosen = rows.join(tested.where("linked").select(F.explode(F.array("u", "v")).alias("copy")).distinct(), ["copy"], "left_anti")
-        hubs = chosen.groupBy("gram").agg(F.max(F.struct("typical", "copy", "n", "pos", "before", "rest")).alias("h")).select("gram", "h.copy", "h.n", "h.pos", "h.before", "h.rest")
-        met = rows.alias("a").join(hubs.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.copy") != F.col("b.copy")) & _can_link("a", "b"))
-        pairs = met.select(*_ordered("a", "b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        now = common.stored(_verified(pairs, sets), "verified")
-        tested = now if tested is None else tested.union(now)
-    named = common.stored(_labelled(rows, roots(tested.where("linked").select("u", "v"))), "labelled")
+    hubs = rows.groupBy("gram").agg(F.max(F.struct("typical", "copy", "n", "pos", "before", "rest")).alias("h")).select("gram", "h.copy", "h.n", "h.pos", "h.before", "h.rest")
+    met = rows.alias("a").join(hubs.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.copy") != F.col("b.copy")) & _can_link("a", "b"))
+    tested = common.stored(_verified(met.select(*_ordered("a", "b")).distinct(), sets), "verified")
+    rooted = roots(tested.where("linked").select("u", "v"))
     largest = (
-        named.groupBy("gram", "root").agg(F.count("*").alias("m"))
+        _labelled(rows.select("gram", "copy"), rooted).groupBy("gram", "root").agg(F.count("*").alias("m"))
         .groupBy("gram").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("parts"))
         .where("parts > 1").select("gram", F.col("top.root").alias("top"))
     )
-    open_ = named.join(largest, ["gram"])
+    open_ = _labelled(rows.join(largest, ["gram"]), rooted)
     a, b = open_.where("root <> top").alias("a"), open_.alias("b")
     meets = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.root") != F.col("b.root")) & ((F.col("b.root") == F.col("b.top")) | (F.col("a.copy") < F.col("b.copy")))
     pairs = a.join(b, meets & _can_link("a", "b")).select(*_ordered("a", "b")).distinct().join(tested, ["u", "v"], "left_anti")
