@@ -7,7 +7,8 @@ frequencies to the blocks, and every text orders its shingles rarest first
 similarity of ``SHARE`` percent share one of the first ``n - ceil(SHARE * n / 100) + 1``
 shingles; of these prefixes only those that a second text has at all leave the
 block. Texts meet in a join on prefix shingles, each pair at the first it has
-in common, and must pass three filters:
+in common (later ones are passed over where one of the rarest ``BEFORE`` was
+common; the others bring the same pair again), and must pass three filters:
 
 * length: neither set is too large for the other;
 * position: with what lies behind the shared shingle there can still be enough;
@@ -47,6 +48,7 @@ from kerbside.llm.components import roots
 
 SHINGLE, SHARE = 4, 85
 PARTS = 32  # ranges of the suffix filter
+BEFORE = 16  # earlier prefix shingles that a row carries, so that a pair meets once; a longer list would only save more repeats
 MOST = 32_767  # a range that holds so many shingles excludes nothing
 DISTINCT = pa.schema([("key", pa.int64()), ("copy", pa.string()), ("text", pa.binary())])
 TEXTS = "copy string, n long, typical float, shingles array<long>, gram long, pos int, before array<long>, rest array<short>"
@@ -146,9 +148,9 @@ def _prefixes(rows: pa.Table, totals: census.Totals) -> pa.Table:
     lead = np.cumsum(lead, axis=0)
     place = np.searchsorted(prefix, at)
     rest = whole[owner[at]] - (lead[place + 1] - lead[np.searchsorted(prefix, starts[owner[at]])])
-    # prefix shingles of the text before each place
+    # the rarest prefix shingles of the text before each place
     lead_of = np.searchsorted(at, starts)[owner[at]]
-    earlier = np.arange(len(at)) - lead_of
+    earlier = np.minimum(np.arange(len(at)) - lead_of, BEFORE)
     grams = hashes[order][at].view(np.int64)
     before = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(earlier))), pa.int32()), pa.array(grams[flat.ranges(lead_of, earlier)]))
     typical = np.bincount(owner, weights=np.log2(np.maximum(frequency, 1)), minlength=len(names)) / np.maximum(sizes, 1)

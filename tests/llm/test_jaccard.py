@@ -129,8 +129,9 @@ def test_filters_never_lose_a_link(spark):
                     assert min(a.pos, b.pos) + 1 + sum(map(min, a.rest, b.rest)) >= need
                     assert sum(a.rest) == a.n - a.pos - 1
                 first = [g for g in common if not set(prefix[u][g].before) & set(prefix[v][g].before)]
-                assert len(first) == 1
-                a, b = prefix[u][first[0]], prefix[v][first[0]]
+                earliest = min(first, key=lambda g: prefix[u][g].pos)
+                assert all(len(prefix[u][g].before) <= jaccard.BEFORE for g in common)
+                a, b = prefix[u][earliest], prefix[v][earliest]
                 assert min(a.n - a.pos, b.n - b.pos) >= need and 1 + sum(map(min, a.rest, b.rest)) >= need
     assert linked > 20
 
