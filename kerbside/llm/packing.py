@@ -162,13 +162,19 @@ def best_fit(sizes: np.ndarray, left: np.ndarray, limit: int) -> list[tuple[dict
 
 
 def plan(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """(length: pieces of it in a sequence, number of such sequences); covers the histogram exactly."""
+    """(length: pieces of it in a sequence, number of such sequences); covers the histogram exactly.
+
+    Never more sequences than best fit alone makes: where the program does not pay, its answer is best fit's.
+    """
     if not histogram:
         return []
     sizes = np.array(sorted(histogram))
     counts = np.array([histogram[int(s)] for s in sizes], np.int64)
     used, left = program(sizes, counts, limit, rounds)
     used += best_fit(sizes, left, limit)
+    plain = best_fit(sizes, counts, limit)
+    if sum(number for _, number in plain) < sum(number for _, number in used):
+        used = plain
     return [({int(sizes[at]): times for at, times in found.items()}, number) for found, number in used]
 
 

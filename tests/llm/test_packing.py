@@ -10,6 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import pytest
+
 from kerbside.llm import bpe, packing
 
 
@@ -111,3 +113,27 @@ def test_documents(spark):
 def test_sequences(spark):
     placed = spark.createDataFrame([(0, 2, [3]), (0, 0, [1, 2]), (1, 0, [9])], "sequence_id long, offset long, ids array<int>")
     assert {r["sequence_id"]: r["ids"] for r in packing.sequences(placed).collect()} == {0: [1, 2, 3], 1: [9]}
+
+
+@pytest.mark.parametrize(
+    ("histogram", "limit"),
+    [
+        ({501: 300, 251: 300, 249: 300, 252: 300, 248: 300}, 1000),
+        ({size: 1000 for size in range(1, 65)}, 64),
+        ({size: 7 + size % 5 for size in range(1, 129)}, 128),
+        ({6: 10, 4: 10, 3: 20, 7: 5}, 10),
+    ],
+)
+def test_never_worse_than_best_fit(histogram, limit):
+    import numpy as np
+
+    made = packing.plan(histogram, limit)
+    covered: dict[int, int] = {}
+    for found, number in made:
+        assert sum(size * times for size, times in found.items()) <= limit
+        for size, times in found.items():
+            covered[size] = covered.get(size, 0) + times * number
+    assert covered == histogram
+    sizes = np.array(sorted(histogram))
+    plain = packing.best_fit(sizes, np.array([histogram[int(s)] for s in sizes], np.int64), limit)
+    assert sum(number for _, number in made) <= sum(number for _, number in plain)
