@@ -1,15 +1,17 @@
 """Best-fit packing by the configuration linear program.
 
 A configuration is a multiset of lengths that fits one sequence. The program
-asks for the fewest configurations that cover the histogram of lengths; it is
-solved by multiplicative weights in whole steps: the price of a length is its
-size, times a weight that falls with what of it is covered. One knapsack by
-dynamic programming finds, for each length, the configuration of the highest
-value with it under these prices. Each is used as often as what is left allows,
-which covers one of its lengths, so rounds end when nothing fills a sequence any
-more, after at most one for each length. Full sequences come first, then those
-with a ``SPARES`` part unused. What is left goes by best fit, longest first,
-whole groups of equal sequences at a time.
+asks for the fewest configurations that cover the histogram of lengths. Its
+fractional form is solved by multiplicative weights: the price of a length is its
+size, times a weight that falls with what is covered of it. In each round one
+knapsack by dynamic programming finds, for each length that is behind, the
+configuration of the highest value with it; those near the best of all are used
+as far as the length is behind. Prices over the best value solve the dual, so
+each round gives a lower bound on sequences. The fractions are rounded up, as far
+as pieces are left; the rest goes by the same pricing in whole steps, fullest
+sequences first (``SPARES`` is the part they may leave unused), and in the end by
+best fit, longest first, whole groups of equal sequences at a time. Where whole
+steps from the start, or best fit alone, take fewer sequences, they are the plan.
 
 Only the histogram reaches the driver, at most ``limit`` counts, and the plan it
 makes has a bounded number of configurations whatever the number of documents.
@@ -37,8 +39,10 @@ from pyspark.sql import types as T
 from kerbside.llm import bpe, common, flat
 
 LIMIT = 2048
-ROUNDS = LIMIT + 4  # a round covers a length or raises the spare part
+ROUNDS = 200
 RATE = 1.0
+NEAR = 0.02  # how far below the best a configuration of a round may be
+UNEVEN = 0.01
 SPARES = (0.0, 0.0005, 0.0015, 0.005)
 END = 0  # the id that ends every document
 PIECE = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())])
@@ -95,37 +99,90 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, limit: int) -> tuple[np.ndar
     return best, choice
 
 
-def program(sizes: np.ndarray, counts: np.ndarray, limit: int, rounds: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
-    """Configurations and how often each is used, by multiplicative weights in whole steps; and the counts they leave."""
+def configuration(first: int, sizes: np.ndarray, left: np.ndarray, choice: np.ndarray, limit: int) -> tuple[dict[int, int], int]:
+    """The best one with length ``first`` that takes no more of a length than there is, and the room it leaves unused."""
+    taken, room, unused = {first: 1}, limit - int(sizes[first]), 0
+    while room > 0:
+        at = int(choice[room])
+        if at < 0 or left[at] <= taken.get(at, 0):
+            room, unused = room - 1, unused + 1
+        else:
+            taken[at] = taken.get(at, 0) + 1
+            room -= int(sizes[at])
+    return taken, unused
+
+
+def fractional(sizes: np.ndarray, counts: np.ndarray, limit: int, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float]:
+    """How often each configuration (length place, times) is used, as fractions, and a lower bound on all sequences.
+
+    After round t each length should be covered t times. Prices divided by the
+    value of the best configuration are a solution of the dual, so the pieces
+    valued at them are a bound in every round; the highest is returned.
+    """
+    covered, bound = np.zeros(len(sizes)), 0.0
+    used: dict[tuple, float] = defaultdict(float)
+    make = np.random.default_rng(1)  # uneven prices, so that equal values do not always choose the same lengths
+    for t in range(1, rounds + 1):
+        uneven = 1 + UNEVEN / t * make.random(len(sizes)) * (t > 1)
+        prices = sizes / limit * np.exp(-RATE / np.sqrt(t) * (covered - covered.min())) * uneven
+        best, choice = knapsack(sizes, prices, limit)
+        bound = max(bound, float(counts @ prices) / best[limit])
+        values = prices + best[limit - sizes]
+        for first in np.argsort(covered, kind="stable").tolist():
+            if covered[first] >= t or values[first] < (1 - NEAR) * best[limit]:
+                continue
+            taken, _ = configuration(first, sizes, counts, choice, limit)
+            # what covers the length, but no length more than once at a time
+            amount = min((t - covered[first]) * counts[first] / taken[first], *(counts[at] / times for at, times in taken.items()))
+            for at, times in taken.items():
+                covered[at] += amount * times / counts[at]
+            used[tuple(sorted(taken.items()))] += amount
+    scale = max(covered.min(), 1.0)
+    return {key: amount / scale for key, amount in used.items()}, bound
+
+
+def rounded(used: dict[tuple, float], sizes: np.ndarray, counts: np.ndarray, limit: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """The fractions rounded up, fullest configurations first and then the most used, each as far as what is left allows; and the rest."""
+    left, found = counts.copy(), []
+
+    def order(entry: tuple[tuple, float]) -> tuple:
+        key, amount = entry
+        return limit - sum(int(sizes[at]) * times for at, times in key), -amount, key
+
+    for key, amount in sorted(used.items(), key=order):
+        number = min(int(np.ceil(amount)), *(int(left[at]) // times for at, times in key))
+        if number > 0:
+            for at, times in key:
+                left[at] -= number * times
+            found.append((dict(key), number))
+    return found, left
+
+
+def whole_steps(sizes: np.ndarray, counts: np.ndarray, limit: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """Configurations used as often as what is left allows, priced anew each round; and the counts they leave."""
     left = counts.copy()
     used: dict[tuple, int] = defaultdict(int)
-    make, level = np.random.default_rng(1), 0  # uneven prices, so that equal values do not always choose the same lengths
-    for _ in range(rounds):
+    make, level = np.random.default_rng(1), 0
+    for _ in range(limit + len(SPARES)):  # a round covers a length or raises the spare part
         here = np.flatnonzero(left)
         if not len(here):
             break
-        own = sizes[here]
-        prices = own / limit * np.exp(-RATE * (1 - left[here] / counts[here])) * (1 + 0.01 * make.random(len(here)))
+        own, rest = sizes[here], left[here]
+        prices = own / limit * np.exp(-RATE * (1 - rest / counts[here])) * (1 + UNEVEN * make.random(len(here)))
         best, choice = knapsack(own, prices, limit)
         progress = False
         for first in np.argsort(-(prices + best[limit - own]), kind="stable").tolist():
-            if not left[here[first]]:
+            if not rest[first]:
                 continue
-            taken, room, unused = {first: 1}, limit - int(own[first]), 0
-            while room > 0:
-                at = int(choice[room])
-                if at < 0 or left[here[at]] <= taken.get(at, 0):
-                    room, unused = room - 1, unused + 1
-                else:
-                    taken[at] = taken.get(at, 0) + 1
-                    room -= int(own[at])
+            taken, unused = configuration(first, own, rest, choice, limit)
             if unused > SPARES[level] * limit:
                 continue
-            number = min(int(left[here[at]]) // times for at, times in taken.items())
+            number = min(int(rest[at]) // times for at, times in taken.items())
             for at, times in taken.items():
-                left[here[at]] -= number * times
+                rest[at] -= number * times
             used[tuple(sorted((int(here[at]), times) for at, times in taken.items()))] += number
             progress = True
+        left[here] = rest
         level += not progress
         if level == len(SPARES):
             break
@@ -161,21 +218,32 @@ def best_fit(sizes: np.ndarray, left: np.ndarray, limit: int) -> list[tuple[dict
     return [group for found in groups.values() for group in found]
 
 
+def sequences_of(found: list[tuple[dict[int, int], int]]) -> int:
+    return sum(number for _, number in found)
+
+
+def program(sizes: np.ndarray, counts: np.ndarray, limit: int, rounds: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """Configurations and how often each is used: the rounded fractions, then whole steps over the rest; and the counts they leave."""
+    used, _ = fractional(sizes, counts, limit, rounds)
+    found, rest = rounded(used, sizes, counts, limit)
+    more, left = whole_steps(sizes, rest, limit)
+    return found + more, left
+
+
 def plan(histogram: dict[int, int], limit: int = LIMIT, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """(length: pieces of it in a sequence, number of such sequences); covers the histogram exactly.
 
-    Never more sequences than best fit alone makes: where the program does not pay, its answer is best fit's.
+    The rounded program, or what takes fewer sequences: whole steps from the start, or best fit alone.
     """
     if not histogram:
         return []
     sizes = np.array(sorted(histogram))
     counts = np.array([histogram[int(s)] for s in sizes], np.int64)
-    used, left = program(sizes, counts, limit, rounds)
-    used += best_fit(sizes, left, limit)
-    plain = best_fit(sizes, counts, limit)
-    if sum(number for _, number in plain) < sum(number for _, number in used):
-        used = plain
-    return [({int(sizes[at]): times for at, times in found.items()}, number) for found, number in used]
+    ways = []
+    for found, left in (program(sizes, counts, limit, rounds), whole_steps(sizes, counts, limit), ([], counts)):
+        ways.append(found + best_fit(sizes, left, limit))
+    best = min(ways, key=sequences_of)
+    return [({int(sizes[at]): times for at, times in found.items()}, number) for found, number in best]
 
 
 class Places:

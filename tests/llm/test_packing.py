@@ -137,3 +137,57 @@ def test_never_worse_than_best_fit(histogram, limit):
     sizes = np.array(sorted(histogram))
     plain = packing.best_fit(sizes, np.array([histogram[int(s)] for s in sizes], np.int64), limit)
     assert sum(number for _, number in made) <= sum(number for _, number in plain)
+
+
+@pytest.mark.parametrize(
+    ("histogram", "limit"),
+    [
+        ({501: 300, 251: 300, 249: 300, 252: 300, 248: 300}, 1000),
+        ({size: 1000 for size in range(1, 65)}, 64),
+        (Counter(min(2048, int(random.Random(n).lognormvariate(6, 1)) + 1) for n in range(20_000)), 2048),
+    ],
+)
+def test_gap_to_the_dual_bound(histogram, limit):
+    sizes = np.array(sorted(histogram))
+    counts = np.array([histogram[int(s)] for s in sizes], np.int64)
+    used, bound = packing.fractional(sizes, counts, limit)
+    assert bound >= (sizes * counts).sum() / limit - 1e-6
+    cover = np.zeros(len(sizes))
+    for key, amount in used.items():
+        assert sum(int(sizes[at]) * n for at, n in key) <= limit and amount > 0
+        for at, n in key:
+            cover[at] += amount * n
+    assert (cover >= counts * (1 - 1e-9)).all()
+    made = packing.plan(histogram, limit)
+    assert covered(made) == Counter(histogram)
+    assert bound - 1e-6 <= packing.sequences_of(made) <= 1.01 * bound + 1
+
+
+def fewest(items, limit):
+    """By trying every place for every item."""
+    best = len(items)
+
+    def put(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(items):
+            best = len(rooms)
+            return
+        for k in {room: k for k, room in enumerate(rooms) if room >= items[at]}.values():
+            put(at + 1, [room - items[at] * (j == k) for j, room in enumerate(rooms)])
+        put(at + 1, [*rooms, limit - items[at]])
+
+    put(0, [])
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
+def test_bound_and_plan_against_all_packings(items):
+    histogram = Counter(items)
+    sizes = np.array(sorted(histogram))
+    counts = np.array([histogram[int(s)] for s in sizes], np.int64)
+    least = fewest(sorted(items, reverse=True), 20)
+    assert packing.fractional(sizes, counts, 20, 40)[1] <= least + 1e-6
+    assert least <= packing.sequences_of(packing.plan(histogram, 20, 40)) <= least + 1
