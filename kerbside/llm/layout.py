@@ -8,11 +8,13 @@ blocks by a line break, list items carry a bullet or their number and are
 indented by depth, cells of a table are padded to common columns, ``pre`` keeps
 its white space. Not visible: head, scripts, styles, templates, comments,
 elements with the attribute ``hidden`` or a style that declares ``display:none``
-or ``visibility:hidden``, and the parts of drawings and formulas that are not
+or ``visibility:hidden``, a ``dialog`` that is not open, and the parts of drawings and formulas that are not
 drawn (descriptions, definitions, annotations). Each ``text`` of a drawing is a line.
 
-Work is linear in the page. A column wider than ``ALIGNED`` is not padded, so
-that one long cell cannot blow up a table.
+Work and output are linear in the page: an open element is found by its places on
+the stack, a column wider than ``ALIGNED`` is not padded, blanks before a text are
+at most ``INDENT`` of lists and ``PADDING`` of cells, and tables more than ``NESTED``
+deep are rendered as blocks. Texts are always whole.
 
 Defined results: null and empty pages give an empty text; an unclosed comment,
 script or tag swallows the rest of the page, as in a browser; an unclosed quote
@@ -22,7 +24,8 @@ ends at the next ``>``. Equal pages give equal texts.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -34,6 +37,9 @@ from pyspark.sql import types as T
 from kerbside.llm import common
 
 ALIGNED = 40
+INDENT = 64
+PADDING = 240
+NESTED = 12
 BLANK = " \t\n\f\r"
 
 # Element names of the HTML standard.
@@ -47,7 +53,7 @@ UNDRAWN = frozenset("desc metadata defs symbol annotation annotation-xml".split(
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol menu dl table figure hr".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside nav header footer main address form fieldset legend details summary"
-    " li dt dd figcaption caption center dir option optgroup select textarea hgroup search".split()
+    " li dt dd figcaption caption center dir option optgroup select textarea hgroup search dialog".split()
 )
 LISTS = frozenset("ul ol menu dir".split())
 CELLS = frozenset("td th".split())
@@ -102,6 +108,10 @@ def _hides(attributes: str) -> bool:
     return False
 
 
+def _named(attributes: str, name: str) -> bool:
+    return any(match[1].lower() == name for match in ATTRIBUTE.finditer(attributes))
+
+
 class Flow:
     """Lines of one block container."""
 
@@ -133,9 +143,10 @@ class Flow:
 
     def end_line(self, forced: bool = False) -> None:
         if self.pieces or self.marker and not forced:
-            lead = " " * self.indent
+            indent = min(self.indent, INDENT)
+            lead = " " * indent
             if self.marker:
-                lead = " " * max(0, self.indent - len(self.marker) - 1) + self.marker + " " * bool(self.pieces)
+                lead = " " * max(0, indent - len(self.marker) - 1) + self.marker + " " * bool(self.pieces)
             self._put(lead + "".join(self.pieces))
             self.pieces, self.marker = [], ""
         elif forced and self.lines:
@@ -154,7 +165,7 @@ class Flow:
                 self.pieces = [line]
                 self.end_line()
             else:
-                self._put(" " * self.indent + line if line else line)
+                self._put(" " * min(self.indent, INDENT) + line if line else line)
 
     def finish(self) -> list[str]:
         self.end_line()
@@ -180,15 +191,25 @@ class Table:
                 if columns == 1 and wide <= ALIGNED:
                     widths[at] = max(widths[at], wide)
                 at += columns
+        places = sorted(widths)
+        upto = [0]
+        for place in places:
+            upto.append(upto[-1] + widths[place])
         out = []
         for row in self.rows:
-            for depth in range(max((len(lines) for lines, _ in row), default=0)):
-                at, parts = 0, []
-                for lines, columns in row:
-                    room = sum(widths[at + k] for k in range(columns)) + 2 * (columns - 1)
-                    parts.append((lines[depth] if depth < len(lines) else "").ljust(room))
-                    at += columns
-                out.append("  ".join(parts).rstrip())
+            # texts by line; what is before a text are the blanks of the cells since the last one
+            texts: list[list[str]] = [[] for _ in range(max((len(lines) for lines, _ in row), default=0))]
+            written = [0] * len(texts)
+            at = begin = 0
+            for lines, columns in row:
+                room = upto[bisect_left(places, at + columns)] - upto[bisect_left(places, at)] + 2 * (columns - 1)
+                for depth, line in enumerate(lines):
+                    if line:
+                        texts[depth].append(" " * min(begin - written[depth], PADDING) + line)
+                        written[depth] = begin + min(len(line), room)
+                at += columns
+                begin += room + 2
+            out.extend("".join(parts).rstrip() for parts in texts)
         return out
 
 
@@ -197,7 +218,8 @@ class Builder:
 
     def __init__(self) -> None:
         self.stack: list[str] = []
-        self.open: Counter[str] = Counter()
+        self.open: defaultdict[str, list[int]] = defaultdict(list)  # places on the stack
+        self.flat = 0  # open tables that are rendered as blocks
         self.unseen = 0
         self.hides: list[bool] = []
         self.flows = [Flow()]
@@ -239,7 +261,7 @@ class Builder:
         foreign = self.open["svg"] or self.open["math"]
         if foreign and attributes.endswith("/"):  # no content
             return
-        hidden = tag in UNSEEN or foreign and tag in UNDRAWN or bool(attributes) and _hides(attributes)
+        hidden = tag in UNSEEN or foreign and tag in UNDRAWN or bool(attributes) and _hides(attributes) or tag == "dialog" and not _named(attributes, "open")
         if tag in VOID:
             if not self.unseen and not hidden and tag in ("br", "hr"):
                 flow = self.flows[-1]
@@ -250,8 +272,8 @@ class Builder:
             return
         if not hidden and tag not in BLOCKS and tag not in TABLE_TAGS and tag not in RAW and tag not in FOREIGN and tag != "button" and not (foreign and tag == "text"):
             return  # other inline elements change nothing
+        self.open[tag].append(len(self.stack))
         self.stack.append(tag)
-        self.open[tag] += 1
         self.hides.append(hidden)
         self.unseen += hidden
         if not self.unseen:
@@ -259,18 +281,22 @@ class Builder:
 
     def inside(self, tag: str) -> bool:
         """Whether ``tag`` is open in the current table."""
-        for name in reversed(self.stack):
-            if name == tag:
-                return True
-            if name == "table":
-                return False
-        return False
+        return self.last(tag) > self.last("table")
+
+    def last(self, *tags: str) -> int:
+        """The highest place on the stack of any of the tags, or -1."""
+        return max(self.open[tag][-1] if self.open[tag] else -1 for tag in tags)
 
     def enter(self, tag: str, attributes: str) -> None:
         flow = self.flows[-1]
-        if tag == "table":
+        if tag == "table" and len(self.tables) < NESTED:
             flow.block(2)
             self.tables.append(Table())
+        elif tag == "table":
+            flow.block(2)
+            self.flat += 1
+        elif self.flat and tag in TABLE_TAGS:
+            flow.block(1)
         elif tag == "tr" and self.tables:
             self.tables[-1].row()
         elif tag in CELLS and self.tables:
@@ -298,7 +324,10 @@ class Builder:
 
     def leave(self, tag: str) -> None:
         flow = self.flows[-1]
-        if tag == "table":
+        if self.flat and tag in TABLE_TAGS:
+            flow.block(1)
+            self.flat -= tag == "table"
+        elif tag == "table":
             if self.tables:
                 lines = self.tables.pop().render()
                 self.flows[-1].verbatim(lines)
@@ -322,21 +351,23 @@ class Builder:
 
     def pop(self) -> None:
         tag = self.stack.pop()
-        self.open[tag] -= 1
+        self.open[tag].pop()
         if not self.unseen:
             self.leave(tag)
         self.unseen -= self.hides.pop()
 
     def imply(self, ended: frozenset[str], shield: frozenset[str]) -> None:
-        if not any(self.open[tag] for tag in ended):
-            return
-        lowest = None
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at] in ended:
-                lowest = at
-            elif self.stack[at] in shield:
-                break
-        while lowest is not None and len(self.stack) > lowest:
+        above = self.last(*shield)
+        lowest = len(self.stack)
+        for tag in ended:
+            places = self.open[tag]
+            at = bisect_right(places, above)
+            if at < len(places):
+                lowest = min(lowest, places[at])
+        self.close(lowest)
+
+    def close(self, place: int) -> None:
+        while len(self.stack) > place:
             self.pop()
 
     def end(self, tag: str) -> None:
@@ -346,13 +377,9 @@ class Builder:
             elif tag == "br":
                 self.start("br", "")
             return
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at] == tag:
-                while len(self.stack) > at:
-                    self.pop()
-                return
-            if self.stack[at] in CELLS and tag not in TABLE_TAGS or self.stack[at] == "table":
-                return
+        place = self.last(tag)
+        if place >= self.last("table", *(() if tag in TABLE_TAGS else CELLS)):
+            self.close(place)
 
     def finish(self) -> str:
         while self.stack:

@@ -1,6 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from kerbside.llm import layout
 from kerbside.llm.layout import render, visible_text
 
 
@@ -96,3 +97,103 @@ def test_query_columns(spark):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<p>a", "t"), (3, "<p>a", "t")]
     frame = spark.createDataFrame(rows, "page_id long, html string, text string")
     assert [r[0] for r in frame.orderBy("page_id").select(visible_text("html")).collect()] == ["", "", "a", "a"]
+
+
+class Walking(layout.Builder):
+    """Finds open elements by walking the stack from its top."""
+
+    def inside(self, tag):
+        for name in reversed(self.stack):
+            if name in (tag, "table"):
+                return name == tag
+        return False
+
+    def imply(self, ended, shield):
+        lowest = None
+        for at in reversed(range(len(self.stack))):
+            if self.stack[at] in shield:
+                break
+            if self.stack[at] in ended:
+                lowest = at
+        while lowest is not None and len(self.stack) > lowest:
+            self.pop()
+
+    def end(self, tag):
+        if tag not in self.stack:
+            return super().end(tag)
+        for at in reversed(range(len(self.stack))):
+            if self.stack[at] == tag:
+                while len(self.stack) > at:
+                    self.pop()
+                return
+            if self.stack[at] == "table" or self.stack[at] in layout.CELLS and tag not in layout.TABLE_TAGS:
+                return
+
+
+TAGS = "p div ul ol li dl dt dd table tr td th tbody caption pre select option b button svg text dialog".split()
+TOKENS = st.one_of(
+    st.sampled_from([f"<{tag}>" for tag in TAGS] + [f"</{tag}>" for tag in TAGS]),
+    st.sampled_from(["one ", "two words", "\n", "<br>", "<hr>", "<td colspan=3>", "<div hidden>", "<li value=7>"]),
+)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(TOKENS, max_size=60))
+def test_places_equal_walking_the_stack(tokens):
+    page = "".join(tokens)
+    found = render(page)
+    plain, layout.Builder = layout.Builder, Walking
+    try:
+        assert found == render(page)
+    finally:
+        layout.Builder = plain
+
+
+def plain_table(rows):
+    """Cells of one line, padded one by one."""
+    widths = {}
+    for row in rows:
+        for at, cell in enumerate(row):
+            if len(cell) <= layout.ALIGNED:
+                widths[at] = max(widths.get(at, 0), len(cell))
+    return [line for row in rows if any(row) for line in ["  ".join(cell.ljust(widths.get(at, 0)) for at, cell in enumerate(row)).rstrip()]]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["", "x", "four", "a longer cell", "w" * 50]), min_size=1, max_size=5), max_size=6))
+def test_tables_against_padding_one_by_one(rows):
+    page = "<table>" + "".join("<tr>" + "".join(f"<td>{cell}</td>" for cell in row) + "</tr>" for row in rows) + "</table>"
+    assert render(page) == "\n".join(plain_table(rows))
+
+
+def test_time_and_output_are_linear():
+    import time
+
+    def hostile(n):
+        return [
+            "<dl><dd>" + "<div>" * n + "<li>" * n,
+            "<ul><li>x" * n,
+            "<table><tr>" + "<td colspan=1000>x" * n,
+            "<table><tr><td>x" * n,
+            "<table><tr>" + "".join(f"<td>{'w' * 40}" for _ in range(n // 8)) + "<tr>" + "<td>" * (n // 8) + "x<br>" * n,
+            "<p>" * n + "</div>" * n + "<b>" * n,
+            "<td>" * n + "</li>" * n,
+        ]
+
+    for small, large in zip(hostile(4000), hostile(8000), strict=True):
+        took, sizes = [], []
+        for page in (small, large):
+            runs = []
+            for _ in range(3):
+                began = time.process_time()
+                text = render(page)
+                runs.append(time.process_time() - began)
+            took.append(min(runs))
+            sizes.append(len(text))
+            assert text.count("x") == page.count("x")
+        assert took[1] <= 3 * took[0] + 0.05, (small[:30], took)
+        assert sizes[1] <= 2.1 * sizes[0] + 1000 and sizes[1] <= 300 * len(large), (small[:30], sizes)
+
+
+def test_closed_dialogs_are_not_seen():
+    assert render("a<dialog>no</dialog><dialog open>yes</dialog><dialog class='open'>no</dialog>b") == "a\nyes\nb"
