@@ -186,6 +186,14 @@ def _source_row_ids(spark, folder):
     )
 
 
+def _source_rows_of_files(spark, folder):
+    """Row numbers over several files, a folder of events each."""
+    path = files.scratch_path(spark, "events")
+    events = frame(spark, folder, "events").selectExpr("event_id", "lpad(event_id % 13, 2, '0') AS part")
+    events.repartition(13, "part").sortWithinPartitions("part", "event_id").write.partitionBy("part").parquet(path)
+    return files.with_source_rows(spark, [path]).select("event_id", "source_row_number")
+
+
 def _to_jsonl(spark, folder):
     columns = ["trip_id", "pickup_datetime", "pickup_zone_id", "dropoff_zone_id", "trip_distance_miles", "passenger_count"]
     text = digests.canonical_json(columns)
@@ -235,6 +243,7 @@ QUERIES = {
     "run_checks": _run_checks,
     "contract_lineage": _contract_lineage,
     "source_row_ids": _source_row_ids,
+    "source_rows_of_files": _source_rows_of_files,
     "file_manifest": _file_manifest,
     "lineage_digest_check": _digest_check,
     "lineage_chain": _lineage_chain,
@@ -276,6 +285,7 @@ def _renamed(policy: str, name: str) -> str:
 
 ORACLES = {
     "source_row_ids": """SELECT event_id, row_number() OVER () - 1 AS source_row_number, 'yellow:2024-01:' || (row_number() OVER () - 1) AS trip_id FROM events""",
+    "source_rows_of_files": "SELECT event_id, row_number() OVER (ORDER BY event_id % 13, event_id) - 1 AS source_row_number FROM events",
     "to_jsonl": ctes("trips") + """ SELECT trip_id, true AS round_trip, sha256(concat_ws('|', trip_id, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f'),
   CAST(pickup_zone_id AS VARCHAR), coalesce(CAST(passenger_count AS VARCHAR), '?'))) AS fields_sha256, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%f') AS pickup_datetime,
   pickup_zone_id, dropoff_zone_id, trip_distance_miles, passenger_count FROM trips""",

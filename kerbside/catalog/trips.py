@@ -32,6 +32,13 @@ def _history(role, windows, means):
     return query
 
 
+def _drift_scores(spark, folder):
+    """Drift of the dimensions, of the target and of a prediction."""
+    scored = frame(spark, folder, "holdout")
+    old, recent = (scored.where(f"pickup_datetime {side} {clock.naive(DAY_AFTER)}") for side in ("<", ">="))
+    return rounded(distributions.drift_report(old, recent, 0.05, measures=["actual_duration_seconds", "rolling"]))
+
+
 def _range_pit(spark, folder):
     """The same operator between two different frames: page views against earlier purchases."""
     events = frame(spark, folder, "events")
@@ -229,6 +236,7 @@ QUERIES = {
             0.05,
         )
     ),
+    "drift_scores": _drift_scores,
 }
 
 _PICKUP_WINDOWS = """pickup_ledger AS (
@@ -394,5 +402,17 @@ SELECT trip_id, pickup_datetime, position, pick FROM placed JOIN picks USING (po
 SELECT dimension AS feature, snap(tvd) AS statistic, 0.05e0 AS threshold, tvd > 0.05 AS drifted,
   CASE WHEN count(*) FILTER (WHERE tvd > 0.05) OVER () >= 2 THEN 'retrain'
        WHEN count(*) FILTER (WHERE tvd > 0.05) OVER () > 0 THEN 'alert' ELSE 'none' END AS action FROM tvd""",
+    "drift_scores": f"""{ctes('holdout')}, old AS (SELECT * FROM holdout WHERE pickup_datetime < TIMESTAMP '2024-01-20'),
+ recent AS (SELECT * FROM holdout WHERE pickup_datetime >= TIMESTAMP '2024-01-20')
+ {_TVD.format('old', _PROFILE.format('recent'))},
+ measured AS (SELECT 'actual_duration_seconds' AS feature, CAST(actual_duration_seconds AS DOUBLE) AS value, pickup_datetime < TIMESTAMP '2024-01-20' AS before FROM holdout
+   UNION ALL SELECT 'rolling', rolling, pickup_datetime < TIMESTAMP '2024-01-20' FROM holdout),
+ counted AS (SELECT feature, value, count(*) FILTER (WHERE before) AS p, count(*) FILTER (WHERE NOT before) AS q FROM measured GROUP BY feature, value),
+ gaps AS (SELECT feature, abs(sum(p) OVER w / CAST(sum(p) OVER (PARTITION BY feature) AS DOUBLE) - sum(q) OVER w / CAST(sum(q) OVER (PARTITION BY feature) AS DOUBLE)) AS gap
+   FROM counted WINDOW w AS (PARTITION BY feature ORDER BY value)),
+ judged AS (SELECT dimension AS feature, tvd AS statistic FROM tvd UNION ALL SELECT feature, max(gap) FROM gaps GROUP BY feature)
+SELECT feature, snap(statistic) AS statistic, 0.05e0 AS threshold, statistic > 0.05 AS drifted,
+  CASE WHEN count(*) FILTER (WHERE statistic > 0.05) OVER () >= 2 THEN 'retrain'
+       WHEN count(*) FILTER (WHERE statistic > 0.05) OVER () > 0 THEN 'alert' ELSE 'none' END AS action FROM judged""",
 }
 ORACLES = {name: snapped(sql) for name, sql in ORACLES.items()}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import clock
+from kerbside.operators.ranking import running_totals
 
 # --- fixed values: profile dimensions and distance edges ---
 DIMENSIONS = ("pickup_hour_of_week", "pickup_zone", "dropoff_zone", "distance", "passengers")
@@ -93,17 +96,51 @@ def histogram_distances(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def cumulative_distances(left: DataFrame, right: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance per measure: the largest gap between its cumulative shares.
+
+    Exact, over the distinct values of both sides: their counts are sorted by
+    range and summed up across partitions. NULLs are left out; NaN is the
+    largest value. A measure without values on one side has a NULL distance,
+    one without any has no row.
+    """
+    values = ", ".join(f"struct('{name}' AS feature, CAST({name} AS DOUBLE) AS value)" for name in measures)
+    both = left.selectExpr(f"inline(array({values}))", "1L AS _p", "0L AS _q").unionByName(
+        right.selectExpr(f"inline(array({values}))", "0L AS _p", "1L AS _q")
+    )
+    counts = both.where("value IS NOT NULL").groupBy("feature", "value").agg(F.expr("sum(_p) AS _p"), F.expr("sum(_q) AS _q"))
+    placed = running_totals(counts, ["feature", "value"], ["_p", "_q"])
+    totals = placed.groupBy("feature").agg(
+        *[F.expr(text) for side in ("_p", "_q") for text in (f"sum({side}) AS {side}_all", f"min({side}_before) AS {side}_first")]
+    )
+    shares = [f"({side}_before - {side}_first + {side}) / nullif({side}_all, 0)" for side in ("_p", "_q")]
+    return (
+        placed.join(F.broadcast(totals), "feature")  # one row per measure
+        .groupBy("feature")
+        .agg(F.expr(f"max(abs({shares[0]} - {shares[1]})) AS cumulative_distance"))
+    )
+
+
 def drift_report(
-    reference: DataFrame, recent: DataFrame, threshold: float, retrain_at: int = 2
+    reference: DataFrame, recent: DataFrame, threshold: float, retrain_at: int = 2, measures: Sequence[str] = ()
 ) -> DataFrame:
-    """Distance per dimension against a threshold, and what the whole report asks for."""
-    judged = histogram_distances(
+    """Distance per dimension against a threshold, and what the whole report asks for.
+
+    ``measures`` are columns of numbers, such as a target and its prediction,
+    judged by the distance of their cumulative distributions. A measure without
+    a distance has not drifted.
+    """
+    distances = histogram_distances(
         marginal_histograms(reference), marginal_histograms(recent)
-    ).selectExpr(
-        "dimension AS feature",
-        "total_variation_distance AS statistic",
+    ).selectExpr("dimension AS feature", "total_variation_distance AS statistic")
+    if measures:
+        distances = distances.unionByName(
+            cumulative_distances(reference, recent, measures).withColumnRenamed("cumulative_distance", "statistic")
+        )
+    judged = distances.selectExpr(
+        "*",
         f"{float(threshold)!r}D AS threshold",
-        f"total_variation_distance > {float(threshold)!r}D AS drifted",
+        f"coalesce(statistic > {float(threshold)!r}D, false) AS drifted",
     )
     drifted = "count_if(drifted) OVER ()"
     return judged.selectExpr(

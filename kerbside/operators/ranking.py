@@ -135,6 +135,23 @@ def with_positions(frame: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
+def running_totals(frame: DataFrame, order_by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``frame`` with ``<value>_before``: the sum of a whole-number column over all rows before, in a total order.
+
+    Sums are taken inside the partitions of a range-partitioned sort, kept in a
+    reliable checkpoint, and over one total per partition; no task sees all rows.
+    """
+    saved = reliable_checkpoint(frame.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()))
+    parted = saved.selectExpr("*", "shiftright(_place, 33) AS _part")
+    totals = parted.groupBy("_part").agg(*[F.expr(f"sum({name}) AS `_all_{name}`") for name in values])
+    offsets = totals.selectExpr("_part", *[f"sum(`_all_{name}`) OVER (ORDER BY _part) - `_all_{name}` AS `_offset_{name}`" for name in values])
+    within = "OVER (PARTITION BY _part ORDER BY _place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    summed = parted.selectExpr("*", *[f"coalesce(sum({name}) {within}, 0L) AS `_within_{name}`" for name in values])
+    return summed.join(F.broadcast(offsets), "_part").selectExpr(
+        *frame.columns, *[f"`_offset_{name}` + `_within_{name}` AS `{name}_before`" for name in values]
+    )
+
+
 def even_sample(frame: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
     """``rows`` evenly spaced rows from first to last in the given order, or all if fewer.
 

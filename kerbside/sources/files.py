@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbside.errors import DataContractError
 from kerbside.operators.contracts import validate_contract
+from kerbside.operators.ranking import running_totals
 from kerbside.session import shared_folder
 
 # --- fixed values ---
@@ -33,7 +34,8 @@ def with_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     The reader numbers the rows of each file without a shuffle. With several
     files, in path order, each starts where the one before ended; counting
-    them reads no data column, and the list has one row per file.
+    them reads no data column, and what files hold before each other is a
+    running total over partitions of the list.
     """
     read = spark.read.parquet(*paths)
     if len(read.inputFiles()) <= 1:
@@ -42,12 +44,12 @@ def with_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         read.selectExpr("_metadata.file_path AS _file")
         .groupBy("_file")
         .agg(F.expr("count(1) AS _rows"))
-        .selectExpr("_file", "sum(_rows) OVER (ORDER BY _file) - _rows AS _first")
     )
+    first = running_totals(files, ["_file"], ["_rows"])
     placed = read.selectExpr("*", "_metadata.file_path AS _file", "_metadata.row_index AS _row")
     # Spark broadcasts the list if it is small.
-    return placed.join(files, "_file").selectExpr(
-        *read.columns, "_first + _row AS source_row_number"
+    return placed.join(first, "_file").selectExpr(
+        *read.columns, "_rows_before + _row AS source_row_number"
     )
 
 
