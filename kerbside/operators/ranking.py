@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.functions import digests
 from kerbside.session import reliable_checkpoint
@@ -15,6 +16,8 @@ LEAST_EXPONENT, MOST_EXPONENT, FRACTION = -1022, 1023, 1 << 52
 INFINITE_KEY = 2047 * FRACTION
 # --- end of fixed values ---
 
+RANGES = 1 << 16
+
 
 def ordered_keys(frame: DataFrame, value: str) -> DataFrame:
     """``frame`` with ``_k``, 64-bit keys that order like a double column: the bits of its absolute value, with its sign.
@@ -152,16 +155,65 @@ def running_totals(frame: DataFrame, order_by: Sequence[str], values: Sequence[s
     )
 
 
+def range_number(kind: T.DataType, column: str) -> str | None:
+    """A double that never falls where the column rises, or None where there is none."""
+    if isinstance(kind, T.NumericType):
+        return f"CAST({column} AS DOUBLE)"
+    if isinstance(kind, T.TimestampType):
+        return f"CAST(unix_micros({column}) AS DOUBLE)"
+    day = f"unix_date(CAST({column} AS DATE)) * 86400D"
+    if isinstance(kind, T.DateType):
+        return day
+    if isinstance(kind, T.TimestampNTZType):
+        return f"{day} + hour({column}) * 3600D + minute({column}) * 60D + CAST(second({column}) AS DOUBLE)"
+    return None
+
+
+def near_picks(keys: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
+    """The keys that can be evenly spaced picks, with ``position`` among all keys and ``total_rows``.
+
+    Counts in at most ``RANGES`` + 1 ranges of the first key tell which ranges
+    hold a pick. Only their keys are sorted, over partitions of the whole key,
+    so that a first key which many rows share is split. Keys of a kind without
+    ranges (text) are sorted whole.
+    """
+    number = range_number(keys.schema[order_by[0]].dataType, order_by[0])
+    if number is None:
+        return with_positions(keys, order_by)
+    finite = "_n > double('-infinity') AND _n < double('infinity')"
+    ends = keys.selectExpr(f"{number} AS _n").agg(
+        F.expr(f"min(CASE WHEN {finite} THEN _n END) AS low"), F.expr(f"max(CASE WHEN {finite} THEN _n END) AS high")
+    ).first()
+    low, high = ends["low"] or 0.0, ends["high"] or 0.0
+    # NULLs sort first; NaN is the greatest number, so it ends in the last range with infinity
+    share = f"(_n - ({low!r}D)) / ({(high - low) or 1.0!r}D)" if high - low < float("inf") else "0D"
+    ranged = keys.selectExpr("*", f"{number} AS _n").selectExpr(
+        *order_by, f"CASE WHEN _n IS NULL THEN -1 ELSE CAST(floor(least(greatest({share}, 0D), 1D) * {RANGES - 1}) AS INT) END AS _range"
+    )
+    counts = ranged.groupBy("_range").agg(F.expr("count(1) AS _rows"))
+    placed = counts.selectExpr(
+        "*", "sum(_rows) OVER (ORDER BY _range) - _rows AS _before", "sum(_rows) OVER () AS _total"
+    ).selectExpr("*", f"least({rows}, _total) AS _picks")
+    first = "(_before * (_picks - 1) + _total - 2) div (_total - 1)"  # the first pick not before the range
+    holds = (
+        "CASE WHEN _picks < 2 OR _total < 2 THEN _before = 0"
+        f" ELSE {first} < _picks AND ({first} * (_total - 1)) div (_picks - 1) < _before + _rows END"
+    )
+    near = placed.where(holds).selectExpr("_range", "_total", "_before - (sum(_rows) OVER (ORDER BY _range) - _rows) AS _shift")
+    kept = ranged.join(F.broadcast(near), "_range").drop("_range")
+    return with_positions(kept, order_by).selectExpr(*order_by, "position + _shift AS position", "_total AS total_rows")
+
+
 def even_sample(frame: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
     """``rows`` evenly spaced rows from first to last in the given order, or all if fewer.
 
     The i-th pick sits at floor(i * (total - 1) / (picks - 1)). A key knows from
     its position alone whether it is a pick. Only the columns in ``order_by``,
-    which must identify rows, are sorted; the picks, at most ``rows``, then find
-    their rows.
+    which must identify rows, are looked at, and only ranges of them that hold a
+    pick are sorted; the picks, at most ``rows``, then find their rows.
     """
     keys = frame.select(*order_by)
-    placed = with_positions(keys, order_by).selectExpr("*", f"least({rows}, total_rows) AS _picks")
+    placed = near_picks(keys, rows, order_by).selectExpr("*", f"least({rows}, total_rows) AS _picks")
     index = "CASE WHEN _picks < 2 OR total_rows < 2 THEN 0L ELSE CAST(ceil(position * (_picks - 1) / (total_rows - 1)) AS BIGINT) END"
     picks = (
         placed.selectExpr("*", f"{index} AS pick")
