@@ -12,6 +12,7 @@ from kerbside.streaming.replay import read_events, replay_events, write_events
 END = clock.naive(SPLIT)
 SLIDE = 900
 WAIT_SECONDS = 5400
+ERROR_SECONDS = 3600
 
 
 def _trip_stream(spark, folder):
@@ -145,16 +146,24 @@ def _stream_dedup(spark, folder):
     return jobs.drain(joins.without_duplicates(events, "event_id", "ts"))[0].select("event_id", "ts")
 
 
-def _stream_truth(spark, folder):
-    trips = _trip_stream(spark, folder)
-    predictions = trips.selectExpr(
+def _served(spark, folder):
+    """Streams of served predictions and of completions, of which some never come."""
+    predictions = _trip_stream(spark, folder).selectExpr(
         "'p:' || source_row_number AS prediction_id", "trip_id", "pickup_datetime AS served_at",
         "actual_duration_seconds * 0.9e0 + source_row_number % 200 AS estimated_duration_seconds",
     )
     completed = _trip_stream(spark, folder).where("source_row_number % 17 <> 0").selectExpr(
         "trip_id", "dropoff_datetime AS event_time", "actual_duration_seconds"
     )
-    return jobs.drain(joins.stream_ground_truth(predictions, completed, WAIT_SECONDS))[0]
+    return predictions, completed
+
+
+def _stream_truth(spark, folder):
+    return rounded(jobs.drain(joins.stream_ground_truth(*_served(spark, folder), WAIT_SECONDS))[0])
+
+
+def _stream_live_error(spark, folder):
+    return rounded(jobs.drain(joins.stream_live_error(*_served(spark, folder), WAIT_SECONDS, ERROR_SECONDS))[0])
 
 
 QUERIES = {
@@ -170,6 +179,7 @@ QUERIES = {
     "stream_events": _stream_events,
     "stream_dedup": _stream_dedup,
     "stream_ground_truth": _stream_truth,
+    "stream_live_error": _stream_live_error,
 }
 
 _T = ctes("trips")
@@ -209,6 +219,14 @@ _STORE = ctes("trips", "requests") + f""", {_COMPLETIONS}, slots AS (SELECT zone
    FROM requests q LEFT JOIN store a ON a.r = 'pickup' AND a.k = '15m' AND a.z = q.pickup_zone_id
    LEFT JOIN store l ON l.r = 'pickup' AND l.k = '60m' AND l.z = q.pickup_zone_id
    LEFT JOIN store o ON o.r = 'dropoff' AND o.k = '60m' AND o.z = q.dropoff_zone_id) """
+# The wait of a prediction is over one millisecond after the watermark, the least of both streams.
+_SERVED = f"""{_T}, p AS (SELECT 'p:' || source_row_number AS prediction_id, trip_id, pickup_datetime AS served_at,
+   actual_duration_seconds * 0.9e0 + source_row_number % 200 AS estimate FROM trips),
+ c AS (SELECT trip_id, dropoff_datetime AS joined_at, actual_duration_seconds AS actual FROM trips WHERE source_row_number % 17 <> 0),
+ over AS (SELECT date_trunc('millisecond', least((SELECT max(served_at) FROM p), (SELECT max(joined_at) FROM c)))
+   - INTERVAL 300 SECONDS - INTERVAL {WAIT_SECONDS} SECONDS - INTERVAL 1 MILLISECOND AS until),
+ truths AS (SELECT p.*, c.actual, c.joined_at, c.trip_id IS NOT NULL AS joined, abs(estimate - actual) AS error, until
+   FROM p LEFT JOIN c ON p.trip_id = c.trip_id AND joined_at BETWEEN served_at AND served_at + INTERVAL {WAIT_SECONDS} SECONDS, over) """
 _SCORED = _STORE + """, chosen AS (SELECT *, outcome <> 'fresh' AS fallback, CASE WHEN outcome = 'fresh' THEN rolling_score ELSE static_score END AS score FROM looked) """
 
 ORACLES = {
@@ -237,6 +255,12 @@ SELECT event_id, batch, watermark, coalesce(ts < watermark, false) AS is_late FR
     "freshness": f"""{_WINDOWS} SELECT snap(quantile_disc((epoch_us(window_end + to_microseconds(zone_id * 250000)) - epoch_us(source_max_event_time)) / 1e6, 0.95)) AS p95 FROM w""",
     "feature_parity": f"""{_WINDOWS} SELECT zone_role, window_kind, count(*) AS compared, CAST(0 AS BIGINT) AS mismatched, 0e0 AS mismatch_rate, 0e0 AS max_abs_difference
   FROM closed GROUP BY ALL""",
+    "stream_ground_truth": f"""{_SERVED} SELECT prediction_id, trip_id, served_at, snap(estimate) AS estimated_duration_seconds, actual AS actual_duration_seconds,
+  snap(error) AS absolute_error_seconds, joined_at, joined FROM truths WHERE joined OR served_at <= until""",
+    "stream_live_error": f"""{_SERVED} SELECT make_timestamp(epoch_us(served_at) // {ERROR_SECONDS * 1_000_000} * {ERROR_SECONDS * 1_000_000}) AS window_start,
+  count(*) AS predictions, count(*) FILTER (WHERE joined) AS joined_predictions, snap(count(*) FILTER (WHERE joined) / count(*)) AS coverage,
+  snap(avg(error)) AS mae_seconds, snap(avg((epoch_us(joined_at) - epoch_us(served_at)) / 1e6)) AS mean_join_latency_seconds
+  FROM truths GROUP BY 1, until HAVING make_timestamp((epoch_us(min(served_at)) // {ERROR_SECONDS * 1_000_000} + 1) * {ERROR_SECONDS * 1_000_000}) <= until""",
     "stream_dedup": "SELECT event_id, ts FROM events",
     "stream_events": f"""{_T} SELECT 'trip.started' AS event_kind, trip_id, pickup_datetime AS event_time, true AS is_valid FROM trips
   UNION ALL SELECT 'trip.completed', trip_id, dropoff_datetime, true FROM trips""",

@@ -6,6 +6,7 @@ import pytest
 
 from kerbside import schemas
 from kerbside.errors import PublishConflict
+from kerbside.operators import delivery
 from kerbside.streaming import jobs, joins, windows
 
 START = datetime(2024, 1, 5)
@@ -143,3 +144,40 @@ def test_unmatched_predictions_come_out_after_the_wait(spark, tmp_path):
     rows, _ = jobs.drain(joins.stream_ground_truth(predictions, completed, 3600))
     got = {r.trip_id: (r.joined, r.absolute_error_seconds) for r in rows.collect()}
     assert got == {"t0": (True, 10.0), "t1": (False, None), "t2": (True, 10.0)}
+
+
+def served(spark, folder, source=None):
+    """Predictions and completions of a folder of trips, one completion of seven lost."""
+    rows = source or feed(spark, folder)
+    predictions = rows.selectExpr(
+        "concat('p', trip_id) AS prediction_id", "trip_id", "pickup_datetime AS served_at", "50D + source_row_number AS estimated_duration_seconds"
+    )
+    completed = rows.where("source_row_number % 7 <> 3").selectExpr("trip_id", "dropoff_datetime AS event_time", "actual_duration_seconds")
+    return predictions, completed
+
+
+def test_live_error_equals_its_batch_over_restarts(spark, tmp_path):
+    folder, out, check = (str(tmp_path / name) for name in ("in", "out", "check"))
+    for first, minutes in ((0, range(0, 90, 2)), (500, range(90, 200, 2)), (900, range(200, 330, 2))):
+        trips(spark, minutes, first).coalesce(1).write.mode("append").parquet(folder)
+        stream = joins.stream_live_error(*served(spark, folder), 1800, 600)
+        got, _ = jobs.drain(stream, out, check)
+    batch = delivery.live_error(delivery.ground_truth(*served(spark, folder, spark.read.parquet(folder)), 1800), 600)
+    newest = START + timedelta(minutes=328)
+    over = newest - timedelta(seconds=300 + 1800)
+    expected = batch.where(f"window_start + INTERVAL 600 SECONDS < TIMESTAMP_NTZ'{over}'")
+    rows = sorted(map(str, got.collect()))
+    assert rows == sorted(map(str, expected.collect())) and len(rows) == 29
+    assert 0 < got.agg({"coverage": "min"}).first()[0] < got.agg({"coverage": "max"}).first()[0] <= 1
+
+
+def test_live_error_waits_for_the_last_completion_of_a_window(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    # The window is long over, but the wait of its prediction is not.
+    trips(spark, [0, 40]).coalesce(1).write.mode("append").parquet(folder)
+    assert jobs.drain(joins.stream_live_error(*served(spark, folder), 3600, 600))[0].count() == 0
+    trips(spark, [120], first=9).coalesce(1).write.mode("append").parquet(folder)
+    rows = jobs.drain(joins.stream_live_error(*served(spark, folder), 3600, 600))[0].orderBy("window_start").collect()
+    assert [(r.window_start, r.predictions, r.joined_predictions) for r in rows] == [
+        (START, 1, 1), (START + timedelta(minutes=40), 1, 1)
+    ]
