@@ -22,7 +22,8 @@ def _counts(spark, folder, policy=ALLOW):
 
 
 def _rule_masks(spark, folder):
-    return _masked(spark, folder).select(
+    masked = quality.rule_masks(frame(spark, folder, "unreal_trips"), MONTH, ALLOW)
+    return masked.select(
         "source_row_number", *[f"passes_{rule}" for rule in quality.RULES], "row_valid"
     )
 
@@ -224,7 +225,7 @@ def _jsonl_requests(spark, folder):
     )
     path = files.scratch_path(spark, "requests")
     lines.write.text(path)
-    return files.read_requests(spark, path).selectExpr(
+    return files.read_requests(spark, path, max_rows=None).selectExpr(
         "is_valid", "CASE WHEN is_valid THEN trip_id END AS trip_id",
         "CASE WHEN is_valid THEN pickup_zone_id END AS pickup_zone_id", "CASE WHEN is_valid THEN passenger_count END AS passenger_count",
     )
@@ -252,7 +253,7 @@ QUERIES = {
 }
 
 
-def _masks(policy: str) -> str:
+def _masks(policy: str, source: str = "raw_trips") -> str:
     passenger = "" if policy == ALLOW else " AND passenger_count IS NOT NULL"
     return f"""masked AS (SELECT *, {' AND '.join('passes_' + rule for rule in quality.RULES)} AS row_valid FROM (SELECT *,
   tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL AND trip_distance IS NOT NULL
@@ -266,7 +267,7 @@ def _masks(policy: str) -> str:
   coalesce(NOT isnan(fare_amount) AND fare_amount >= 0, true) AS passes_non_negative_fare,
   coalesce(tpep_pickup_datetime >= TIMESTAMP '2024-01-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'
     AND tpep_dropoff_datetime >= TIMESTAMP '2024-01-01' AND tpep_dropoff_datetime < TIMESTAMP '2024-02-01', true) AS passes_timestamps_in_partition
-  FROM raw_trips))"""
+  FROM {source}))"""
 
 
 _RAW = ctes("raw_trips")
@@ -294,7 +295,7 @@ SELECT v.is_valid, CASE WHEN v.is_valid THEN 'e:' || e.event_id END AS trip_id,
   CASE WHEN v.is_valid THEN CAST(user_id % 20 + 1 AS INTEGER) END AS pickup_zone_id,
   CASE WHEN v.is_valid AND e.event_id % 11 <> 0 THEN CAST(e.event_id % 10 AS INTEGER) END AS passenger_count
 FROM valid v JOIN events e ON v.event_id = e.event_id""",
-    "rule_masks": f"{_M} SELECT source_row_number, {', '.join('passes_' + r for r in _RULES)}, row_valid FROM masked",
+    "rule_masks": f"{ctes('unreal_trips')}, {_masks(ALLOW, 'unreal_trips')} SELECT source_row_number, {', '.join('passes_' + r for r in _RULES)}, row_valid FROM masked",
     "valid_split": f"""{_RAW}, {_renamed('required', 'strict')}, {_renamed(ALLOW, 'lenient')}
 SELECT 'required' AS policy, row_valid, count(*) AS rows, CAST(sum(source_row_number) AS BIGINT) AS row_number_sum FROM strict GROUP BY row_valid
 UNION ALL SELECT 'allow_unknown', row_valid, count(*), CAST(sum(source_row_number) AS BIGINT) FROM lenient GROUP BY row_valid""",

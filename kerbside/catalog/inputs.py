@@ -66,21 +66,42 @@ def _definitions(d: Dialect) -> dict[str, tuple[str, list[str], str | None]]:
         ],
         None,
     )
+    # Rows that break each rule, lack each field, or belong to another month.
+    moved = "CASE WHEN event_id % 353 = 0 THEN ts - INTERVAL 40 DAYS ELSE ts END"
     definitions["raw_trips"] = (
         "events",
         [
-            "ts AS tpep_pickup_datetime",
-            f"CASE WHEN event_id % 79 = 0 THEN ts ELSE {d.later('ts', SECONDS)} END AS tpep_dropoff_datetime",
+            f"CASE WHEN event_id % 307 = 0 THEN NULL ELSE {moved} END AS tpep_pickup_datetime",
+            f"CASE WHEN event_id % 311 = 0 THEN NULL WHEN event_id % 79 = 0 THEN {moved}"
+            f" ELSE {d.later(f'({moved})', SECONDS)} END AS tpep_dropoff_datetime",
             "CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 73 = 0 THEN 1.5e0"
             " ELSE CAST(event_id % 10 AS DOUBLE) END AS passenger_count",
-            "CASE WHEN event_id % 89 = 0 THEN 101e0 ELSE value / 10e0 END AS trip_distance",
-            "CASE WHEN event_id % 97 = 0 THEN CAST(0 AS BIGINT) ELSE user_id % 20 + 1 END AS PULocationID",
-            "event_id * 31 % 20 + 1 AS DOLocationID",
-            "CASE WHEN event_id % 83 = 0 THEN -1e0 ELSE value END AS fare_amount",
+            "CASE WHEN event_id % 313 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 101e0 ELSE value / 10e0 END AS trip_distance",
+            "CASE WHEN event_id % 317 = 0 THEN NULL WHEN event_id % 97 = 0 THEN CAST(0 AS BIGINT)"
+            " ELSE user_id % 20 + 1 END AS PULocationID",
+            "CASE WHEN event_id % 331 = 0 THEN NULL WHEN event_id % 337 = 0 THEN CAST(0 AS BIGINT)"
+            " WHEN event_id % 347 = 0 THEN CAST(266 AS BIGINT) ELSE event_id * 31 % 20 + 1 END AS DOLocationID",
+            "CASE WHEN event_id % 359 = 0 THEN NULL WHEN event_id % 83 = 0 THEN -1e0 ELSE value END AS fare_amount",
             "event_id AS source_row_number",
         ],
         None,
     )
+    # The same with numbers that are none.
+    definitions["unreal_trips"] = (
+        "raw_trips",
+        [
+            "tpep_pickup_datetime",
+            "tpep_dropoff_datetime",
+            "CASE WHEN source_row_number % 367 = 0 THEN CAST('NaN' AS DOUBLE) ELSE passenger_count END AS passenger_count",
+            "CASE WHEN source_row_number % 373 = 0 THEN CAST('NaN' AS DOUBLE) ELSE trip_distance END AS trip_distance",
+            "PULocationID",
+            "DOLocationID",
+            "CASE WHEN source_row_number % 349 = 0 THEN CAST('NaN' AS DOUBLE)"
+            " WHEN source_row_number % 379 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE fare_amount END AS fare_amount",
+            "source_row_number",
+        ],
+        None,
+    )
     definitions["holdout"] = (
         "events",
         [

@@ -133,19 +133,18 @@ def verify_manifest(claimed: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def read_requests(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
+def read_requests(spark: SparkSession, path: str, max_rows: int | None = MAX_REQUESTS) -> DataFrame:
     """Request lines as validated rows, blank lines skipped.
 
-    With ``max_rows`` the number of lines is checked first: there must be
-    at least one and no more than the bound.
+    The lines are counted first, no further than needed: there must be at least
+    one and no more than ``max_rows``; None is no upper bound.
     """
     lines = spark.read.text(path).where("trim(value) <> ''").withColumnRenamed("value", "payload")
-    if max_rows is not None:
-        count = lines.limit(max_rows + 1).count()
-        if count == 0:
-            raise DataContractError("no requests in the fixture")
-        if count > max_rows:
-            raise DataContractError(f"more than {max_rows} requests in the fixture")
+    count = lines.limit((max_rows or 0) + 1).count()
+    if count == 0:
+        raise DataContractError("no requests in the fixture")
+    if max_rows is not None and count > max_rows:
+        raise DataContractError(f"more than {max_rows} requests in the fixture")
     return validate_contract(lines, "eta-request")
 
 
