@@ -106,3 +106,49 @@ def test_near_duplicates_equal_brute_force(spark):
     for a in range(len(texts)):
         others = {t for t in texts if t != texts[a] and plain_set(t) and jaccard(t, texts[a]) >= 0.8}
         assert out[a]["n_links"] == len(others)
+
+
+def groups(texts):
+    """The least place reachable from each text by equality or similarity."""
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if texts[a] == texts[b] or (plain_set(texts[a]) and plain_set(texts[b]) and jaccard(texts[a], texts[b]) >= 0.8):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize(("width", "light"), [(7, 1 << 22), (1, 0)])
+def test_classes_equal_brute_force(spark, monkeypatch, width, light):
+    # Bands of one coordinate are shared by texts that are not alike, so the least of a band seldom is.
+    monkeypatch.setattr(minhash, "WIDTH", width)
+    monkeypatch.setattr(minhash, "LIGHT", light)
+    make = random.Random(11)
+    texts = [prose(make, 120) for _ in range(8)]
+    for text in texts[:6]:
+        for _ in range(5):
+            words = text.split(" ")
+            for _ in range(make.randrange(0, 5)):
+                words[make.randrange(len(words))] = f"new{make.randrange(9)}"
+            texts.append(" ".join(words))
+    common_half = prose(make, 70)
+    texts += [f"{common_half} {prose(make, 50)}" for _ in range(5)]
+    texts += [texts[0], "", "", " ", "short one", "short one", None]
+    frame = spark.createDataFrame([(i, t, "r", 1) for i, t in enumerate(texts)], "doc_id long, text string, copy string, class_id int")
+    expected = groups([t or "" for t in texts])
+    moved = {r["id"]: r["class_id"] for r in minhash.classes(frame).collect()}
+    assert [moved.get(i, i) for i in range(len(texts))] == expected
+    walked = minhash.neighbours(frame, marks=minhash.classes(frame)).mapInArrow(minhash._compare, minhash.COMPARED).collect()
+    assert {r["doc_id"]: r["class_id"] for r in walked} == dict(enumerate(expected))
+    assert len(set(expected)) < len(texts) - 20
+
+
+def test_classes_without_ids_repeats_and_empty(spark):
+    def run(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        out = minhash.neighbours(frame, marks=minhash.classes(frame)).mapInArrow(minhash._compare, minhash.COMPARED).collect()
+        return sorted((r["doc_id"] or -1, r["class_id"] or -1) for r in out)
+
+    assert run([(1, "a"), (1, "a"), (1, "b"), (2, "b"), (None, "b"), (None, "c"), (3, "a")]) == [(-1, -1), (-1, 1), (1, 1), (1, 1), (1, 1), (2, 1), (3, 1)]
+    assert run([]) == []
