@@ -9,7 +9,10 @@ coordinates estimates the Jaccard similarity of the shingle sets.
 ``classes`` joins signature bands in Spark and verifies the Jaccard similarity
 of the texts that meet: first of each text with the hub of its band, the text
 whose bands are shared most, then of texts of a band that are not yet connected.
-Near copies of one text so cost rows and not pairs. Pairs whose signatures agree in less than ``FAR`` of the coordinates,
+Near copies of one text so cost rows and not pairs. Where more than ``MANY`` texts
+of a band are not all connected, as with a passage that many different texts share,
+they meet by shingles instead: a prefix join, rarest shingles first with a filter by
+place, finds every similar pair among them, again by the hub of a shingle first. Pairs whose signatures agree in less than ``FAR`` of the coordinates,
 over four standard deviations under ``SIMILAR``, are not compared. Bands of
 ``WIDTH`` coordinates miss a pair of similarity 0.8 with a chance of 1.5 %.
 ``near_duplicates`` counts every link as well, and so compares all pairs of a
@@ -33,7 +36,7 @@ from functools import cache, lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +49,9 @@ BANDS, ROWS = 25, 5
 SIMILAR = 0.8
 # Coordinates of a band of ``classes``, and the share of equal ones below which a pair is not compared.
 WIDTH, FAR = 7, 0.65
+# Texts of a band up to which all its open pairs are compared; those of others meet by rare shingles.
+MANY = 32
+SLACK = 1e-6  # of a filter in floating point, so that it drops no pair
 # Rows that may be broadcast; more are joined by a shuffle.
 LIGHT = 1 << 22
 # Documents in a run of consecutive ids, and runs at most.
@@ -174,6 +180,11 @@ def _set(packed: bytes) -> np.ndarray:
     return np.unique(shingles(*_joined([_unpacked(packed)]))[0])
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _shingle_set(packed: pa.Array) -> pa.Array:
+    return pa.array([_set(text.as_py()).view(np.int64) for text in packed], pa.list_(pa.int64()))
+
+
 @F.arrow_udf(T.DoubleType())
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     """The similarity of two texts by their whole shingle sets; one pair is held at a time."""
@@ -206,19 +217,71 @@ def _labelled(met: DataFrame, links: DataFrame) -> DataFrame:
     return met.join(roots(links).withColumnRenamed("node", "copy"), ["copy"], "left").withColumn("root", F.coalesce("root", "copy"))
 
 
-def _links(met: DataFrame, verified) -> DataFrame:
-    """Links that connect all similar texts among those that meet: ``met`` has key, copy and the hub of the key."""
-    stars = met.where("copy <> hub").select(F.least("hub", "copy").alias("u"), F.greatest("hub", "copy").alias("v")).distinct()
-    links = verified(stars)
-    labelled = _labelled(met.select("key", "copy"), links)
+def _open(met: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the keys whose texts are in several components: with their root, the largest one (``top``) and the number of texts."""
+    labelled = _labelled(met, links)
     sizes = labelled.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key")
-    largest = sizes.agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    several = common.stored(labelled.join(largest.select("key", F.col("top.root").alias("top")), ["key"]), "bands")
-    a, b = several.where("root <> top").alias("a"), several.alias("b")
-    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root"))
+    several = sizes.agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("parts"), F.sum("m").alias("texts")).where("parts > 1")
+    return common.stored(labelled.join(several.select("key", F.col("top.root").alias("top"), "texts"), ["key"]), "bands")
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
+
+def _apart(rows: DataFrame, alike: Column) -> DataFrame:
+    """Pairs of texts of a key that are in different components, those outside the largest with all of it."""
+    a, b = rows.where("root <> top").alias("a"), rows.alias("b")
     once = (F.col("b.root") == F.col("b.top")) | (F.col("a.copy") < F.col("b.copy"))
-    pairs = a.join(b, apart & once).select(F.least("a.copy", "b.copy").alias("u"), F.greatest("a.copy", "b.copy").alias("v"))
-    return links.union(verified(pairs.distinct().join(stars, ["u", "v"], "left_anti")))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & once & alike)
+    return met.select(*_pair("a.copy", "b.copy")).distinct()
+
+
+def _prefixes(packed: DataFrame) -> DataFrame:
+    """Rows (key, copy, n, pos, typical): the shingles of a text that a similar one must share, if another text has them.
+
+    Each text orders its ``n`` shingles rarest first, ties by hash; a set that is
+    similar shares one of those at places (``pos``) below n - ceil(SIMILAR * n) + 1.
+    """
+    sets = common.stored(packed.select("copy", _shingle_set("packed").alias("set")), "sets")
+    grams = sets.select("copy", F.size("set").alias("n"), F.explode("set").alias("key"))
+    often = grams.groupBy("key").agg(F.count("*").alias("often")).where("often > 1")
+    own = Window.partitionBy("copy")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "key")) - 1
+    ranked = grams.join(often, ["key"]).withColumns({"pos": place, "typical": F.sum(F.log2("often")).over(own) / F.col("n")})
+    return common.stored(ranked.where(F.col("pos") < F.col("n") - F.ceil(SIMILAR * F.col("n") - SLACK) + 1).drop("often"), "prefixes")
+
+
+def _can_link(a: str, b: str) -> Column:
+    """Whether two sets can be similar by their sizes and by what lies behind a shingle they share."""
+    n, m, p, q = (F.col(c) for c in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
+    need = SIMILAR / (1 + SIMILAR) * (n + m) - SLACK
+    return (F.least(n, m) >= SIMILAR * F.greatest(n, m) - SLACK) & (F.least(n - p, m - q) >= need)
+
+
+def _by_shingles(crowded: DataFrame, packed: DataFrame, links: DataFrame, known: DataFrame, verified) -> DataFrame:
+    """Links that connect all similar ones of the texts (copy, root) that ``links`` leave apart; pairs in ``known`` were compared."""
+    rows = _prefixes(packed.join(crowded, ["copy"], "left_semi")).join(crowded, ["copy"])
+    hubs = rows.groupBy("key").agg(F.max(F.struct("typical", "copy", "n", "pos", "key", "root")).alias("hub")).select("hub.*")
+    a, b = rows.alias("a"), hubs.alias("b")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & _can_link("a", "b"))
+    stars = common.stored(met.select(*_pair("a.copy", "b.copy")).distinct().join(known, ["u", "v"], "left_anti"), "stars")
+    found = verified(stars)
+    rest = _apart(_open(rows.drop("root"), links.union(found)), _can_link("a", "b"))
+    return found.union(verified(rest.join(known.union(stars), ["u", "v"], "left_anti")))
+
+
+def _links(met: DataFrame, packed: DataFrame, verified) -> DataFrame:
+    """Links that connect all similar texts among those that meet: ``met`` has key, copy and the hub of the key."""
+    stars = common.stored(met.where("copy <> hub").select(*_pair("hub", "copy")).distinct(), "stars")
+    links = verified(stars)
+    open_ = _open(met.select("key", "copy"), links)
+    pairs = common.stored(_apart(open_.where(F.col("texts") <= MANY), F.lit(True)).join(stars, ["u", "v"], "left_anti"), "pairs")
+    links = common.stored(links.union(verified(pairs)), "links")
+    crowded = common.stored(open_.where(F.col("texts") > MANY).select("copy", "root").distinct(), "crowded")
+    if crowded.isEmpty():
+        return links
+    return links.union(_by_shingles(crowded, packed, links, stars.union(pairs), verified))
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,7 +305,7 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     sketches = texts.join(meeting, ["copy"], "left_semi").select("copy", "sketch")
     chosen = rows.select("copy", "text").join(meeting, ["copy"], "left_semi").select("copy", _packed("text").alias("packed"))
     packed = common.stored(chosen.groupBy("copy").agg(F.first("packed").alias("packed")), "texts")
-    links = common.stored(_links(met, lambda pairs: _verified(pairs, sketches, packed)), "links")
+    links = common.stored(_links(met, packed, lambda pairs: _verified(pairs, sketches, packed)), "links")
     rooted = _labelled(texts.select("copy", "least"), links)
     names = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
     named = rooted.join(names, ["root"]).select("copy", "class_id")

@@ -152,3 +152,29 @@ def test_classes_without_ids_repeats_and_empty(spark):
 
     assert run([(1, "a"), (1, "a"), (1, "b"), (2, "b"), (None, "b"), (None, "c"), (3, "a")]) == [(-1, -1), (-1, 1), (1, 1), (1, 1), (1, 1), (2, 1), (3, 1)]
     assert run([]) == []
+
+
+@pytest.mark.parametrize("many", [32, 2])
+def test_texts_with_a_common_passage_cost_rows_not_pairs(spark, monkeypatch, many):
+    monkeypatch.setattr(minhash, "MANY", many)
+    make = random.Random(17)
+    passage = prose(make, 170)
+    texts = [f"{passage} {prose(make, 30)}" for _ in range(240)]
+    for text in texts[:40]:  # near copies of some, apart from what most of a band is alike with
+        for _ in range(2):
+            words = text.split(" ")
+            words[make.randrange(len(words))] = f"new{make.randrange(9)}"
+            texts.append(" ".join(words))
+    compared, plain = [], minhash._verified
+
+    def counted(pairs, sketches, packed):
+        compared.append(pairs.count())
+        return plain(pairs, sketches, packed)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    moved = {r["id"]: r["class_id"] for r in minhash.classes(frame).collect()}
+    expected = groups(texts)
+    assert [moved.get(i, i) for i in range(len(texts))] == expected
+    assert 200 <= len(set(expected)) <= 240
+    assert sum(compared) < 30 * len(texts)
