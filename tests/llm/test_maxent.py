@@ -88,3 +88,66 @@ def test_nulls_repeats_untrained_and_empty(spark):
         assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in out) == [(0, 2), (1, 1), (1, 1), (2, 3)]
         assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in out)
     assert maxent.scores(frame.limit(0), maxent.train(frame, maxent.counted(frame), rounds=1), maxent.counted(frame)).collect() == []
+
+
+def test_every_factor_is_trained_on_every_document(spark, monkeypatch):
+    """A word of a shared class is learned from its context, and each round sums the counts of all documents."""
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}ing" for k in range(60)]
+    texts = [f"say{k % 60} {words[k % 60]}" for k in range(1200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocabulary = maxent.counted(frame)
+    seen = []
+    plain = maxent.updated
+
+    def kept(weights, observed, expected):
+        seen.append((observed.sum(dtype=float), expected.sum(dtype=float)))
+        return plain(weights, observed, expected)
+
+    monkeypatch.setattr(maxent, "updated", kept)
+    model = maxent.train(frame, vocabulary, rounds=3)
+    tokens = 3 * len(texts)
+    inside = sum(t in words for text in texts for t in text.split()) + sum(t.startswith("say") for text in texts for t in text.split())
+    assert len(seen) == 6
+    for observed, expected in seen[0::2]:
+        assert observed == pytest.approx(3 * tokens, rel=1e-5) and expected == pytest.approx(3 * tokens, rel=1e-4)
+    for observed, expected in seen[1::2]:  # the word factor counts the words of shared classes alone
+        assert 0 < observed <= 3 * inside and expected == pytest.approx(observed, rel=1e-4)
+    # words of one ending and frequency: only the word before tells which one comes
+    own = maxent.tokens(*_flat(words))
+    numbers = model.numbering().find(own.hashes)
+    at = [k for k, end in enumerate(own.endings) if end != maxent.END_CLASS and numbers[k] >= maxent.OWN and model.own[numbers[k]] >= 0]
+    right = next(words[k // 2] for k in at if k % 2 == 0)
+    k = words.index(right)
+    other = next(words[x // 2] for x in at if words[x // 2] != right)
+    pairs = spark.createDataFrame([(0, f"say{k} {right}"), (1, f"say{k} {other}")], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in maxent.scores(pairs, model, vocabulary).collect()}
+    assert found[0] > found[1] + 0.3
+
+
+@pytest.mark.parametrize("frequent", [1 << 18, 40])
+def test_words_of_a_context_sum_to_one(spark, frequent):
+    make = np.random.default_rng(3)
+    words = [f"{a}{b}{c}" for a in "bcd" for b in "aeiou" for c in "nrst"] + ["Ünal", "é"]
+    texts = [" ".join(make.choice(words[:-2], make.integers(3, 30))) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocabulary = maxent.counted(frame)
+    model = maxent.train(frame, vocabulary, rounds=2, frequent=frequent)
+    before = "ban bar"
+    rows = [(0, before), *((1 + k, f"{before} {w}") for k, w in enumerate(words[:-2]))]
+    found = {r["doc_id"]: r["score"] for r in maxent.scores(spark.createDataFrame(rows, "doc_id long, text string"), model, vocabulary).collect()}
+    # score(before w) = score of before without its end + log P(w) + log P(end | w); the ends are taken off with the model's class shares
+    texts = [text for _, text in rows]
+    tokens = maxent.tokens(*_flat(texts))
+    ends = maxent.log_shares(model, maxent.features(tokens))[tokens.first[1:] - 1, maxent.END_CLASS] / math.log(10)
+    start = found[0] - ends[0]
+    known = sum(10 ** (found[1 + k] - ends[1 + k] - start) for k in range(len(words) - 2))
+    # what is left: the end, and in every member the words never seen
+    shares = np.exp(maxent.log_shares(model, maxent.features(tokens)))[tokens.first[1] - 1]
+    context = [h[tokens.first[1] - 1 : tokens.first[1]] for h in maxent.contexts(tokens)]
+    left = shares[maxent.END_CLASS] + sum(shares[1 + k] for k in range(min(maxent.OWN, len(model.hashes)), maxent.OWN))
+    for at in range(maxent.FIRST_ENDING, maxent.CLASSES):
+        inner = np.exp(maxent.log_member_shares(model, maxent.word_features(context, np.array([at]), model.buckets), np.array([at])))[0]
+        unseen = 0.5 / 10 ** model.member_total[at - maxent.FIRST_ENDING]
+        unseen[: maxent.OWN_WORDS] = np.where(model.member_types[at - maxent.FIRST_ENDING, : maxent.OWN_WORDS] > 0, 0.0, 1.0)
+        left += shares[at] * (inner * unseen).sum()
+    assert known + left == pytest.approx(1.0, abs=1e-4)
