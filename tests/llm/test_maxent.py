@@ -2,6 +2,7 @@
 
 import math
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -151,3 +152,35 @@ def test_words_of_a_context_sum_to_one(spark, frequent):
         unseen[: maxent.OWN_WORDS] = np.where(model.member_types[at - maxent.FIRST_ENDING, : maxent.OWN_WORDS] > 0, 0.0, 1.0)
         left += shares[at] * (inner * unseen).sum()
     assert known + left == pytest.approx(1.0, abs=1e-4)
+
+
+def test_a_round_sums_expected_counts_without_a_loop_over_features():
+    """The sums equal plain ones for rare and frequent rows, in a number of calls that follows blocks of tokens, not rows."""
+    make = np.random.default_rng(5)
+    n, buckets, width = 3 * maxent.TOKENS_AT_ONCE, 512, maxent.MEMBERS
+    rows = np.minimum(make.zipf(1.2, (n, maxent.FEATURES)) - 1, buckets - 1) + buckets * np.arange(maxent.FEATURES)
+    weights = make.normal(0, 1, (maxent.FEATURES * buckets, width)).astype(np.float32)
+    weights[0], weights[buckets], weights[2 * buckets] = (np.where(np.arange(width) % 2, maxent.LIMIT, -maxent.LIMIT) for _ in range(3))
+    bias = np.log(make.dirichlet(np.ones(width), n)).astype(np.float32)
+    logits = sum(weights[rows[:, k]].astype(float) for k in range(maxent.FEATURES)) + bias
+    plain = np.exp(logits - logits.max(axis=1, keepdims=True))
+    plain /= plain.sum(axis=1, keepdims=True)
+    wanted = np.zeros(weights.shape)
+    for k in range(maxent.FEATURES):
+        np.add.at(wanted, rows[:, k], plain)
+    shares = maxent._shares(np.exp(weights), rows, np.exp(bias))
+    assert np.allclose(shares, plain, atol=1e-5)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    total = np.zeros(weights.shape, np.float32)
+    sys.setprofile(count)
+    try:
+        maxent._spread(total, rows, shares)
+    finally:
+        sys.setprofile(None)
+    assert np.allclose(total, wanted, rtol=1e-3, atol=1e-3)
+    assert calls < 100
