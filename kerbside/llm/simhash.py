@@ -141,7 +141,7 @@ def links(table: DataFrame, dense: int = DENSE) -> DataFrame:
     crowded = common.stored(keyed.groupBy("c", "k").count().where(F.col("count") > dense).select("c", "k"), "dense")
     some = not crowded.isEmpty()
     sparse = keyed.join(crowded, ["c", "k"], "left_anti") if some else keyed
-    a, b = sparse.alias("a"), sparse.alias("b")
+    a, b = common.shuffled(sparse.alias("a")), sparse.alias("b")
     difference = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     pairs = a.join(
         b,
@@ -195,7 +195,7 @@ def classes(rows: DataFrame, dense: int = DENSE) -> DataFrame:
     ``rows`` has doc_id and fp.
     """
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", F.col("fp").alias("own"))).alias("least"))
-    rooted = first.join(components(rows, dense).withColumnRenamed("node", "fp"), ["fp"], "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = common.shuffled(first).join(components(rows, dense).withColumnRenamed("node", "fp"), ["fp"], "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("all_least"))
     return rooted.join(least, ["root"]).select(
         "fp", F.col("all_least.doc_id").alias("component_id"), F.col("all_least.own").alias("owner")
@@ -206,6 +206,6 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     documents = common.table(spark, folder, "documents")
     rows = common.stored(documents.select("doc_id", fingerprints("text").alias("fp")), "simhash")
-    return rows.join(classes(rows), ["fp"]).select(
+    return common.shuffled(rows).join(classes(rows), ["fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -6,7 +6,7 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
-from kerbside.llm import simhash
+from kerbside.llm import common, simhash
 
 
 def plain_fingerprint(text):
@@ -88,3 +88,16 @@ def test_nulls_repeats_and_empty_table(spark):
     assert {r["component_id"] for r in out if r["fp"] == 0} == {3}
     assert {r["component_id"] for r in out if r["fp"] != 0} == {9}
     assert simhash.classes(frame.where(F.lit(False))).collect() == []
+
+
+def test_rows_of_documents_are_never_broadcast(spark):
+    """A small file may hold many rows once exploded, so its size is no reason to send it through the driver."""
+    values = sorted({simhash._signed(v) for v in clusters()})
+    rows = common.stored(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, fp long"), "fingerprints")
+    table = common.stored(simhash.pivot_table(rows.select("fp")), "table")
+    for found in (simhash.links(table), simhash.links(table, 3)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert not any("Broadcast" in line and "Inner" in line for line in plan.splitlines()), plan
+    spread = simhash.classes(rows)._jdf.queryExecution().executedPlan().toString()
+    assert not any("BroadcastHashJoin" in line and "LeftOuter" in line for line in spread.splitlines()), spread
