@@ -64,3 +64,19 @@ def test_odd_rows(spark, pipeline, tmp_path):
             stage(spark, now, FOLDER).write.parquet(path)
             now = spark.read.parquet(path)
         assert now.count() == (0 if empty else 2)
+
+
+def test_near_duplicates_send_no_exploded_table_to_the_driver(spark, pipeline, monkeypatch):
+    """Half a gigabyte of documents is a small file of fingerprints, and 35 rows of each to join."""
+    plans, plain = [], simhash.links
+
+    def kept(*given):
+        found = plain(*given)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(simhash, "links", kept)
+    docs = spark.createDataFrame([(i, f"some words of text {i} and {i * 7} more") for i in range(50)], "doc_id long, text string")
+    assert 0 < pipeline.near_duplicate_stage(spark, docs, FOLDER).count() <= 50
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0]
+    assert "BroadcastHashJoin" not in plans[0]
