@@ -184,3 +184,36 @@ def test_a_round_sums_expected_counts_without_a_loop_over_features():
         sys.setprofile(None)
     assert np.allclose(total, wanted, rtol=1e-3, atol=1e-3)
     assert calls < 100
+
+
+def test_rows_of_both_factors_follow_the_words(spark, monkeypatch):
+    """No row of a table stands for more words at any size, and a table of another size is trained and read alike."""
+    none = np.zeros(0, np.int64)
+    for types in (1_000, 3_000_000, 50_000_000):
+        inner = np.zeros((maxent.ENDINGS, maxent.MEMBERS))
+        model = maxent.Model(none.view(np.uint64), none, 10, types, 1, np.zeros(maxent.CLASSES), np.zeros(maxent.CLASSES), none, inner, inner)
+        for weights, most in ((model.weights, maxent.CLASS_TYPES_A_ROW), (model.word_weights, maxent.TYPES_A_ROW)):
+            assert types <= most * len(weights) // maxent.FEATURES
+    monkeypatch.setattr(maxent, "CLASS_TYPES_A_ROW", 1)
+    monkeypatch.setattr(maxent, "BUCKETS", 4)
+    words = [f"{a}{b}" for a in "bcdfghklmn" for b in ("ar", "et", "is", "on")]
+    frame = spark.createDataFrame([(k, f"{words[k % 40]} {words[k * 7 % 40]} {words[k * 3 % 40]}") for k in range(400)], "doc_id long, text string")
+    vocabulary = maxent.counted(frame)
+    sums, plain = [], maxent.updated
+
+    def kept(weights, observed, expected):
+        sums.append((weights.shape, observed.sum(dtype=float), expected.sum(dtype=float)))
+        return plain(weights, observed, expected)
+
+    monkeypatch.setattr(maxent, "updated", kept)
+    model = maxent.train(frame, vocabulary, rounds=2)
+    assert model.class_buckets == 64 and (model.weights[-64:] != 0).any()
+    for shape, observed, expected in sums[0::2]:
+        assert shape == (3 * 64, maxent.CLASSES)
+        assert observed == pytest.approx(3 * 1600, rel=1e-5) and expected == pytest.approx(3 * 1600, rel=1e-4)
+    found = maxent.scores(frame, model, vocabulary).collect()
+    assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
+    # score of a text: its classes by the table's own rows, and the same as before within a class
+    one = maxent.tokens(*_flat(["bar"]))
+    shares = np.exp(maxent.log_shares(model, maxent.features(one, model.class_buckets)))
+    assert np.allclose(shares.sum(axis=1), 1.0, atol=1e-5)
